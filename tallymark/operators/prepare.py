@@ -49,11 +49,12 @@ def assign_row_id(
     sizes = written.groupBy("_segment", *segment).agg(F.count(F.lit(1)).alias("_rows"), F.min("_position").alias("_first"))
     # One row per input split or partition, so this window is small whatever the rows weigh.
     before = F.sum("_rows").over(Window.orderBy(*segment).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(*segment, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
-    hashed = offsets.select(F.xxhash64(*segment).alias("_segment"), "_first", "_before")
-    check = hashed.agg(F.count("_segment").alias("n"), F.countDistinct("_segment").alias("distinct")).first()
-    on = list(segment)
-    if check["n"] == check["distinct"] <= MAX_BROADCAST_SEGMENTS:
-        offsets, on = F.broadcast(hashed), ["_segment"]
+    offsets = write_through(
+        sizes.select("_segment", *segment, "_first", F.coalesce(before, F.lit(0)).alias("_before")), "offsets"
+    )
+    check = offsets.agg(F.count("_segment").alias("segments"), F.countDistinct("_segment").alias("hashes")).first()
+    on = ["_segment", *segment]
+    if check["segments"] == check["hashes"] <= MAX_BROADCAST_SEGMENTS:
+        offsets, on = F.broadcast(offsets.select("_segment", "_first", "_before")), ["_segment"]
     number = F.col("_position") - F.col("_first") + F.col("_before") + 1
     return written.join(offsets, on).select(*keep, number.alias(row_id))

@@ -5,6 +5,9 @@ Each relation is one SELECT that Spark and DuckDB both understand. ``{name}`` st
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.operators.prepare import assign_row_id
@@ -12,6 +15,7 @@ from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout
 from tallymark.sources.ledger import Ledger
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+T = TypeVar("T")
 LINEITEM_COLUMNS = [
     "l_orderkey",
     "l_partkey",
@@ -138,8 +142,20 @@ MERCHANT_LINKS = """select c_custkey as _linked, links as _links from {customer}
     join (select s_nationkey, count(*) as links from {supplier} group by s_nationkey) on s_nationkey = c_nationkey"""
 
 
+# Definitions and staged tables are made once per application and folder: they hold no rows, only plans and schemas.
+_known: dict[tuple[str, ...], DataFrame | Ledger] = {}
+
+
+def _once(spark: SparkSession, *name: str, make: Callable[[], T]) -> T:
+    known = (spark.sparkContext.applicationId, *name)
+    if known not in _known:
+        _known[known] = make()
+    return _known[known]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return _once(spark, path, make=lambda: spark.read.parquet(path))
 
 
 def bind(spark: SparkSession, sf_dir: str, select: str) -> DataFrame:
@@ -148,22 +164,24 @@ def bind(spark: SparkSession, sf_dir: str, select: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, sf_dir: str, layout: Layout) -> Ledger:
-    selects = {"autorizacion": AUTHORIZATIONS[layout.name], **LEDGER}
-    return Ledger.of({name: bind(spark, sf_dir, select) for name, select in selects.items()})
-
+    def make() -> Ledger:
+        selects = {"autorizacion": AUTHORIZATIONS[layout.name], **LEDGER}
+        return Ledger.of({name: bind(spark, sf_dir, select) for name, select in selects.items()})
 
-_numbered: dict[tuple[str, str], DataFrame] = {}
+    return _once(spark, sf_dir, "ledger", layout.name, make=make)
 
 
 def numbered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of the day-matched layout, numbered over the whole table.
 
-    Numbered and written once per application, as a statement is staged once and then read by export and statistics.
+    The rows are numbered and written once per application, as a statement is staged once and then read by export and
+    statistics. The layout's texts are made when they are read.
     """
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _numbered:
-        rows = table(spark, sf_dir, "lineitem")
-        values = _select(TRANSACCIONES_VALUES, "rows", **{c: c for c in LINEITEM_COLUMNS})
-        lines = assign_row_id(spark.sql(values, rows=rows), TRANSACCIONES.line_id, order_by=LINEITEM_COLUMNS)
-        _numbered[known] = lines.select(*TRANSACCIONES.columns, TRANSACCIONES.line_id)
-    return _numbered[known]
+
+    def make() -> DataFrame:
+        rows = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+        numbered = assign_row_id(rows, TRANSACCIONES.line_id, order_by=LINEITEM_COLUMNS)
+        line_id = {TRANSACCIONES.line_id: TRANSACCIONES.line_id}
+        return spark.sql(_select(TRANSACCIONES_VALUES, "rows", **line_id), rows=numbered)
+
+    return _once(spark, sf_dir, "numbered", make=make)
