@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,24 +11,28 @@ from tallymark.functions.columns import CORE, product_tier
 from tallymark.operators.grouping import first_per_group, salted_lookup
 from tallymark.sources.layouts import TIER
 from tallymark.sources.ledger import Ledger
+from tallymark.sources.scratch import write_through
 
 # The ledger's codes for the flag, the acquirer and the contract type.
 LEDGER_FLAG = 11
 ACQUIRER = 4
 CONTRACT_TYPE = 1
 MAX_BROADCAST_BYTES = 128 << 20
+ID_BYTES = 32
+# From this size on a table is worth a pass that keeps only the rows a small statement needs.
+LARGE_TABLE_ROWS = 20_000_000
 
 
 def flagged_merchants(comercio_configuracion: DataFrame) -> DataFrame:
     """Merchants with the ledger flag; the constant is filtered before the join, so other flags keep no merchant out."""
     rows = comercio_configuracion.filter((F.col("configuracion_id") == LEDGER_FLAG) & F.col("id").isNotNull())
-    return rows.select(F.col("comercio_id").alias("_flag_merchant"), F.lit(True).alias("_flagged")).distinct()
+    return rows.select(F.col("comercio_id").alias("_flag_merchant")).distinct().withColumn("_flagged", F.lit(True))
 
 
 def migrated_merchants(whitemarches: DataFrame) -> DataFrame:
     """Merchant codes with a migration date."""
     rows = whitemarches.filter(F.col("migration_date").isNotNull())
-    return rows.select(F.col("codigo_comercio").alias("_migrated_code"), F.lit(True).alias("_migrated")).distinct()
+    return rows.select(F.col("codigo_comercio").alias("_migrated_code")).distinct().withColumn("_migrated", F.lit(True))
 
 
 def merchants(ledger: Ledger) -> DataFrame:
@@ -92,6 +98,40 @@ def enrich(authorizations: DataFrame, ledger: Ledger) -> DataFrame:
     return with_merchants(with_states(with_transactions(authorizations, ledger), ledger), ledger)
 
 
+def referenced(table: DataFrame, key: str, rows: DataFrame, reference: str) -> DataFrame:
+    """The rows of a table that ``rows``, a written table, refers to; the whole table if those are too many to broadcast."""
+    if rows.count() * ID_BYTES > MAX_BROADCAST_BYTES:
+        return table
+    ids = rows.select(F.col(reference).alias("_reference")).distinct()
+    return table.join(F.broadcast(ids), F.col(key) == F.col("_reference"), "left_semi")
+
+
+def narrow_ledger(ledger: Ledger, authorizations: DataFrame) -> tuple[DataFrame, Ledger]:
+    """Before the lookups of few authorizations in large tables: write them, and filter the tables while they are scanned.
+
+    Without this a statement of a thousand lines would shuffle every transaction ever made. Small tables stay as they
+    are, and so does a ledger of which too much is needed.
+    """
+    if ledger.transaction_count < LARGE_TABLE_ROWS:
+        return authorizations, ledger
+    authorizations = write_through(authorizations, "authorizations")
+    if authorizations.count() * ID_BYTES > MAX_BROADCAST_BYTES:
+        return authorizations, replace(ledger)
+    transactions = write_through(
+        referenced(ledger.transaccion, "autorizacion_id", authorizations, "id"), "transactions"
+    )
+    return authorizations, replace(
+        ledger,
+        transaccion=transactions,
+        historial_transaccion=referenced(
+            ledger.historial_transaccion, "id", transactions, "historial_transaccion_actual_id"
+        ),
+        adq_vdp_v3_authorization=referenced(
+            ledger.adq_vdp_v3_authorization, "autorizacion_id", authorizations, "id"
+        ),
+    )
+
+
 def eligible_terminals(ledger: Ledger) -> DataFrame:
     """Terminals that lead to the acquirer and contract type of the day-matched layout."""
     ca = ledger.comercio_adquiriente.filter(F.col("adquiriente_id") == ACQUIRER).select(
@@ -105,9 +145,9 @@ def eligible_terminals(ledger: Ledger) -> DataFrame:
     )
 
 
-def eligible_authorizations(ledger: Ledger) -> DataFrame:
+def eligible_authorizations(authorizations: DataFrame, ledger: Ledger) -> DataFrame:
     """Authorizations with a code and an eligible terminal, and the day they were made."""
-    a = ledger.autorizacion.filter(F.col("codigo_unico_adq") != "")
+    a = authorizations.filter(F.col("codigo_unico_adq") != "")
     a = a.join(eligible_terminals(ledger), F.col("comercio_procesador_terminal_id") == F.col("_terminal"), "left_semi")
     return a.withColumn("auth_day", F.to_date("fecha_hora_creacion"))
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import text_date
 from tallymark.operators.grouping import distinct_keys, first_per_group
+from tallymark.operators.lookup import narrow_ledger
 from tallymark.operators.prepare import nonempty
 from tallymark.sources.layouts import Layout
-from tallymark.sources.ledger import TABLES
+from tallymark.sources.ledger import TABLES, Ledger
 
 # Order in which the least authorization of a group is chosen: its id, then whatever else distinguishes it.
 AUTHORIZATION_ORDER = [
@@ -34,8 +36,8 @@ ROW_BYTES = 32
 
 
 def statement_codes(lines: DataFrame, layout: Layout) -> DataFrame:
-    """The keys of a statement that can match."""
-    return lines.filter(nonempty(layout.key)).select(F.col(layout.key).alias("_key"), layout.line_id)
+    """The keys of a statement, as ``_key``."""
+    return lines.filter(F.col(layout.key).isNotNull()).select(F.col(layout.key).alias("_key"), layout.line_id)
 
 
 def fits_broadcast(values: DataFrame, column: str) -> bool:
@@ -47,22 +49,55 @@ def fits_broadcast(values: DataFrame, column: str) -> bool:
     return (size or 0) <= MAX_BROADCAST_BYTES
 
 
-def pick_for_lines(
-    authorizations: DataFrame, lines: DataFrame, layout: Layout, order_by: Sequence[str] = AUTHORIZATION_ORDER
-) -> DataFrame:
+def with_codes(authorizations: DataFrame, codes: DataFrame, layout: Layout, *, small: bool) -> DataFrame:
+    """Only the authorizations whose code occurs in the statement.
+
+    ``small`` codes filter the ledger while it is scanned; others are shuffled, and a hot code can then be split.
+    """
+    if small:
+        keys = F.broadcast(codes.select("_key").distinct())
+    else:
+        keys = distinct_keys(codes, ["_key"], layout.line_id)
+    return authorizations.join(keys, F.col(layout.ledger_key) == F.col("_key"), "left_semi")
+
+
+@dataclass(frozen=True)
+class Candidates:
+    """Ledger side of a match: the authorizations export rows show, a relation with all codes that match, the ledger."""
+
+    picked: DataFrame
+    codes: DataFrame
+    ledger: Ledger
+
+
+def candidates(
+    ledger: Ledger,
+    lines: DataFrame,
+    layout: Layout,
+    *,
+    eligible: Callable[[DataFrame, Ledger], DataFrame] | None = None,
+    order_by: Sequence[str] = AUTHORIZATION_ORDER,
+) -> Candidates:
     """One authorization per combination of the layout's match columns, for codes that occur in the statement.
 
     An export row shows one authorization of its group, and the choice does not depend on the line, so it is made on
-    the ledger alone. A statement whose codes are small enough filters the ledger while it is scanned. For a larger
-    one the ledger is grouped first: that order keeps both the grouping and the join free to split a hot code.
+    the ledger alone. For a small statement the ledger is filtered first, then grouped, and the lookup tables are
+    narrowed to what is left. For a large one it is grouped first: that order keeps both the grouping and the join free
+    to split a hot code. ``eligible`` drops authorizations that must not match, before one is picked.
     """
-    codes = statement_codes(lines, layout)
-    on = F.col(layout.ledger_key) == F.col("_key")
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return eligible(rows, ledger) if eligible else rows
+
+    authorizations = ledger.autorizacion.filter(nonempty(layout.ledger_key))
+    codes = statement_codes(lines.filter(nonempty(layout.key)), layout)
     if fits_broadcast(codes, "_key"):
-        found = authorizations.join(F.broadcast(codes.select("_key").distinct()), on, "left_semi")
-        return first_per_group(found, layout.match_columns, order_by)
+        found = kept(with_codes(authorizations, codes, layout, small=True))
+        picked, narrowed = narrow_ledger(ledger, first_per_group(found, layout.match_columns, order_by))
+        return Candidates(picked, found if narrowed is ledger else picked, narrowed)
+    authorizations = kept(authorizations)
     picked = first_per_group(authorizations, layout.match_columns, order_by)
-    return picked.join(distinct_keys(codes, ["_key"], layout.line_id), on, "left_semi")
+    return Candidates(with_codes(picked, codes, layout, small=False), authorizations, ledger)
 
 
 def match_lines(lines: DataFrame, authorizations: DataFrame, layout: Layout) -> DataFrame:
@@ -73,6 +108,7 @@ def match_lines(lines: DataFrame, authorizations: DataFrame, layout: Layout) ->
 
 def unmatched_lines(lines: DataFrame, authorizations: DataFrame, layout: Layout) -> DataFrame:
     """Lines with a key that no authorization has."""
+    authorizations = authorizations.filter(nonempty(layout.ledger_key))
     codes = distinct_keys(authorizations, [layout.ledger_key], "id").withColumnRenamed(layout.ledger_key, "_code")
     return lines.filter(nonempty(layout.key)).join(codes, F.col(layout.key) == F.col("_code"), "left_anti")
 

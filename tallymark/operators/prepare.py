@@ -21,7 +21,7 @@ def drop_empty_key(lines: DataFrame, key: str) -> DataFrame:
 
 def nonempty(key: str) -> Column:
     """Keeps lines that can match: neither NULL nor empty."""
-    return F.col(key) != ""
+    return F.col(key).isNotNull() & (F.col(key) != "")
 
 
 def assign_row_id(

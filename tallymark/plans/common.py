@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.columns import CORE, null_default
 from tallymark.operators.lookup import enrich
-from tallymark.operators.match import match_lines, pick_for_lines, unmatched_lines
+from tallymark.operators.match import candidates, match_lines, unmatched_lines
 from tallymark.sources.layouts import TIER, Layout
 from tallymark.sources.ledger import Ledger
 
@@ -47,11 +47,11 @@ def export_by_code(lines: DataFrame, ledger: Ledger, layout: Layout, line_id: Co
     Two arms instead of one outer join: adaptive execution can split a hot code of an inner join on both sides, of
     an outer join only on one. Both arms read the same shuffle of the lines.
     """
-    picked = pick_for_lines(ledger.autorizacion, lines, layout)
-    matched = match_lines(lines, enrich(picked, ledger), layout).select(
+    found = candidates(ledger, lines, layout)
+    matched = match_lines(lines, enrich(found.picked, found.ledger), layout).select(
         *file_columns(layout), line_id.alias(layout.line_id), *ledger_texts(layout)
     )
-    others = unmatched_lines(lines, ledger.autorizacion, layout).select(
+    others = unmatched_lines(lines, found.codes, layout).select(
         *file_columns(layout), missing_id.alias(layout.line_id), *padding(layout, tier=CORE)
     )
     return matched.unionByName(others)

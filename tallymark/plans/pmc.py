@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.columns import missing, null_default
 from tallymark.operators.lookup import with_states, with_transactions
-from tallymark.operators.match import pick_for_lines
+from tallymark.operators.match import candidates
 from tallymark.operators.prepare import nonempty
 from tallymark.plans.common import export_by_code, metric_rows
 from tallymark.sources.layouts import PMC
@@ -36,8 +36,8 @@ def statistics(lines: DataFrame, ledger: Ledger) -> DataFrame:
     authorization id of a group settles its state, so no other tie-break column is read.
     """
     per_code = lines.groupBy(PMC.key).agg(F.count(F.lit(1)).alias("lines"))
-    picked = pick_for_lines(ledger.autorizacion, lines, PMC, order_by=["id"])
-    states = with_states(with_transactions(picked, ledger), ledger)
+    found = candidates(ledger, lines, PMC, order_by=["id"])
+    states = with_states(with_transactions(found.picked, found.ledger), found.ledger)
     groups = states.groupBy(F.col(PMC.ledger_key).alias("_code")).agg(
         F.count(F.lit(1)).alias("groups"), F.count_if(missing(F.col("nombre_estado"))).alias("stateless")
     )

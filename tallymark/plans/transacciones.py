@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from tallymark.functions.columns import null_default
 from tallymark.operators.grouping import first_per_group
 from tallymark.operators.lookup import eligible_authorizations, enrich, with_signatures
-from tallymark.operators.match import matched_by_day, pick_for_lines, same_code_and_day
+from tallymark.operators.match import (
+    candidates,
+    fits_broadcast,
+    matched_by_day,
+    same_code_and_day,
+    statement_codes,
+    with_codes,
+)
+from tallymark.operators.prepare import nonempty
 from tallymark.plans.common import file_columns, metric_rows
 from tallymark.sources.layouts import MERCHANT_ID_V4, TIER, TRANSACCIONES
 from tallymark.sources.ledger import Ledger
@@ -22,8 +30,8 @@ def joined_lines(lines: DataFrame, ledger: Ledger) -> DataFrame:
     The ledger side has one row per code and day, so the join cannot multiply lines; matched lines and the others
     come out of the same join, and no anti join repeats it.
     """
-    picked = pick_for_lines(eligible_authorizations(ledger), lines, TRANSACCIONES)
-    a = enrich(with_signatures(picked, ledger), ledger).withColumnRenamed("id", "_authorization_id")
+    found = candidates(ledger, lines, TRANSACCIONES, eligible=eligible_authorizations)
+    a = enrich(with_signatures(found.picked, found.ledger), found.ledger).withColumnRenamed("id", "_authorization_id")
     return lines.join(a, same_code_and_day(TRANSACCIONES), "left").withColumn("_matched", F.col("codigo_unico_adq").isNotNull())
 
 
@@ -65,7 +73,11 @@ def statistics(lines: DataFrame, ledger: Ledger) -> DataFrame:
 
     Matched lines are counted per code and acquirer id, and the rest follows by subtraction.
     """
-    matched = matched_by_day(lines, eligible_authorizations(ledger), TRANSACCIONES)
+    codes = statement_codes(lines.filter(nonempty(TRANSACCIONES.key)), TRANSACCIONES)
+    authorizations = ledger.autorizacion
+    if fits_broadcast(codes, "_key"):
+        authorizations = with_codes(authorizations, codes, TRANSACCIONES, small=True)
+    matched = matched_by_day(lines, eligible_authorizations(authorizations, ledger), TRANSACCIONES)
     groups = matched.groupBy(TRANSACCIONES.key, "id").agg(F.count(F.lit(1)).alias("lines"))
     found = groups.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("lines"), F.lit(0)).alias("matched"))
     total = lines.agg(F.count(F.lit(1)).alias("total"))

@@ -92,6 +92,11 @@ class Ledger:
             }
         )
 
+    @cached_property
+    def transaction_count(self) -> int:
+        """Rows of the transaction table; parquet answers this from its footers."""
+        return self.transaccion.count()
+
     @cached_property
     def merchant_bytes(self) -> int:
         """Size of the merchants as the lookups need them: id, name, tier and row headers."""

@@ -120,9 +120,14 @@ def match_acquirer_code(spark, sf_dir):
     return _match_or_null(b.bind(spark, sf_dir, b.MPOS_LINES), a, a, MPOS)
 
 
+def _eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = b.ledger(spark, sf_dir, TRANSACCIONES)
+    return lookup.eligible_authorizations(ledger.autorizacion, ledger)
+
+
 @query
 def match_key_date(spark, sf_dir):
-    eligible = lookup.eligible_authorizations(b.ledger(spark, sf_dir, TRANSACCIONES))
+    eligible = _eligible(spark, sf_dir)
     eligible = eligible.withColumnRenamed("id", "autorizacion_id")
     lines = b.numbered_lineitem(spark, sf_dir).filter(prepare.nonempty(TRANSACCIONES.key))
     return lines.join(eligible, match.same_code_and_day(TRANSACCIONES)).select(
@@ -172,14 +177,14 @@ def self_anti_empty(spark, sf_dir):
 
 @query
 def matched_ids(spark, sf_dir):
-    eligible = lookup.eligible_authorizations(b.ledger(spark, sf_dir, TRANSACCIONES))
+    eligible = _eligible(spark, sf_dir)
     matched = match.matched_by_day(b.numbered_lineitem(spark, sf_dir), eligible, TRANSACCIONES)
     return matched.select(F.col(TRANSACCIONES.line_id).alias("line_id"))
 
 
 @query
 def unmatched_key_date(spark, sf_dir):
-    eligible = lookup.eligible_authorizations(b.ledger(spark, sf_dir, TRANSACCIONES))
+    eligible = _eligible(spark, sf_dir)
     others = match.unmatched_by_day(b.numbered_lineitem(spark, sf_dir), eligible, TRANSACCIONES)
     return others.select(F.col(TRANSACCIONES.line_id).alias("line_id"), TRANSACCIONES.key, "trx_date")
 
@@ -188,8 +193,8 @@ def unmatched_key_date(spark, sf_dir):
 
 
 def _dedup(spark: SparkSession, sf_dir: str, lines: DataFrame, layout: Layout) -> DataFrame:
-    a = b.ledger(spark, sf_dir, layout).autorizacion
-    return _match_or_null(lines, match.pick_for_lines(a, lines, layout), a, layout)
+    found = match.candidates(b.ledger(spark, sf_dir, layout), lines, layout)
+    return _match_or_null(lines, found.picked, found.codes, layout)
 
 
 @query
