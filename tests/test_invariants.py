@@ -1,0 +1,230 @@
+"""Random inputs against plain Python loops, hot keys, and independence of the partitioning."""
+
+import random
+import re
+from collections import Counter
+from datetime import datetime
+
+import pytest
+from conftest import authorization, transaction
+
+from tallymark.operators.grouping import salted_lookup
+from tallymark.plans import mpos, pmc, transacciones
+from tallymark.sources.layouts import MPOS, PMC, STATE, TRANSACCIONES
+
+STATES = {1: "Pagado", 2: "", 3: None}  # by history id; history 3 leads nowhere
+
+
+def random_tables(seed):
+    rng = random.Random(seed)
+    codes = ["", *(f"k{i}" for i in range(12))]
+    auths = [
+        authorization(
+            i,
+            rng.choice(codes),
+            codigo_unico_adq=rng.choice(codes),
+            ref_id=rng.choice(["r1", "r2", None]),
+            fecha_hora_creacion=datetime(2024, 5, rng.choice([1, 2]), 9),
+            comercio_procesador_terminal_id=rng.choice([1, 2, None]),
+        )
+        for i in range(40)
+    ]
+    transactions = [
+        transaction(rng.choice(auths)["id"], history=rng.choice([1, 2, 3]), merchant=rng.choice([1, 2, 9]))
+        for _ in range(45)
+    ]
+    links = [
+        {"id": 10 + i, "comercio_id": rng.choice([1, 2, 9]), "comercio_contrato_id": 1, "adquiriente_id": 5}
+        for i in range(5)
+    ]
+    tables = {
+        "autorizacion": auths,
+        "transaccion": transactions,
+        "comercio": [{"id": i, "nombre_comercial": f"m{i}", "codigo_comercio": f"c{i}"} for i in (1, 2)],
+        "comercio_procesador_terminal": [{"id": 1, "comercio_adquiriente_id": 1}, {"id": 2, "comercio_adquiriente_id": 10}],
+        "comercio_adquiriente": [
+            {"id": 1, "comercio_id": None, "comercio_contrato_id": 1, "adquiriente_id": 4},
+            *links,
+        ],
+    }
+    keys = [rng.choice([*codes, "u1", "u2", None]) for _ in range(60)]
+    lines = [
+        {"key": k, "id": rng.choice("xy"), "trx_date": rng.choice(["2024-05-01 01:00", "2024-05-02", "2 May", None])}
+        for k in keys
+    ]
+    return tables, lines
+
+
+def least(rows):
+    return min(rows, key=lambda r: tuple((v is not None, v) for v in r)) if rows else None
+
+
+def state_of(auth, tables):
+    t = least(
+        [
+            (t["historial_transaccion_actual_id"], t["comercio_id"])
+            for t in tables["transaccion"]
+            if t["autorizacion_id"] == auth["id"]
+        ]
+    )
+    return STATES[t[0]] if t else None
+
+
+def groups_by(tables, column, key, names):
+    groups = {}
+    for a in tables["autorizacion"]:
+        if key and a[column] == key:
+            groups.setdefault(tuple(a[n] for n in names), []).append(a)
+    return {g: min(rows, key=lambda a: a["id"]) for g, rows in groups.items()}
+
+
+def check_by_code(layout, plan, make_lines, ledger, tables, lines, names):
+    frame = make_lines(layout, *({layout.key: line["key"]} for line in lines))
+    want, not_found = Counter(), 0
+    for i, line in enumerate(lines, 1):
+        if not line["key"]:
+            continue
+        groups = groups_by(tables, layout.ledger_key, line["key"], names) or {None: None}
+        for a in groups.values():
+            state = state_of(a, tables) if a else None
+            not_found += not state
+            want[(i, a["ref_id"] or "" if a else "", state or "")] += 1
+    got = Counter((r["id"], r["ref_id"], r[STATE]) for r in plan.export(frame, ledger).collect())
+    assert got == want
+    return frame, not_found, want.total()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pmc_equals_loops(make_ledger, make_lines, seed):
+    tables, lines = random_tables(seed)
+    lines = [line for line in lines if line["key"] != ""]
+    ledger = make_ledger(**tables)
+    frame, not_found, rows = check_by_code(PMC, pmc, make_lines, ledger, tables, lines, ["codigo_referencia", "ref_id"])
+    values = {r["metric"]: r["value"] for r in pmc.statistics(frame, ledger).collect()}
+    assert values == {"input": len(lines), "output_declared": len(lines), "not_found": not_found, "output_rows": rows}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_mpos_equals_loops(make_ledger, make_lines, seed):
+    tables, lines = random_tables(seed)
+    ledger = make_ledger(**tables)
+    names = ["codigo_referencia", "ref_id", "codigo_unico_adq"]
+    frame, _, _ = check_by_code(MPOS, mpos, make_lines, ledger, tables, lines, names)
+    merchants = {m["id"] for m in tables["comercio"]}
+    links = Counter(ca["comercio_id"] for ca in tables["comercio_adquiriente"] if ca["comercio_id"] in merchants)
+    want = Counter()
+    for line in lines:
+        found = [a for a in tables["autorizacion"] if line["key"] is not None and a["codigo_unico_adq"] == line["key"]]
+        for a in found or [None]:
+            ts = [t for t in tables["transaccion"] if a and t["autorizacion_id"] == a["id"]]
+            for t in ts or [None]:
+                state = STATES[t["historial_transaccion_actual_id"]] if t else None
+                if (line["key"] and state is None) or state == "":
+                    group = tuple(a[n] for n in names) if a else (None, None, None)
+                    want[group] += max(1, links[t["comercio_id"]]) if t else 1
+    got = [r["value"] for r in mpos.statistics(frame, ledger).collect() if r["metric"] == "not_found"]
+    assert sorted(got) == sorted(want.values())
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_transacciones_equals_loops(make_ledger, make_lines, seed):
+    tables, lines = random_tables(seed)
+    ledger = make_ledger(**tables)
+    frame = make_lines(
+        TRANSACCIONES, *({"id_procesador": x["key"], "id": x["id"], "trx_date": x["trx_date"]} for x in lines)
+    )
+    first, want, matched = {}, Counter(), set()
+    for i, line in enumerate(lines, 1):
+        found = [
+            a
+            for a in tables["autorizacion"]
+            if line["key"]
+            and a["codigo_unico_adq"] == line["key"]
+            and a["comercio_procesador_terminal_id"] == 1
+            and str(a["fecha_hora_creacion"])[:10] == (line["trx_date"] or "")[:10]
+        ]
+        if not found:
+            want[(i, "")] += 1
+            continue
+        matched.add(i)
+        if (line["key"], line["id"]) not in first:
+            first[line["key"], line["id"]] = i
+            want[(i, min(found, key=lambda a: a["id"])["codigo_unico_adq"])] += 1
+    assert matched
+    got = Counter((r[TRANSACCIONES.line_id], r["codigo_unico_adq"]) for r in transacciones.export(frame, ledger).collect())
+    assert got == want
+    values = {r["metric"]: r["value"] for r in transacciones.statistics(frame, ledger).collect()}
+    assert (values["input"], values["not_found"], values["output_rows"]) == (60, 60 - len(matched), want.total())
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+@pytest.fixture
+def hot(spark, make_ledger, make_lines, no_broadcast, conf):
+    """A third of the lines and a third of the authorizations share one code; small thresholds for splitting."""
+    conf(
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="2KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    n = 1500
+    codes = ["hot" if i % 3 == 0 else f"k{i}" for i in range(n)]
+    auths = [authorization(i, c, ref_id=f"r{i % 120}") for i, c in enumerate(codes)]
+    ledger = make_ledger(autorizacion=auths, transaccion=[transaction(i) for i in range(n)])
+    repartitioned = {name: t.repartition(4) for name, t in vars(ledger).items()}
+    return type(ledger)(**repartitioned), codes
+
+
+def test_hot_code_is_split_on_both_sides(hot, make_lines):
+    ledger, codes = hot
+    lines = make_lines(PMC, *({"nro_orden": c} for c in codes)).repartition(4)
+    export = pmc.export(lines, ledger)
+    plan = final_plan(export)
+    assert re.search(r"SortMergeJoin\(skew=true\).*nro_orden.*Inner", plan)
+    refs = len({i % 120 for i, c in enumerate(codes) if c == "hot"})
+    assert export.count() == codes.count("hot") * refs + sum(c != "hot" for c in codes)
+
+
+def test_hot_merchant_is_split(hot, make_lines):
+    ledger, codes = hot
+    lines = make_lines(PMC, *({"nro_orden": c} for c in codes)).repartition(4)
+    assert re.search(r"SortMergeJoin\(skew=true\).*comercio_id", final_plan(pmc.export(lines, ledger)))
+
+
+def test_hot_code_and_day_is_split(hot, make_lines):
+    ledger, codes = hot
+    rows = [{"id_procesador": c, "id": str(i), "trx_date": "2024-05-01"} for i, c in enumerate(codes)]
+    lines = make_lines(TRANSACCIONES, *rows).repartition(4)
+    export = transacciones.export(lines, ledger)
+    assert re.search(r"SortMergeJoin\(skew=true\).*id_procesador", final_plan(export))
+    assert export.filter("codigo_unico_adq <> ''").count() == len(codes)
+
+
+def test_lines_are_shuffled_once(hot, make_lines):
+    ledger, codes = hot
+    plan = final_plan(pmc.export(make_lines(PMC, *({"nro_orden": c} for c in codes)), ledger))
+    assert "ReusedExchange [fecha_hora" in plan or "ReusedExchange [fecha_hora#" in plan
+
+
+def test_partitioning_does_not_change_the_export(make_ledger, make_lines):
+    tables, lines = random_tables(7)
+    ledger = make_ledger(**tables)
+    frame = make_lines(MPOS, *({"id_operacion": x["key"]} for x in lines))
+    results = []
+    for n in (1, 5):
+        moved = type(ledger)(**{name: t.repartition(n) for name, t in vars(ledger).items() if hasattr(t, "repartition")})
+        results.append(Counter(map(tuple, mpos.export(frame.repartition(n), moved).collect())))
+    assert results[0] == results[1]
+
+
+def test_salted_lookup_is_a_left_join(spark):
+    rows = spark.range(200).selectExpr("id", "if(id % 3 = 0, 7, id % 5) as k")
+    lookup = spark.createDataFrame([(7, 70), (1, 10), (2, None)], "_linked long, v long")
+    want = rows.join(lookup, rows.k == lookup._linked, "left").select("id", "v")
+    got = salted_lookup(rows, lookup, "k", "_linked", spread_by="id").select("id", "v")
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
