@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import CORE, product_tier
-from tallymark.operators.grouping import first_per_group, salted_lookup
+from tallymark.operators.grouping import distinct_keys, first_per_group, salted_lookup
 from tallymark.sources.layouts import TIER
 from tallymark.sources.ledger import Ledger
 from tallymark.sources.scratch import write_through
@@ -56,18 +56,33 @@ def merchants(ledger: Ledger) -> DataFrame:
     )
 
 
-def with_transactions(authorizations: DataFrame, ledger: Ledger, *, first_only: bool = True) -> DataFrame:
-    """Add the transaction's history id and merchant id; with ``first_only`` the least transaction of each authorization."""
-    t = ledger.transaccion.select(
+def _transactions(ledger: Ledger) -> DataFrame:
+    return ledger.transaccion.select(
         F.col("autorizacion_id").alias("_authorization"),
         F.col("historial_transaccion_actual_id").alias("_history"),
         "comercio_id",
     )
-    if first_only:
-        t = first_per_group(t, ["_authorization"], ["_history", "comercio_id"])
+
+
+def with_transactions(authorizations: DataFrame, ledger: Ledger) -> DataFrame:
+    """Add the history id and merchant id of each authorization's least transaction."""
+    t = first_per_group(_transactions(ledger), ["_authorization"], ["_history", "comercio_id"])
     return authorizations.join(t, F.col("id") == F.col("_authorization"), "left").drop("_authorization")
 
 
+def with_all_transactions(authorizations: DataFrame, ledger: Ledger) -> DataFrame:
+    """Add the history id and merchant id of every transaction; an authorization without one stays, with NULLs.
+
+    The inner and the anti join together are the left join, but adaptive execution can split an authorization with
+    very many transactions only in an inner join.
+    """
+    t = _transactions(ledger)
+    found = authorizations.join(t, F.col("id") == F.col("_authorization")).drop("_authorization")
+    known = distinct_keys(t.filter("_authorization is not null"), ["_authorization"], "_history")
+    others = authorizations.join(known, F.col("id") == F.col("_authorization"), "left_anti")
+    return found.unionByName(others, allowMissingColumns=True)
+
+
 def with_states(transactions: DataFrame, ledger: Ledger) -> DataFrame:
     """Add the current state's name as ``nombre_estado``."""
     h = ledger.historial_transaccion.select(F.col("id").alias("_history_id"), "estado_transaccion_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +41,29 @@ def statement_codes(lines: DataFrame, layout: Layout) -> DataFrame:
     return lines.filter(F.col(layout.key).isNotNull()).select(F.col(layout.key).alias("_key"), layout.line_id)
 
 
-def fits_broadcast(values: DataFrame, column: str) -> bool:
-    """Whether the texts of one column, with room for their row headers, stay below the broadcast limit.
+@dataclass(frozen=True)
+class Extent:
+    """What the ledger has to be searched for: whether the statement's codes fit a broadcast, and its days."""
 
-    Reads that column alone, of a statement that is already written.
-    """
-    size = values.agg(F.sum(F.octet_length(column) + ROW_BYTES).alias("bytes")).first()["bytes"]
-    return (size or 0) <= MAX_BROADCAST_BYTES
+    small: bool
+    first_day: date | None = None
+    last_day: date | None = None
+
+
+def extent(lines: DataFrame, layout: Layout) -> Extent:
+    """One pass over the key and day columns of a written statement."""
+    size = F.coalesce(F.sum(F.octet_length(layout.key) + ROW_BYTES), F.lit(0))
+    day = text_date(F.col(layout.day)) if layout.day else F.lit(None).cast("date")
+    found = lines.agg(size.alias("bytes"), F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return Extent(found["bytes"] <= MAX_BROADCAST_BYTES, found["first"], found["last"])
+
+
+def within_days(authorizations: DataFrame, found: Extent) -> DataFrame:
+    """Authorizations of the statement's days: a range on the stored column, which the scan can skip files by."""
+    made = F.col("fecha_hora_creacion")
+    if found.first_day is None:
+        return authorizations.filter("false")
+    return authorizations.filter((made >= F.lit(found.first_day)) & (made < F.lit(found.last_day + timedelta(days=1))))
 
 
 def with_codes(authorizations: DataFrame, codes: DataFrame, layout: Layout, *, small: bool) -> DataFrame:
@@ -91,7 +108,10 @@ def candidates(
 
     authorizations = ledger.autorizacion.filter(nonempty(layout.ledger_key))
     codes = statement_codes(lines.filter(nonempty(layout.key)), layout)
-    if fits_broadcast(codes, "_key"):
+    searched = extent(lines, layout)
+    if layout.day:
+        authorizations = within_days(authorizations, searched)
+    if searched.small:
         found = kept(with_codes(authorizations, codes, layout, small=True))
         picked, narrowed = narrow_ledger(ledger, first_per_group(found, layout.match_columns, order_by))
         return Candidates(picked, found if narrowed is ledger else picked, narrowed)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallymark.sources.layouts import Layout
+from tallymark.sources.ledger import Ledger
 from tallymark.sources.scratch import write_through
 
 # A segment needs 24 bytes, so the largest broadcast of segment offsets is 24 MB.
@@ -58,3 +61,13 @@ def assign_row_id(
         offsets, on = F.broadcast(offsets.select("_segment", "_first", "_before")), ["_segment"]
     number = F.col("_position") - F.col("_first") + F.col("_before") + 1
     return written.join(offsets, on).select(*keep, number.alias(row_id))
+
+
+def collate_keys(lines: DataFrame, ledger: Ledger, layout: Layout, collation: str) -> tuple[DataFrame, Ledger]:
+    """Compare codes by a collation, such as ``UTF8_LCASE_RTRIM`` for a database that ignores case and trailing blanks.
+
+    Without this codes are compared byte by byte.
+    """
+    keys = ("codigo_referencia", "ref_id", "codigo_unico_adq")
+    a = ledger.autorizacion.withColumns({c: F.collate(c, collation) for c in keys})
+    return lines.withColumn(layout.key, F.collate(layout.key, collation)), replace(ledger, autorizacion=a)

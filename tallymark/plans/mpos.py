@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.columns import missing
 from tallymark.operators.grouping import partial_counts
-from tallymark.operators.lookup import narrow_ledger, with_links, with_states, with_transactions
-from tallymark.operators.match import fits_broadcast, statement_codes, unmatched_lines, with_codes
+from tallymark.operators.lookup import narrow_ledger, with_all_transactions, with_links, with_states
+from tallymark.operators.match import extent, statement_codes, unmatched_lines, with_codes
 from tallymark.operators.prepare import nonempty
 from tallymark.plans.common import METRICS, export_by_code, metric_rows
 from tallymark.sources.layouts import MPOS
@@ -31,9 +31,9 @@ def not_found(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None)
     """
     codes = statement_codes(lines, MPOS)
     authorizations = ledger.autorizacion.filter(F.col(MPOS.ledger_key).isNotNull())
-    if fits_broadcast(codes, "_key"):
+    if extent(lines, MPOS).small:
         authorizations, ledger = narrow_ledger(ledger, with_codes(authorizations, codes, MPOS, small=True))
-    states = with_states(with_transactions(authorizations, ledger, first_only=False), ledger)
+    states = with_states(with_all_transactions(authorizations, ledger), ledger)
     state = F.col("nombre_estado")
     linked = with_links(states.filter(missing(state)), ledger, links)
     groups = linked.groupBy(*GROUP).agg(
@@ -45,10 +45,9 @@ def not_found(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None)
     matched = counts.join(groups, F.col(MPOS.key) == F.col(MPOS.ledger_key)).select(
         *GROUP, (F.col("_lines") * per_row).alias("value")
     )
-    without = unmatched_lines(lines, authorizations, MPOS).select(
-        *(F.lit(None).cast("string").alias(c) for c in GROUP), F.lit(1).cast("bigint").alias("value")
-    )
-    return matched.filter("value > 0").unionByName(without).groupBy(*GROUP).agg(F.sum("value").alias("value"))
+    without = unmatched_lines(lines, authorizations, MPOS).select(F.lit(1).cast("bigint").alias("value"))
+    rows = matched.filter("value > 0").unionByName(without, allowMissingColumns=True)
+    return rows.groupBy(*GROUP).agg(F.sum("value").alias("value"))
 
 
 def statistics(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None) -> DataFrame:

@@ -10,11 +10,12 @@ from tallymark.operators.grouping import first_per_group
 from tallymark.operators.lookup import eligible_authorizations, enrich, with_signatures
 from tallymark.operators.match import (
     candidates,
-    fits_broadcast,
+    extent,
     matched_by_day,
     same_code_and_day,
     statement_codes,
     with_codes,
+    within_days,
 )
 from tallymark.operators.prepare import nonempty
 from tallymark.plans.common import file_columns, metric_rows
@@ -74,8 +75,9 @@ def statistics(lines: DataFrame, ledger: Ledger) -> DataFrame:
     Matched lines are counted per code and acquirer id, and the rest follows by subtraction.
     """
     codes = statement_codes(lines.filter(nonempty(TRANSACCIONES.key)), TRANSACCIONES)
-    authorizations = ledger.autorizacion
-    if fits_broadcast(codes, "_key"):
+    searched = extent(lines, TRANSACCIONES)
+    authorizations = within_days(ledger.autorizacion, searched)
+    if searched.small:
         authorizations = with_codes(authorizations, codes, TRANSACCIONES, small=True)
     matched = matched_by_day(lines, eligible_authorizations(authorizations, ledger), TRANSACCIONES)
     groups = matched.groupBy(TRANSACCIONES.key, "id").agg(F.count(F.lit(1)).alias("lines"))

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from conftest import authorization, transaction
 
+from tallymark.operators.prepare import collate_keys
 from tallymark.plans import mpos, pmc, transacciones
 from tallymark.sources.layouts import MERCHANT_ID_V4, MPOS, PMC, STATE, TIER, TRANSACCIONES
 
@@ -199,3 +200,20 @@ def test_merchant_id_beside_the_line_number(make_ledger, make_lines):
 def test_null_file_values_stay_null_in_the_export(make_ledger, make_lines):
     lines = make_lines(PMC, {"nro_orden": "k", "marca": None})
     assert pmc.export(lines, make_ledger()).first()["marca"] is None
+
+
+@pytest.mark.parametrize(("layout", "plan"), [(PMC, pmc), (MPOS, mpos), (TRANSACCIONES, transacciones)])
+def test_collation_of_codes(make_ledger, make_lines, layout, plan):
+    ledger = make_ledger(autorizacion=[authorization(1, "Ab "), authorization(2, "aB")], transaccion=[transaction(1)])
+    lines = make_lines(layout, {layout.key: "AB", "trx_date": "2024-05-01"}, {layout.key: "x"})
+    assert plan.export(lines, ledger).filter(f"{STATE} <> ''").count() == 0
+    lines, ledger = collate_keys(lines, ledger, layout, "UTF8_LCASE_RTRIM")
+    assert table(plan.export(lines, ledger), layout.line_id, STATE) == [(1, "Pagado"), (2, "")]
+    assert values(plan.statistics(lines, ledger))[2] == ("not_found", 1)
+
+
+def test_statement_without_any_date(make_ledger, make_lines):
+    ledger = make_ledger(autorizacion=[authorization(1, "a")])
+    lines = make_lines(TRANSACCIONES, trx("a", day="?"))
+    assert table(transacciones.export(lines, ledger), TRANSACCIONES.line_id, "codigo_unico_adq") == [(1, "")]
+    assert values(transacciones.statistics(lines, ledger))[2] == ("not_found", 1)
