@@ -4,6 +4,7 @@ import sys
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import SparkSession
 
@@ -18,7 +19,8 @@ def spark():
     builder = SparkSession.builder.master("local[4]").appName("tests")
     settings = {
         **SETTINGS,
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -64,6 +66,15 @@ def large_ledger(monkeypatch):
     monkeypatch.setattr(lookup, "LARGE_TABLE_ROWS", 0)
 
 
+# Types of the ledger's columns; a decimal is given as text.
+ARROW = {"bigint": pa.int64(), "int": pa.int32(), "timestamp": pa.timestamp("us")}
+
+
+def local_frame(spark, rows, types):
+    """A small DataFrame that needs no Python worker to be read."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=pa.schema(types)))
+
+
 DAY = datetime(2024, 5, 1, 10, 30)
 
 
@@ -83,7 +94,13 @@ def authorization(id, code, **values):
 
 
 @pytest.fixture
-def make_ledger(spark):
+def interpreted(conf):
+    """A few rows are read faster than code for them is generated."""
+    conf(spark__sql__codegen__wholeStage="false", spark__sql__codegen__factoryMode="NO_CODEGEN")
+
+
+@pytest.fixture
+def make_ledger(spark, interpreted):
     """A ledger from lists of dicts; tables not given are those of one merchant with one terminal."""
 
     def make(**tables):
@@ -99,8 +116,8 @@ def make_ledger(spark):
 
         def frame(name):
             columns = TABLES[name]
-            text = ", ".join(f"{c} {'string' if t.startswith('decimal') else t}" for c, t in columns.items())
-            return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows.get(name, [])], text)
+            types = {c: ARROW.get(t, pa.string()) for c, t in columns.items()}
+            return local_frame(spark, rows.get(name, []), types)
 
         return Ledger.of({name: frame(name) for name in TABLES})
 
@@ -120,9 +137,7 @@ def make_lines(spark):
     """Numbered lines of a layout from dicts; columns not given are empty."""
 
     def make(layout, *rows):
-        values = [tuple(r.get(c, "") for c in layout.columns) + (i,) for i, r in enumerate(rows, 1)]
-        return spark.createDataFrame(
-            values, ", ".join(f"{c} string" for c in layout.columns) + f", {layout.line_id} bigint"
-        )
+        values = [{**dict.fromkeys(layout.columns, ""), **r, layout.line_id: i} for i, r in enumerate(rows, 1)]
+        return local_frame(spark, values, {**dict.fromkeys(layout.columns, pa.string()), layout.line_id: pa.int64()})
 
     return make
