@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from conftest import authorization, transaction
 
-from tallymark.operators.grouping import salted_lookup
+from tallymark.operators.grouping import first_per_group, salted_lookup
 from tallymark.plans import mpos, pmc, transacciones
 from tallymark.sources.layouts import MPOS, PMC, STATE, TRANSACCIONES
 
@@ -180,14 +180,15 @@ def hot(spark, make_ledger, make_lines, no_broadcast, conf):
     return type(ledger)(**repartitioned), codes
 
 
-def test_hot_code_is_split_on_both_sides(hot, make_lines):
+def test_hot_codes_are_split(hot, make_lines):
     ledger, codes = hot
-    lines = make_lines(PMC, *({"nro_orden": c} for c in codes)).repartition(4)
-    export = pmc.export(lines, ledger)
+    statement = [*codes, *["lost"] * 700]
+    export = pmc.export(make_lines(PMC, *({"nro_orden": c} for c in statement)).repartition(4), ledger)
     plan = final_plan(export)
     assert re.search(r"SortMergeJoin\(skew=true\).*nro_orden.*Inner", plan)
+    assert re.search(r"SortMergeJoin\(skew=true\).*nro_orden.*LeftAnti", plan)
     refs = len({i % 120 for i, c in enumerate(codes) if c == "hot"})
-    assert export.count() == codes.count("hot") * refs + sum(c != "hot" for c in codes)
+    assert export.count() == codes.count("hot") * refs + sum(c != "hot" for c in statement)
 
 
 def test_hot_merchant_is_split(hot, make_lines):
@@ -205,6 +206,15 @@ def test_hot_code_and_day_is_split(hot, make_lines):
     assert export.filter("codigo_unico_adq <> ''").count() == len(codes)
 
 
+def test_hot_group_is_reduced_before_it_is_shuffled(spark, conf):
+    conf(spark__sql__adaptive__enabled="false")
+    rows = spark.range(0, 6000, numPartitions=6).selectExpr("if(id % 3 = 0, -1, id) as k", "6000 - id as v")
+    first = first_per_group(rows, ["k"], ["v"])
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert [m for m in re.findall(r"WindowGroupLimit|Exchange", plan)] == ["WindowGroupLimit", "Exchange", "WindowGroupLimit"]
+    assert first.count() == 4001 and first.filter("k = -1").first()["v"] == 3
+
+
 def test_lines_are_shuffled_once(hot, make_lines):
     ledger, codes = hot
     plan = final_plan(pmc.export(make_lines(PMC, *({"nro_orden": c} for c in codes)), ledger))
