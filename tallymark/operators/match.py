@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,7 +63,7 @@ def within_days(authorizations: DataFrame, found: Extent) -> DataFrame:
     made = F.col("fecha_hora_creacion")
     if found.first_day is None:
         return authorizations.filter("false")
-    return authorizations.filter((made >= F.lit(found.first_day)) & (made < F.lit(found.last_day + timedelta(days=1))))
+    return authorizations.filter((made >= F.lit(found.first_day)) & (made < F.date_add(F.lit(found.last_day), 1)))
 
 
 def with_codes(authorizations: DataFrame, codes: DataFrame, layout: Layout, *, small: bool) -> DataFrame:

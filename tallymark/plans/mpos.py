@@ -31,9 +31,12 @@ def not_found(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None)
     """
     codes = statement_codes(lines, MPOS)
     authorizations = ledger.autorizacion.filter(F.col(MPOS.ledger_key).isNotNull())
-    if extent(lines, MPOS).small:
-        authorizations, ledger = narrow_ledger(ledger, with_codes(authorizations, codes, MPOS, small=True))
-    states = with_states(with_all_transactions(authorizations, ledger), ledger)
+    small = extent(lines, MPOS).small
+    found = with_codes(authorizations, codes, MPOS, small=small)
+    if small:
+        found, ledger = narrow_ledger(ledger, found)
+        authorizations = found
+    states = with_states(with_all_transactions(found, ledger), ledger)
     state = F.col("nombre_estado")
     linked = with_links(states.filter(missing(state)), ledger, links)
     groups = linked.groupBy(*GROUP).agg(

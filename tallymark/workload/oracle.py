@@ -33,7 +33,8 @@ LEDGER_VALUES = {
     TRANSACCIONES.name: [*AUTHORIZATION, "avva.signature", TIER_CASE, "a.ref_id"],
 }
 # Suppliers of the merchant's nation, as pairs.
-PAIRS = "select s_suppkey as id, c_custkey as comercio_id, s_suppkey as comercio_contrato_id from supplier join customer on s_nationkey = c_nationkey"
+PAIRS = """select s_suppkey as id, c_custkey as comercio_id, s_suppkey as comercio_contrato_id
+    from supplier join customer on s_nationkey = c_nationkey"""
 
 
 def _sql(select: str) -> str:
@@ -104,7 +105,9 @@ def _export_by_code(layout: Layout, lines: str, line_id: str = "p.id", distinct:
 
 
 def _export_by_day(merchant_id: bool) -> str:
-    merchant, none = ("coalesce(cast(c.id as varchar), '') as id_comercio,", "'' as id_comercio,") if merchant_id else ("", "")
+    merchant, none = "", ""
+    if merchant_id:
+        merchant, none = "coalesce(cast(c.id as varchar), '') as id_comercio,", "'' as id_comercio,"
     return (
         _with(TRANSACCIONES, b.TRANSACCIONES_LINES)
         + f"""SELECT * EXCLUDE (rn) FROM (

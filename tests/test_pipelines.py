@@ -212,6 +212,13 @@ def test_collation_of_codes(make_ledger, make_lines, layout, plan):
     assert values(plan.statistics(lines, ledger))[2] == ("not_found", 1)
 
 
+def test_last_day_of_the_calendar(make_ledger, make_lines):
+    a = [authorization(1, "a", fecha_hora_creacion=datetime(9999, 12, 31, 23)), authorization(2, "b")]
+    lines = make_lines(TRANSACCIONES, trx("a", day="9999-12-31"), trx("b"), trx("b", id="y", day="0001-01-01"))
+    export = transacciones.export(lines, make_ledger(autorizacion=a))
+    assert table(export, TRANSACCIONES.line_id, "codigo_unico_adq") == [(1, "a"), (2, "b"), (3, "")]
+
+
 def test_statement_without_any_date(make_ledger, make_lines):
     ledger = make_ledger(autorizacion=[authorization(1, "a")])
     lines = make_lines(TRANSACCIONES, trx("a", day="?"))
