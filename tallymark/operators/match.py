@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,15 +45,16 @@ class Extent:
     """What the ledger has to be searched for: whether the statement's codes fit a broadcast, and its days."""
 
     small: bool
-    first_day: date | None = None
-    last_day: date | None = None
+    first_day: str | None = None
+    last_day: str | None = None
 
 
 def extent(lines: DataFrame, layout: Layout) -> Extent:
     """One pass over the key and day columns of a written statement."""
     size = F.coalesce(F.sum(F.octet_length(layout.key) + ROW_BYTES), F.lit(0))
     day = text_date(F.col(layout.day)) if layout.day else F.lit(None).cast("date")
-    found = lines.agg(size.alias("bytes"), F.min(day).alias("first"), F.max(day).alias("last")).first()
+    first, last = (f(day).cast("string").alias(n) for f, n in ((F.min, "first"), (F.max, "last")))
+    found = lines.agg(size.alias("bytes"), first, last).first()
     return Extent(found["bytes"] <= MAX_BROADCAST_BYTES, found["first"], found["last"])
 
 
@@ -63,7 +63,8 @@ def within_days(authorizations: DataFrame, found: Extent) -> DataFrame:
     made = F.col("fecha_hora_creacion")
     if found.first_day is None:
         return authorizations.filter("false")
-    return authorizations.filter((made >= F.lit(found.first_day)) & (made < F.date_add(F.lit(found.last_day), 1)))
+    first, last = (F.lit(day).cast("date") for day in (found.first_day, found.last_day))
+    return authorizations.filter((made >= first) & (made < F.date_add(last, 1)))
 
 
 def with_codes(authorizations: DataFrame, codes: DataFrame, layout: Layout, *, small: bool) -> DataFrame:
