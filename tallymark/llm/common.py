@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Let executors import this package, also where it is installed on the driver alone. Spark distributes the file."""
+    _ship(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _ship(application_id: str) -> None:
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="llm-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in package.rglob("*.py"):
+            out.write(file, file.relative_to(package.parent))
+    SparkSession.active().sparkContext.addPyFile(str(archive))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; other letters stay, unlike with ``lower``."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -5,6 +5,13 @@ from __future__ import annotations
 from tallymark.llm.decontamination import OP1_SQL, op1_decontamination
 from tallymark.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from tallymark.llm.mixing import op10_mixing
+from tallymark.llm.pii import op5_pii
+from tallymark.llm.quality import op3_quality
+from tallymark.llm.tokens import op8_token_ids
+from tallymark.llm.toxicity import op6_toxicity
 
-QUERIES = {query.__name__: query for query in (op1_decontamination, op2_exact_dedup, op10_mixing)}
+QUERIES = {
+    query.__name__: query
+    for query in (op1_decontamination, op2_exact_dedup, op3_quality, op5_pii, op6_toxicity, op8_token_ids, op10_mixing)
+}
 ORACLES = {"op1_decontamination": OP1_SQL, "op2_exact_dedup": OP2_SQL}
