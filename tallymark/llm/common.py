@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.sources.scratch import write_through
@@ -88,10 +88,9 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a key of each row: ``_id``, ``_hash`` of the text, and ``_nth`` among rows equal in both."""
-    same = Window.partitionBy("_id", "_hash").orderBy("_id")
-    return docs.withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(text_col)}).withColumn("_nth", F.row_number().over(same))
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> dict[str, Column]:
+    """``_id`` and ``_hash`` of the text, neither of them NULL. Only rows that repeat an id and a text share them."""
+    return {"_id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_hash": F.xxhash64(text_col)}
 
 
 def on_key(left: DataFrame, right: DataFrame, *names: str) -> Column:

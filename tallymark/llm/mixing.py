@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import BLANKS, keyed, on_key, table
+from tallymark.llm.common import BLANKS, on_key, row_key, table
 from tallymark.sources.scratch import write_through
 
 MOST_COPIES = 2
@@ -130,7 +130,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """How often each row of ``docs`` is taken: ``_id, _hash, _nth`` (see ``keyed``), ``doc_id, size, source_size, target, copies, taken``.
+    """How often each row of ``docs`` is taken: ``doc_id, hash`` (of the text), ``size, source_size, target, copies, taken``.
 
     Sources get their targets from ``weights`` and ``share`` (see ``source_targets``); within a source rates are tilted by
     size (``tilted_rates``) and rounded into 0, 1 or 2 copies (``rounded``). Which of several documents of one source and
@@ -171,24 +171,26 @@ def mix(
     offsets = filled.select("rank", "size", "part", before.alias("before"))
     place = F.row_number().over(Window.partitionBy("rank", "size", "part").orderBy("order", "doc_id", "hash"))
     copies = F.col("copies") + (F.col("before") + F.col("place") <= F.col("extra")).cast("long")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "hash").orderBy("place", "rank", "size"))
     return (
         dealt.withColumn("place", place)
         .join(offsets, ["rank", "size", "part"])
         .select(
-            F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), nth.alias("_nth"), "doc_id", "size", "source_size", "target",
-            copies.cast("int").alias("copies"), (copies * F.col("size")).alias("taken"),
+            "doc_id", "hash", "size", "source_size", "target", copies.cast("int").alias("copies"), (copies * F.col("size")).alias("taken")
         )
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mix`` takes it, with the columns of ``docs``."""
-    rows = keyed(docs, options.get("id_col", "doc_id"), options.get("text_col", "text"))
-    taken = mix(docs, **options).where("copies > 0").select("_id", "_hash", "_nth", F.col("copies").alias("_copies"))
-    kept = rows.join(taken, on_key(rows, taken, "_id", "_hash", "_nth"))
-    repeats = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    return kept.select(*[rows[c] for c in docs.columns], repeats).drop("_copy")
+    """The rows of ``docs``, each as often as ``mix`` takes it, with the columns of ``docs``.
+
+    Rows that repeat an id and a text are numbered after the join, and each takes one of their shares; texts are shuffled once.
+    """
+    rows = docs.withColumns(row_key(options.get("id_col", "doc_id"), options.get("text_col", "text")))
+    share = mix(docs, **options).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("hash").alias("_hash"), "copies")
+    shares = share.groupBy("_id", "_hash").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_shares")).where("_shares[0] > 0")
+    same = Window.partitionBy("_id", "_hash").orderBy("_id")
+    kept = rows.join(shares, ["_id", "_hash"]).withColumn("_copies", F.get("_shares", F.row_number().over(same) - 1)).where("_copies > 0")
+    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import run as pipeline
 from tallymark.llm.decontamination import OP1_SQL, op1_decontamination
 from tallymark.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from tallymark.llm.html_text import op7_html_text
 from tallymark.llm.mixing import op10_mixing
+from tallymark.llm.near_dedup import OP9_SQL, op9_near_dedup
 from tallymark.llm.pii import op5_pii
 from tallymark.llm.quality import op3_quality
+from tallymark.llm.substring_dedup import op4_substring_dedup
 from tallymark.llm.tokens import op8_token_ids
 from tallymark.llm.toxicity import op6_toxicity
 
 QUERIES = {
-    query.__name__: query
-    for query in (op1_decontamination, op2_exact_dedup, op3_quality, op5_pii, op6_toxicity, op8_token_ids, op10_mixing)
+    "op1_decontamination": op1_decontamination,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_pii": op5_pii,
+    "op6_toxicity": op6_toxicity,
+    "op7_html_text": op7_html_text,
+    "op8_token_ids": op8_token_ids,
+    "op9_near_dedup": op9_near_dedup,
+    "op10_mixing": op10_mixing,
+    "pipeline": pipeline,
 }
-ORACLES = {"op1_decontamination": OP1_SQL, "op2_exact_dedup": OP2_SQL}
+ORACLES = {"op1_decontamination": OP1_SQL, "op2_exact_dedup": OP2_SQL, "op9_near_dedup": OP9_SQL}
