@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import held_out
 
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 EDGES = ".,;:!?\"'()[]{}<>«»“”‘’…*#%&$@-–—_/\\|~^+="
 
 
@@ -49,7 +49,17 @@ def bucket(text: str, size: int, seed: int = 0) -> int:
 
 
 def shape(piece: str) -> str:
-    """Letters as a or A, digits as 0, other characters as they are; runs of one kind become one or, from three on, two."""
+    """Letters as a or A, digits as 0, other characters as they are; runs of one kind become one or, from three on, two.
+
+    A word of small letters, or with a capital first, is told at once, whatever its length; marks behind it stay.
+    """
+    core = piece.rstrip(".,;:!?")
+    marks = piece[len(core) :][:8]
+    if core.isalpha():
+        if core.islower():
+            return "aa" + marks
+        if core[1:].islower():
+            return "Aaa" + marks
     kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in piece[:32])
     return re.sub(r"(.)\1{2,}", r"\1\1", kinds)
 

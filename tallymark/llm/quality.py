@@ -24,17 +24,17 @@ RATE = 0.08
 THRESHOLD = 0.3
 
 _WORD = Remembered(lambda piece: bucket(piece.strip(EDGES).lower(), WORDS))
-_SHAPE = Remembered(lambda piece: WORDS + bucket(shape(piece), SHAPES, 1))
+_SHAPE = Remembered(lambda piece: bucket(shape(piece), SHAPES, 1))
 
 
 def raw_features(text: str | None) -> tuple[np.ndarray, np.ndarray, list[float]]:
     """Word buckets, shape buckets with their shares of all words, and statistics. The text's length is its metadata."""
     text = text or ""
     pieces = text.split()
-    words = {_WORD[piece] for piece in set(pieces)}
-    shapes = np.bincount([_SHAPE[piece] - WORDS for piece in pieces], minlength=SHAPES) if pieces else np.zeros(SHAPES, int)
+    words = set(map(_WORD.__getitem__, set(pieces)))
+    shapes = np.bincount(np.fromiter(map(_SHAPE.__getitem__, pieces), np.int64, len(pieces)), minlength=SHAPES)
     found = np.flatnonzero(shapes)
-    columns = np.concatenate([np.fromiter(words, np.int32, len(words)), (found + WORDS).astype(np.int32)])
+    columns = np.concatenate([np.sort(np.fromiter(words, np.int32, len(words))), (found + WORDS).astype(np.int32)])
     values = np.concatenate([np.full(len(words), 1 / np.sqrt(max(1, len(words)))), np.sqrt(shapes[found] / max(1, len(pieces)))])
     return columns, values.astype(np.float32), statistics(text, pieces, len(set(pieces)))
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -13,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import held_out, ship, table
+from tallymark.sources.scratch import write_through
 from tallymark.llm.features import EDGES, Remembered, bucket, labelled_sample, logistic, rows_of
 
 MAX_LABELLED = 16_000  # labelled rows that lexicons are mined from and the classifier is trained on
@@ -24,7 +28,6 @@ WORD_VOTERS, PREFIX_VOTERS = 5, 3
 BUCKETS = 1 << 17
 EPOCHS, BATCH, RATE = 10, 128, 0.2
 THRESHOLD = 0.5
-PREFIXES = (4, 5)
 
 # Common insults of four languages, and phrases that threaten or address somebody.
 INSULTS = frozenset(
@@ -43,9 +46,11 @@ SEEDS, PATTERNS, MASKS, NEGATIVE = range(VOTERS - 4, VOTERS)
 
 
 def _terms(piece: str) -> tuple[str, ...]:
-    """A word without marks at its ends, in lower case, and its prefixes, marked as such."""
+    """A word without marks at its ends, in lower case, and its prefixes of 4 and 5 letters, marked as such."""
     word = piece.strip(EDGES).lower()
-    return (word, *(f"{word[:n]}~" for n in PREFIXES if len(word) > n)) if word else ()
+    if len(word) > 5:
+        return word, word[:4] + "~", word[:5] + "~"
+    return (word, word[:4] + "~") if len(word) > 4 else (word,) if word else ()
 
 
 TERMS = Remembered(_terms)
@@ -70,13 +75,12 @@ class Toxicity:
     def votes(self, text: str | None, pieces: set[str] | None = None) -> int:
         """One bit per voter. The negative voter speaks if no other does."""
         text = text or ""
-        voters = _VOTERS.get(id(self))
-        if voters is None:
-            _VOTERS.clear()
-            voters = _VOTERS[id(self)] = Remembered(self._of_piece)
+        return self._votes(text, map(_memory(self).bits.__getitem__, set(text.split()) if pieces is None else pieces))
+
+    def _votes(self, text: str, spoken: Iterable[int]) -> int:
         bits = 0
-        for piece in set(text.split()) if pieces is None else pieces:
-            bits |= voters[piece]
+        for more in set(spoken):
+            bits |= more
         threat, bits = bits >> VOTERS, bits & (1 << VOTERS) - 1
         if bits and any(m[1].lower() in INSULTS or m[1].lower() in self.lexicon for m in ADDRESSED.finditer(text)):
             bits |= 1 << PATTERNS
@@ -84,38 +88,57 @@ class Toxicity:
             bits |= 1 << PATTERNS
         return bits or 1 << NEGATIVE
 
-    def _of_piece(self, piece: str) -> int:
+    def bits_of(self, piece: str, terms: tuple[str, ...] | None = None) -> int:
         """Bits of the voters that know the piece; one more bit for words of threats."""
-        terms = TERMS[piece]
-        bits = 0
-        for term in terms:
+        bits = 1 << MASKS if MASKED.match(piece) else 0
+        for term in _terms(piece) if terms is None else terms:
             if term in self.lexicon:
                 bits |= 1 << self.lexicon[term]
-        if terms and terms[0] in INSULTS:
-            bits |= 1 << SEEDS
-        if terms and terms[0] in THREAT_WORDS:
-            bits |= 1 << VOTERS
-        return bits | (1 << MASKS if MASKED.match(piece) else 0)
+            if term in INSULTS:
+                bits |= 1 << SEEDS
+            if term in THREAT_WORDS:
+                bits |= 1 << VOTERS
+        return bits
 
     def columns(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The votes and the hashed terms of a text, and their values."""
+        """The votes, and the hashed terms of the distinct pieces of a text with their numbers over the root of all pieces."""
         pieces = set((text or "").split())
         votes = self.votes(text, pieces)
         voted = [j for j in range(VOTERS) if votes >> j & 1]
-        terms = {column for piece in pieces for column in _COLUMNS[piece]}
-        values = np.concatenate([np.ones(len(voted)), np.full(len(terms), 1 / np.sqrt(max(1, len(terms))))])
-        return np.array([*voted, *sorted(terms)], dtype=np.int64), values
+        terms, numbers = np.unique(np.fromiter(chain.from_iterable(map(_COLUMNS.__getitem__, pieces)), np.int64), return_counts=True)
+        return np.concatenate([np.array(voted, np.int64), terms]), np.concatenate([np.ones(len(voted)), numbers / np.sqrt(max(1, len(pieces)))])
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
-        rows = [self.columns(text) for text in texts]
-        index, starts = rows_of(c for c, _ in rows)
-        x, _ = rows_of(v for _, v in rows)
-        return logistic(self.bias + np.add.reduceat(self.weights[index] * x, starts))
+        """As the sum over ``columns``, piece by piece: a piece always adds the same, so that is remembered."""
+        memory, found = _memory(self), []
+        for text in texts:
+            text = text or ""
+            known = list(map(memory.scored.__getitem__, set(text.split())))
+            votes = self._votes(text, map(itemgetter(0), known))
+            voted = sum(memory.weights[j] for j in range(VOTERS) if votes >> j & 1)
+            found.append(self.bias + voted + math.fsum(map(itemgetter(1), known)) / math.sqrt(max(1, len(known))))
+        return logistic(np.array(found))
+
+
+class _Memory:
+    """What a model says of single pieces; ``fsum`` makes their sum independent of the order."""
+
+    def __init__(self, model: Toxicity):
+        self.model, self.bits, self.scored = model, Remembered(model.bits_of), Remembered(self._score)
+        self.weights = [] if model.weights is None else model.weights.tolist()
+
+    def _score(self, piece: str) -> tuple[int, float]:
+        terms = _terms(piece)
+        return self.model.bits_of(piece, terms), sum([self.weights[VOTERS + bucket(term, BUCKETS)] for term in terms])
+
+
+_MEMORY: list[_Memory] = []
 
 
-_VOTERS: dict[int, Remembered] = {}
+def _memory(model: Toxicity) -> _Memory:
+    if not _MEMORY or _MEMORY[0].model is not model or len(_MEMORY[0].weights) != (0 if model.weights is None else len(model.weights)):
+        _MEMORY[:] = [_Memory(model)]
+    return _MEMORY[0]
 
 
 def mined_lexicon(sample: DataFrame) -> dict[str, int]:
@@ -142,7 +165,8 @@ def mined_lexicon(sample: DataFrame) -> dict[str, int]:
         terms = [term for term in counts[0] if term not in counts[1]]
         yield pd.DataFrame({"term": terms, "toxic": [0] * len(terms), "other": [counts[0][t] for t in terms]})
 
-    summed = sample.mapInPandas(count, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counted = sample.mapInPandas(count, "term string, toxic long, other long").groupBy("term")
+    summed = write_through(counted.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(f"term = '' or toxic >= {LEAST_DOCUMENTS}"), "toxic-terms")
     totals = summed.where("term = ''").first()
     if totals is None or not totals["toxic"]:
         return {}
@@ -195,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     classifier on the posteriors of at most ``max_labelled`` rows. Voters are few, so sets of votes are at most 2 ** VOTERS."""
     spark = docs.sparkSession
     ship(spark)
-    sample = labelled_sample(docs, labels, "toxic", max_labelled)
+    sample = write_through(labelled_sample(docs, labels, "toxic", max_labelled), "toxic-sample")
     model = Toxicity(mined_lexicon(sample))
     shared = spark.sparkContext.broadcast(model)
 
