@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,9 +23,14 @@ def null_default(column: Column, default: str = "") -> Column:
     return F.coalesce(column.cast("string"), F.lit(default))
 
 
-def text_date(column: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    """Day in the first ten characters of a text; NULL, not an error, where they are no date."""
-    return F.try_to_date(F.substring(column, 1, 10), pattern)
+# How a day may be spelled in a statement: with or without leading zeros, by hyphens, by slashes, or without either.
+DAY_PATTERNS = ("yyyy-M-d", "yyyy/M/d", "yyyyMMdd")
+
+
+def text_date(column: Column, patterns: Sequence[str] = DAY_PATTERNS) -> Column:
+    """Day in the first ten characters of a text, up to a blank; NULL, not an error, where they are no date."""
+    day = F.substring_index(F.substring(column, 1, 10), " ", 1)
+    return F.coalesce(*(F.try_to_date(day, pattern) for pattern in patterns))
 
 
 def missing(column: Column) -> Column:

@@ -172,13 +172,9 @@ def acquirer_links(comercio_adquiriente: DataFrame) -> DataFrame:
     return comercio_adquiriente.groupBy(F.col("comercio_id").alias("_linked")).agg(F.count(F.lit(1)).alias("_links"))
 
 
-def with_links(transactions: DataFrame, ledger: Ledger, links: DataFrame | None = None) -> DataFrame:
-    """Add the number of rows the join with the merchant's acquirer links makes of a row: at least one, as it keeps the row.
-
-    ``links`` (_linked, _links) takes the place of the counted table where the counts are already known.
-    """
-    links = acquirer_links(ledger.comercio_adquiriente) if links is None else links
-    links = links.join(ledger.comercio, F.col("_linked") == F.col("id"), "left_semi")
+def with_links(transactions: DataFrame, ledger: Ledger) -> DataFrame:
+    """Add the number of rows the join with the merchant's acquirer links makes of a row: at least one, as it keeps the row."""
+    links = acquirer_links(ledger.comercio_adquiriente).join(ledger.comercio, F.col("_linked") == F.col("id"), "left_semi")
     if ledger.merchant_bytes <= MAX_BROADCAST_BYTES:
         linked = transactions.join(F.broadcast(links), F.col("comercio_id") == F.col("_linked"), "left")
     else:

@@ -22,12 +22,11 @@ def export(lines: DataFrame, ledger: Ledger) -> DataFrame:
     return export_by_code(lines, ledger, MPOS, F.col(MPOS.line_id), F.col(MPOS.line_id))
 
 
-def not_found(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None) -> DataFrame:
+def not_found(lines: DataFrame, ledger: Ledger) -> DataFrame:
     """Joined rows without a state, per authorization group; all lines without an authorization are one group.
 
     A row counts if its line has a key and its state is NULL, or if its state is the empty text, whatever the key.
     Joined rows are not built: lines are counted per code, and the merchant's acquirer links are a factor.
-    ``links`` (_linked, _links) replaces the count of the ledger's acquirer links where that is already known.
     """
     codes = statement_codes(lines, MPOS)
     authorizations = ledger.autorizacion.filter(F.col(MPOS.ledger_key).isNotNull())
@@ -38,7 +37,7 @@ def not_found(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None)
         authorizations = found
     states = with_states(with_all_transactions(found, ledger), ledger)
     state = F.col("nombre_estado")
-    linked = with_links(states.filter(missing(state)), ledger, links)
+    linked = with_links(states.filter(missing(state)), ledger)
     groups = linked.groupBy(*GROUP).agg(
         F.sum(F.when(state.isNull(), F.col("_links")).otherwise(0)).alias("_null"),
         F.sum(F.when(state == "", F.col("_links")).otherwise(0)).alias("_empty"),
@@ -53,10 +52,10 @@ def not_found(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None)
     return rows.groupBy(*GROUP).agg(F.sum("value").alias("value"))
 
 
-def statistics(lines: DataFrame, ledger: Ledger, links: DataFrame | None = None) -> DataFrame:
+def statistics(lines: DataFrame, ledger: Ledger) -> DataFrame:
     """Lines in, lines declared as output, and one not-found row per group; no such row if everything was found."""
     totals = lines.agg(F.count(F.lit(1)).alias("input")).withColumn("output_declared", F.col("input"))
-    groups = not_found(lines, ledger, links).select(
+    groups = not_found(lines, ledger).select(
         F.lit("not_found").alias("metric"), F.lit(METRICS["not_found"]).alias("label"), "value"
     )
     return metric_rows(totals, ["input", "output_declared"]).unionByName(groups)

@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import missing, null_default
-from tallymark.operators.lookup import with_states, with_transactions
+from tallymark.operators.lookup import enrich
 from tallymark.operators.match import candidates
 from tallymark.operators.prepare import nonempty
 from tallymark.plans.common import export_by_code, metric_rows
-from tallymark.sources.layouts import PMC
+from tallymark.sources.layouts import PMC, TIER
 from tallymark.sources.ledger import Ledger
 
+# What a row of the statistics shows of the ledger.
+SHOWN = [source for source in PMC.ledger_columns.values() if source not in (TIER, "ref_id")]
+
 
 def export(lines: DataFrame, ledger: Ledger) -> DataFrame:
     """Every line with a key: one row per authorization reference it matches, or one row with empty ledger columns."""
@@ -32,14 +35,15 @@ def export_merchant_id(lines: DataFrame, ledger: Ledger) -> DataFrame:
 def statistics(lines: DataFrame, ledger: Ledger) -> DataFrame:
     """Lines in, lines declared as output, export rows without a state, and true export rows.
 
-    Both sides are counted per code before they meet, so a hot code is one row on each side of the join. The least
-    authorization id of a group settles its state, so no other tie-break column is read.
+    The log counts rows without a state after equal rows were merged, and its rows do not show the group's reference:
+    groups of a code that differ in their reference alone are one row there. Lines never merge, as they show their number.
+    Both sides are counted per code before they meet, so a hot code is one row on each side of the join.
     """
     per_code = lines.groupBy(PMC.key).agg(F.count(F.lit(1)).alias("lines"))
-    found = candidates(ledger, lines, PMC, order_by=["id"])
-    states = with_states(with_transactions(found.picked, found.ledger), found.ledger)
-    groups = states.groupBy(F.col(PMC.ledger_key).alias("_code")).agg(
-        F.count(F.lit(1)).alias("groups"), F.count_if(missing(F.col("nombre_estado"))).alias("stateless")
+    found = candidates(ledger, lines, PMC)
+    merged = enrich(found.picked, found.ledger).groupBy(*SHOWN).agg(F.count(F.lit(1)).alias("groups"))
+    groups = merged.groupBy(F.col(PMC.ledger_key).alias("_code")).agg(
+        F.sum("groups").alias("groups"), F.count_if(missing(F.col("nombre_estado"))).alias("stateless")
     )
     keyed = nonempty(PMC.key)
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
+from tallymark.operators.prepare import collate_keys
 from tallymark.plans import mpos, pmc, transacciones
 from tallymark.sinks.export import export_name, statistics_name, write_export, write_statistics
 from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout, layout_for
@@ -13,12 +16,26 @@ from tallymark.sources.statement import stage_statement
 PLANS = {PMC.name: pmc, MPOS.name: mpos, TRANSACCIONES.name: transacciones}
 
 
+def escaped(file: str) -> str:
+    """A path whose name is taken as it is, brackets and stars included."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
+
+
 def reconcile(
-    spark: SparkSession, file: str, ledger: Ledger, out: str, *, merchant_id: bool = False, **read_options
+    spark: SparkSession,
+    file: str,
+    ledger: Ledger,
+    out: str,
+    *,
+    merchant_id: bool = False,
+    keep_duplicates: bool = False,
+    collation: str | None = None,
+    **read_options,
 ) -> Layout | None:
     """Read, number, match and write one file. A name without a layout is left alone and gives None.
 
     The lines are written to the shared folder once; the export and the statistics both start from there.
+    ``keep_duplicates`` is for the day-matched layout, ``collation`` compares codes by it. The name is a name, not a pattern.
     """
     name = file.rstrip("/").rsplit("/", 1)[-1]
     layout = layout_for(name)
@@ -26,7 +43,10 @@ def reconcile(
         return None
     plan = PLANS[layout.name]
     export = plan.export_merchant_id if merchant_id and hasattr(plan, "export_merchant_id") else plan.export
-    lines = stage_statement(spark, file, layout, **read_options)
-    write_export(export(lines, ledger), f"{out.rstrip('/')}/{export_name(name)}")
+    lines = stage_statement(spark, escaped(file), layout, **read_options)
+    if collation:
+        lines, ledger = collate_keys(lines, ledger, layout, collation)
+    options = {"keep_duplicates": True} if keep_duplicates and layout is TRANSACCIONES else {}
+    write_export(export(lines, ledger, **options), f"{out.rstrip('/')}/{export_name(name)}")
     write_statistics(plan.statistics(lines, ledger), f"{out.rstrip('/')}/{statistics_name(name)}")
     return layout

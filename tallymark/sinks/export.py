@@ -32,9 +32,9 @@ def write_export(export: DataFrame, path: str, *, charset: str = "UTF-8", mode:
 
 
 def write_lines(export: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """The same rows as bare quoted lines, unescaped and without a header; a row with a NULL in it is dropped."""
-    line = format_line([F.col(c) for c in export.columns])
-    export.select(line.alias("value")).filter("value is not null").write.mode(mode).text(path)
+    """The same rows as bare quoted lines, unescaped and without a header; a row with a NULL in it is the line ``NULL``."""
+    line = F.coalesce(format_line([F.col(c) for c in export.columns]), F.lit("NULL"))
+    export.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def write_statistics(statistics: DataFrame, path: str, *, mode: str = "overwrite") -> None:

@@ -11,9 +11,14 @@ from tallymark.operators.prepare import assign_row_id, drop_empty_key
 from tallymark.sources.layouts import LAYOUTS, Layout
 
 UNKNOWN_LAYOUT = "none"
+BEHIND = 1 << 62  # added to a split's start: blank lines are a segment of their own behind it
 SPLIT = ("_file", "_block")  # one input split of one file; the order of splits is the order of the file
 
 
+class BrokenStatement(ValueError):
+    """A statement whose lines cannot be told apart."""
+
+
 def route_layout(file_name: Column) -> Column:
     """Name of the layout a file belongs to; the first word found wins."""
     upper = F.upper(file_name)
@@ -64,9 +69,44 @@ def read_statement(
     )
 
 
-def stage_statement(spark: SparkSession, paths: str | Sequence[str], layout: Layout, **options) -> DataFrame:
-    """Cleaned and numbered lines of one or more files, written to the shared folder: the input of the pipelines."""
+def blank_lines(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
+    """The blank lines of a statement, which the CSV reader passes over, as rows of empty texts behind those of their split."""
+    raw = spark.read.text(paths).where(F.trim("value") == "")
+    return raw.select(
+        *(F.lit("").alias(c) for c in layout.columns),
+        F.col("_metadata.file_path").alias(SPLIT[0]),
+        (F.col("_metadata.file_block_start") + BEHIND).alias(SPLIT[1]),
+    )
+
+
+def broken_lines(spark: SparkSession, paths: str | Sequence[str], *, quote: str = '"', escape: str = "\\") -> int:
+    """Lines with an odd number of quotes: a quoted value with a line end in it was cut there. Such a file needs ``multi_line``."""
+    plain = F.replace("value", F.lit(escape + quote), F.lit(""))
+    quotes = F.length(plain) - F.length(F.replace(plain, F.lit(quote), F.lit("")))
+    return spark.read.text(paths).where(quotes % 2 == 1).count()
+
+
+def stage_statement(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    layout: Layout,
+    *,
+    keep_blank_lines: bool = True,
+    strict: bool = False,
+    **options,
+) -> DataFrame:
+    """Cleaned and numbered lines of one or more files, written to the shared folder: the input of the pipelines.
+
+    Blank lines are rows of empty texts, as a bulk load makes them, numbered behind the other lines of their split. With
+    ``multi_line`` a blank line may be part of a value, so none is added. ``strict`` refuses a file with broken lines.
+    """
+    if strict and not options.get("multi_line"):
+        quoting = {k: options[k] for k in ("quote", "escape") if k in options}
+        if broken := broken_lines(spark, paths, **quoting):
+            raise BrokenStatement(f"{broken} lines of {paths} have an open quote; read it with multi_line")
     lines = read_statement(spark, paths, layout, **options)
+    if keep_blank_lines and not options.get("multi_line") and not layout.drop_empty_key:
+        lines = lines.unionByName(blank_lines(spark, paths, layout))
     if layout.drop_empty_key:
         lines = drop_empty_key(lines, layout.key)
     return assign_row_id(lines, layout.line_id, segment=SPLIT)

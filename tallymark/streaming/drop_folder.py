@@ -25,6 +25,7 @@ def reconcile_arrivals(
 
     The stream carries names only, at most ``files_per_batch`` at a time; the content of a file is read by its run, on
     the whole cluster. Outputs are named after the file and overwritten, so a batch that is repeated changes nothing.
+    A file whose run fails is recorded in ``FAILED_<batch>`` beside the outputs, and the others go on.
     """
     names = (
         spark.readStream.format("binaryFile")
@@ -35,8 +36,15 @@ def reconcile_arrivals(
         .filter(route_layout(F.element_at(F.split("path", "/"), -1)) != UNKNOWN_LAYOUT)
     )
 
-    def run(batch: DataFrame, _: int) -> None:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        failed = []
         for row in batch.toLocalIterator():
-            reconcile(spark, row["path"], ledger, out, **run_options)
+            try:
+                reconcile(spark, row["path"], ledger, out, **run_options)
+            except Exception as error:  # noqa: BLE001  one bad file must not keep all others waiting
+                failed.append((row["path"], type(error).__name__, str(error)[:1000]))
+        if failed:
+            schema = "path string, error string, message string"
+            spark.createDataFrame(failed, schema).coalesce(1).write.mode("overwrite").json(f"{out.rstrip('/')}/FAILED_{batch_id}")
 
     return names.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

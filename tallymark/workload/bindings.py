@@ -111,9 +111,17 @@ def _authorizations(reference: str, code: str) -> str:
         l_suppkey as comercio_procesador_terminal_id from {{lineitem}}"""
 
 
+# Every third order has each of its authorizations once more, with another reference and nothing else changed.
+TWINS = "PMC twins"
+PMC_AUTHORIZATIONS = _authorizations(ORDER_CODE, PART_CODE)
+PMC_TWINS = f"""{PMC_AUTHORIZATIONS} union all select id, codigo_referencia, concat('again ', ref_id) as ref_id, codigo_unico_adq, fecha_hora_creacion,
+    exitosa, tarhab_email, hash_tarjeta, monto_autorizado, numero_tarjeta_enmascarada, comercio_procesador_terminal_id
+    from ({PMC_AUTHORIZATIONS}) where id % 3 = 0"""
+
 # Ledger table -> SELECT; the authorizations depend on the layout.
 AUTHORIZATIONS = {
-    PMC.name: _authorizations(ORDER_CODE, PART_CODE),
+    TWINS: PMC_TWINS,
+    PMC.name: PMC_AUTHORIZATIONS,
     MPOS.name: _authorizations(PART_CODE, ORDER_CODE),
     TRANSACCIONES.name: _authorizations(PART_CODE, ORDER_CODE),
 }
@@ -136,10 +144,13 @@ LEDGER = {
     "adq_vdp_v3_authorization": """select o_orderkey as autorizacion_id, o_orderpriority as signature
         from {orders} where o_orderstatus = 'F'""",
 }
-# The merchants' acquirer links of the terminal layout are the suppliers of the merchant's nation. Suppliers are
-# counted per nation before they meet the merchants, so the pairs are never built.
-MERCHANT_LINKS = """select c_custkey as _linked, links as _links from {customer}
-    join (select s_nationkey, count(*) as links from {supplier} group by s_nationkey) on s_nationkey = c_nationkey"""
+# Where merchants have several acquirer links each: the orders of a customer.
+MERCHANT_LINKS = """select o_orderkey as id, o_custkey as comercio_id, o_orderkey as comercio_contrato_id, 4 as adquiriente_id from {orders}"""
+
+
+def ledger_tables(layout: Layout) -> dict[str, str]:
+    """SELECTs of the lookup tables. Only the day-matched layout reads terminals' acquirer links, the others merchants'."""
+    return LEDGER if layout is TRANSACCIONES else {**LEDGER, "comercio_adquiriente": MERCHANT_LINKS}
 
 
 # Definitions and staged tables are made once per application and folder: they hold no rows, only plans and schemas.
@@ -163,12 +174,14 @@ def bind(spark: SparkSession, sf_dir: str, select: str) -> DataFrame:
     return spark.sql(select, **{t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in select})
 
 
-def ledger(spark: SparkSession, sf_dir: str, layout: Layout) -> Ledger:
+def ledger(spark: SparkSession, sf_dir: str, layout: Layout, authorizations: str | None = None) -> Ledger:
+    kind = authorizations or layout.name
+
     def make() -> Ledger:
-        selects = {"autorizacion": AUTHORIZATIONS[layout.name], **LEDGER}
+        selects = {"autorizacion": AUTHORIZATIONS[kind], **ledger_tables(layout)}
         return Ledger.of({name: bind(spark, sf_dir, select) for name, select in selects.items()})
 
-    return _once(spark, sf_dir, "ledger", layout.name, make=make)
+    return _once(spark, sf_dir, "ledger", kind, make=make)
 
 
 def numbered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,80 +1,72 @@
-"""SQL that computes each registered query in the plainest way, for DuckDB on the same tables.
+"""SQL that computes each registered query from the described behaviour, for DuckDB on the same tables.
 
-The statements and ledger tables are the shared bindings; everything on top is written separately from the Spark code:
-all lookups are joined, also those the pipelines leave out, and rows are grouped after the join.
+The statements and ledger tables are the shared bindings. Everything on top is written on its own: what is known of a
+merchant, a transaction and an authorization is put together in one relation each, and rows are grouped after the join.
 """
 
 from __future__ import annotations
 
-from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout
+from tallymark.sources.layouts import MPOS, PMC, TIER, TRANSACCIONES, Layout
 from tallymark.workload import bindings as b
 from tallymark.workload.queries import DAY_TEXTS, FILE_NAME, KEYS
 
 TRX_ID = TRANSACCIONES.line_id
-TIER_CASE = """case when wm.migration_date is not null then 't0 (Evolution)'
-    when cconf.id is not null then 'Ledger' else 'T+n (Core)' end"""
+
+# Relations on the ledger, each on the ones before it.
+KNOWN = {
+    "merchant": """SELECT id AS merchant_id, nombre_comercial AS merchant_name, CASE
+        WHEN codigo_comercio IN (SELECT codigo_comercio FROM whitemarches WHERE migration_date IS NOT NULL) THEN 't0 (Evolution)'
+        WHEN id IN (SELECT comercio_id FROM comercio_configuracion WHERE configuracion_id = 11 AND id IS NOT NULL) THEN 'Ledger'
+        ELSE 'T+n (Core)' END AS tier FROM comercio""",
+    "state": """SELECT historial_transaccion.id AS history_id, estado_transaccion.nombre AS state_name
+        FROM estado_transaccion JOIN historial_transaccion ON estado_transaccion_id = estado_transaccion.id""",
+    "payment": """SELECT autorizacion_id AS paid, historial_transaccion_actual_id AS history_id, comercio_id AS paid_to,
+        state_name, merchant_id, merchant_name, tier
+        FROM transaccion LEFT JOIN state ON history_id = historial_transaccion_actual_id LEFT JOIN merchant ON merchant_id = comercio_id""",
+    "known": "SELECT * FROM autorizacion LEFT JOIN payment ON paid = id",
+    "acquired": """SELECT comercio_id AS owner, count(*) AS links FROM comercio_adquiriente
+        WHERE comercio_id IN (SELECT id FROM comercio) GROUP BY comercio_id""",
+    "answer": "SELECT autorizacion_id AS answered, signature FROM adq_vdp_v3_authorization",
+    "terminal": """SELECT id AS terminal_id FROM comercio_procesador_terminal WHERE comercio_adquiriente_id IN (
+        SELECT id FROM comercio_adquiriente WHERE adquiriente_id = 4 AND comercio_contrato_id IN (
+            SELECT id FROM comercio_contrato WHERE tipo_contrato_id = 1))""",
+    "eligible": """SELECT *, CAST(fecha_hora_creacion AS date) AS made_on FROM known
+        LEFT JOIN answer ON answered = id AND exitosa = 0
+        WHERE comercio_procesador_terminal_id IN (SELECT terminal_id FROM terminal)""",
+}
 # Least authorization, then least transaction, NULL first.
 PICK_ORDER = ", ".join(
-    f"{c} nulls first"
+    f"known.{c} NULLS FIRST"
     for c in (
-        "a.id a.fecha_hora_creacion a.monto_autorizado a.exitosa a.codigo_unico_adq a.codigo_referencia a.ref_id "
-        "a.tarhab_email a.hash_tarjeta a.numero_tarjeta_enmascarada a.comercio_procesador_terminal_id "
-        "t.historial_transaccion_actual_id t.comercio_id"
-    ).split()
+        "id", "fecha_hora_creacion", "monto_autorizado", "exitosa", "codigo_unico_adq", "codigo_referencia", "ref_id", "tarhab_email",
+        "hash_tarjeta", "numero_tarjeta_enmascarada", "comercio_procesador_terminal_id", "history_id", "paid_to",
+    )
 )
-# Export columns of the ledger, in header order, as expressions over the joined rows.
-AUTHORIZATION = (
-    "c.nombre_comercial a.fecha_hora_creacion a.exitosa a.tarhab_email a.hash_tarjeta a.monto_autorizado "
-    "a.numero_tarjeta_enmascarada et.nombre a.codigo_referencia a.codigo_unico_adq"
-).split()
-LEDGER_VALUES = {
-    PMC.name: [*AUTHORIZATION, TIER_CASE, "a.ref_id"],
-    MPOS.name: ["c.id", *AUTHORIZATION, TIER_CASE, "a.ref_id"],
-    TRANSACCIONES.name: [*AUTHORIZATION, "avva.signature", TIER_CASE, "a.ref_id"],
+# Names of the relations above for what the layouts call by other names.
+COLUMN_OF = {
+    "nombre_comercial": "known.merchant_name",
+    "nombre_estado": "known.state_name",
+    "comercio_id": "known.merchant_id",
+    TIER: "coalesce(known.tier, 'T+n (Core)')",
 }
-# Suppliers of the merchant's nation, as pairs.
-PAIRS = """select s_suppkey as id, c_custkey as comercio_id, s_suppkey as comercio_contrato_id
-    from supplier join customer on s_nationkey = c_nationkey"""
 
 
 def _sql(select: str) -> str:
     return select.format(**{t: t for t in b.TABLES})
 
 
-def _with(layout: Layout, lines: str, **more: str) -> str:
-    tables = {"lines": _sql(lines), "autorizacion": _sql(b.AUTHORIZATIONS[layout.name])}
-    tables |= {name: _sql(select) for name, select in b.LEDGER.items()}
-    tables["estado_transaccion_usuario"] = "select r_regionkey as id from region"
-    if layout is not TRANSACCIONES:
-        tables["comercio_adquiriente"] = PAIRS
-    return "WITH " + ", ".join(f"{n} AS ({s})" for n, s in {**tables, **more}.items()) + " "
-
-
-LOOKUPS = """left join transaccion t on a.id = t.autorizacion_id
-    left join historial_transaccion ht on ht.id = t.historial_transaccion_actual_id
-    left join estado_transaccion et on et.id = ht.estado_transaccion_id
-    left join estado_transaccion_usuario etu on etu.id = et.estado_transaccion_usuario_id
-    left join comercio c on c.id = t.comercio_id"""
-TIERS = """left join whitemarches wm on wm.codigo_comercio = c.codigo_comercio
-    left join comercio_configuracion cconf on cconf.comercio_id = c.id and cconf.configuracion_id = 11"""
-FANOUT = """left join comercio_adquiriente ca on ca.comercio_id = c.id
-    left join comercio_contrato cc on cc.id = ca.comercio_contrato_id"""
+def _with(layout: Layout, lines: str, authorizations: str | None = None, **more: str) -> str:
+    tables = {"lines": _sql(lines), "autorizacion": _sql(b.AUTHORIZATIONS[authorizations or layout.name])}
+    tables |= {name: _sql(select) for name, select in b.ledger_tables(layout).items()}
+    return "WITH " + ", ".join(f"{n} AS ({s})" for n, s in {**tables, **KNOWN, **more}.items()) + " "
+
+
 BY_CODE = {
-    PMC.name: f"from lines p left join autorizacion a on a.codigo_referencia = p.nro_orden {LOOKUPS} {FANOUT}",
-    MPOS.name: f"from lines p left join autorizacion a on a.codigo_unico_adq = p.id_operacion {LOOKUPS} {FANOUT}",
-}
-GROUP = {
-    PMC.name: "a.codigo_referencia, a.ref_id, p.nro_orden, p.id",
-    MPOS.name: "a.codigo_referencia, a.ref_id, a.codigo_unico_adq, p.id",
+    layout.name: f"FROM lines line LEFT JOIN known ON known.{layout.ledger_key} = line.{layout.key}" for layout in (PMC, MPOS)
 }
-BY_DAY = f"""from lines p join autorizacion a on a.codigo_unico_adq = p.id_procesador
-    and try_strptime(substr(p.trx_date, 1, 10), '%Y-%m-%d') = date_trunc('day', a.fecha_hora_creacion)
-    join comercio_procesador_terminal cpt on cpt.id = a.comercio_procesador_terminal_id
-    join comercio_adquiriente ca on ca.id = cpt.comercio_adquiriente_id and ca.adquiriente_id = 4
-    join comercio_contrato cc on cc.id = ca.comercio_contrato_id and cc.tipo_contrato_id = 1
-    {LOOKUPS}
-    left join adq_vdp_v3_authorization avva on avva.autorizacion_id = a.id and a.exitosa = 0 {TIERS}
-    where p.id_procesador <> ''"""
+GROUP = {layout.name: ", ".join([*(f"known.{c}" for c in layout.match_columns), "line.id"]) for layout in (PMC, MPOS)}
+BY_DAY = """FROM lines line JOIN eligible known ON line.id_procesador = known.codigo_unico_adq AND line.id_procesador <> ''
+    AND CAST(try_strptime(substr(line.trx_date, 1, 10), '%Y-%m-%d') AS date) = known.made_on"""
 KEPT_PMC = "nro_orden is null or nro_orden <> ''"
 PMC_KEPT_LINES = f"select * from ({b.PMC_LINES}) where {KEPT_PMC}"
 PMC_REPEATED_KEPT_LINES = f"select * from ({b.PMC_REPEATED_LINES}) where {KEPT_PMC}"
@@ -82,11 +74,11 @@ PMC_REPEATED_KEPT_LINES = f"select * from ({b.PMC_REPEATED_LINES}) where {KEPT_P
 
 def _file_columns(layout: Layout) -> str:
     defaults = dict(layout.defaults)
-    return ", ".join(f"coalesce(p.{c}, '{defaults[c]}') as {c}" if c in defaults else f"p.{c}" for c in layout.columns)
+    return ", ".join(f"coalesce(line.{c}, '{defaults[c]}') as {c}" if c in defaults else f"line.{c}" for c in layout.columns)
 
 
 def _ledger_columns(layout: Layout) -> str:
-    pairs = zip(LEDGER_VALUES[layout.name], layout.ledger_columns, strict=True)
+    pairs = ((COLUMN_OF.get(source, f"known.{source}"), header) for header, source in layout.ledger_columns.items())
     return ", ".join(f"coalesce(cast({value} as varchar), '') as {header}" for value, header in pairs)
 
 
@@ -94,50 +86,50 @@ def _empty_ledger_columns(layout: Layout) -> str:
     return ", ".join(f"'' as {header}" for header in layout.ledger_columns)
 
 
-def _export_by_code(layout: Layout, lines: str, line_id: str = "p.id", distinct: str = "") -> str:
+def _export_by_code(layout: Layout, lines: str, line_id: str = "line.id", distinct: str = "") -> str:
     return (
         _with(layout, lines)
         + f"""SELECT {distinct} * EXCLUDE (rn) FROM (
         SELECT {_file_columns(layout)}, {line_id} as id, {_ledger_columns(layout)},
             row_number() over (partition by {GROUP[layout.name]} order by {PICK_ORDER}) as rn
-        {BY_CODE[layout.name]} {TIERS} where p.{layout.key} <> '') WHERE rn = 1"""
+        {BY_CODE[layout.name]} where line.{layout.key} <> '') WHERE rn = 1"""
     )
 
 
 def _export_by_day(merchant_id: bool) -> str:
     merchant, none = "", ""
     if merchant_id:
-        merchant, none = "coalesce(cast(c.id as varchar), '') as id_comercio,", "'' as id_comercio,"
+        merchant, none = "coalesce(cast(known.merchant_id as varchar), '') as id_comercio,", "'' as id_comercio,"
     return (
         _with(TRANSACCIONES, b.TRANSACCIONES_LINES)
         + f"""SELECT * EXCLUDE (rn) FROM (
-        SELECT {_file_columns(TRANSACCIONES)}, {merchant} p.{TRX_ID}, {_ledger_columns(TRANSACCIONES)},
-            row_number() over (partition by p.id_procesador, p.id order by p.{TRX_ID}, {PICK_ORDER}) as rn
+        SELECT {_file_columns(TRANSACCIONES)}, {merchant} line.{TRX_ID}, {_ledger_columns(TRANSACCIONES)},
+            row_number() over (partition by line.id_procesador, line.id order by line.{TRX_ID}, {PICK_ORDER}) as rn
         {BY_DAY}) WHERE rn = 1
         UNION ALL
-        SELECT {_file_columns(TRANSACCIONES)}, {none} p.{TRX_ID}, {_empty_ledger_columns(TRANSACCIONES)} FROM lines p
-        WHERE NOT EXISTS (SELECT 1 FROM (SELECT p.{TRX_ID} as matched {BY_DAY}) m WHERE m.matched = p.{TRX_ID})"""
+        SELECT {_file_columns(TRANSACCIONES)}, {none} line.{TRX_ID}, {_empty_ledger_columns(TRANSACCIONES)} FROM lines line
+        WHERE line.{TRX_ID} NOT IN (SELECT line.{TRX_ID} {BY_DAY})"""
     )
 
 
-MATCH_VALUES = """a.id as autorizacion_id, a.codigo_referencia, a.ref_id, a.codigo_unico_adq,
-    cast(a.monto_autorizado as varchar) as monto_autorizado"""
+MATCH_VALUES = """known.id as autorizacion_id, known.codigo_referencia, known.ref_id, known.codigo_unico_adq,
+    cast(known.monto_autorizado as varchar) as monto_autorizado"""
 
 
 def _match(layout: Layout, lines: str) -> str:
     return (
         _with(layout, lines)
-        + f"""SELECT p.id, p.{layout.key}, {MATCH_VALUES} FROM lines p
-        LEFT JOIN autorizacion a ON a.{layout.ledger_key} = p.{layout.key} WHERE p.{layout.key} <> ''"""
+        + f"""SELECT line.id, line.{layout.key}, {MATCH_VALUES} FROM lines line
+        LEFT JOIN autorizacion known ON known.{layout.ledger_key} = line.{layout.key} WHERE line.{layout.key} <> ''"""
     )
 
 
 def _dedup(layout: Layout, lines: str) -> str:
     return (
         _with(layout, lines)
-        + f"""SELECT * EXCLUDE (rn) FROM (SELECT p.id, p.{layout.key}, {MATCH_VALUES},
+        + f"""SELECT * EXCLUDE (rn) FROM (SELECT line.id, line.{layout.key}, {MATCH_VALUES},
             row_number() over (partition by {GROUP[layout.name]} order by {PICK_ORDER}) as rn
-        {BY_CODE[layout.name]} WHERE p.{layout.key} <> '') WHERE rn = 1"""
+        {BY_CODE[layout.name]} WHERE line.{layout.key} <> '') WHERE rn = 1"""
     )
 
 
@@ -150,14 +142,19 @@ def _counts(lines: str = "SELECT count(*) FROM lines") -> str:
     return f"{_metric('input', 'Input: ', lines)} UNION ALL {_metric('output_declared', 'Output: ', lines)} UNION ALL "
 
 
-def _stats_pmc() -> str:
-    grouped = f"""SELECT et.nombre, row_number() over (partition by {GROUP['PMC']} order by {PICK_ORDER}) as rn
-        {BY_CODE['PMC']} WHERE p.nro_orden <> ''"""
+def _stats_pmc(authorizations: str) -> str:
+    """Groups whose shown columns are equal are one not-found row; the reference of a group is not among them."""
+    shown = [*(c for c in PMC.ledger_columns.values() if c not in (TIER, "ref_id"))]
+    columns = ", ".join(f"{COLUMN_OF.get(c, f'known.{c}')} as {c}" for c in shown)
+    grouped = f"""SELECT line.id, {columns}, row_number() over (partition by {GROUP['PMC']} order by {PICK_ORDER}) as rn
+        {BY_CODE['PMC']} WHERE line.nro_orden <> ''"""
     return (
-        _with(PMC, PMC_KEPT_LINES, grouped=f"SELECT * FROM ({grouped}) WHERE rn = 1")
+        _with(PMC, PMC_KEPT_LINES, authorizations, grouped=f"SELECT * EXCLUDE (rn) FROM ({grouped}) WHERE rn = 1")
         + _counts()
         + _metric(
-            "not_found", "No Encontrados: ", "SELECT count(*) FROM grouped WHERE nombre = '' OR nombre IS NULL"
+            "not_found",
+            "No Encontrados: ",
+            "SELECT count(*) FROM (SELECT DISTINCT * FROM grouped WHERE coalesce(nombre_estado, '') = '')",
         )
         + " UNION ALL "
         + _metric("output_rows", None, "SELECT count(*) FROM grouped")
@@ -168,14 +165,15 @@ def _stats_mpos() -> str:
     return (
         _with(MPOS, b.MPOS_LINES)
         + _counts()
-        + f"""SELECT 'not_found' as metric, 'No Encontrados: ' as label, cast(count(*) as bigint) as value
-        {BY_CODE['MPOS']} WHERE (p.id_operacion <> '' AND et.nombre IS NULL) OR et.nombre = ''
-        GROUP BY a.codigo_referencia, a.ref_id, a.codigo_unico_adq"""
+        + f"""SELECT 'not_found' as metric, 'No Encontrados: ' as label, cast(sum(coalesce(links, 1)) as bigint) as value
+        {BY_CODE['MPOS']} LEFT JOIN acquired ON owner = known.merchant_id
+        WHERE (line.id_operacion <> '' AND state_name IS NULL) OR state_name = ''
+        GROUP BY known.codigo_referencia, known.ref_id, known.codigo_unico_adq"""
     )
 
 
 def _stats_trx() -> str:
-    matched = f"SELECT p.{TRX_ID} as line_id, p.id_procesador, p.id {BY_DAY}"
+    matched = f"SELECT line.{TRX_ID} as line_id, line.id_procesador, line.id {BY_DAY}"
     unmatched = f"SELECT count(*) FROM lines WHERE {TRX_ID} NOT IN (SELECT line_id FROM matched)"
     groups = "SELECT count(*) FROM (SELECT DISTINCT id_procesador, id FROM matched)"
     return (
@@ -216,31 +214,29 @@ def oracle() -> dict[str, str]:
         "match_reference": _match(PMC, PMC_KEPT_LINES),
         "match_acquirer_code": _match(MPOS, b.MPOS_LINES),
         "match_key_date": day_join
-        + f"""SELECT p.{TRX_ID} as line_id, p.id_procesador, p.trx_date, a.id as autorizacion_id, a.ref_id,
-            cast(a.monto_autorizado as varchar) as monto_autorizado {BY_DAY}""",
+        + f"""SELECT line.{TRX_ID} as line_id, line.id_procesador, line.trx_date, known.id as autorizacion_id, known.ref_id,
+            cast(known.monto_autorizado as varchar) as monto_autorizado {BY_DAY}""",
         "lookup_chain": pmc
-        + f"""SELECT a.id, a.ref_id, et.nombre as estado, c.id as comercio_id, c.nombre_comercial
-            FROM autorizacion a {LOOKUPS}""",
+        + "SELECT id, ref_id, state_name as estado, merchant_id as comercio_id, merchant_name as nombre_comercial FROM known",
         "product_tier": pmc
-        + f"SELECT c.id as comercio_id, c.nombre_comercial, {TIER_CASE} as tipo_bln FROM comercio c {TIERS}",
+        + "SELECT merchant_id as comercio_id, merchant_name as nombre_comercial, tier as tipo_bln FROM merchant",
         "join_on_constant": pmc
-        + """SELECT c.id as comercio_id, CASE WHEN cconf.id IS NULL THEN 0 ELSE 1 END as flagged FROM comercio c
-            LEFT JOIN comercio_configuracion cconf ON cconf.comercio_id = c.id AND cconf.configuracion_id = 11""",
+        + """SELECT id as comercio_id, CAST(id IN (SELECT comercio_id FROM comercio_configuracion WHERE configuracion_id = 11)
+            AS integer) as flagged FROM comercio""",
         "join_conditional": day_join
-        + """SELECT a.id, a.ref_id, a.exitosa, avva.signature FROM autorizacion a
-            LEFT JOIN adq_vdp_v3_authorization avva ON avva.autorizacion_id = a.id AND a.exitosa = 0""",
+        + "SELECT id, ref_id, exitosa, signature FROM autorizacion LEFT JOIN answer ON answered = id AND exitosa = 0",
         "self_anti_empty": _with(PMC, b.PMC_LINES)
-        + "SELECT id, nro_orden FROM lines p WHERE NOT EXISTS (SELECT 1 FROM lines q WHERE q.id = p.id)",
-        "matched_ids": day_join + f"SELECT DISTINCT p.{TRX_ID} as line_id {BY_DAY}",
+        + "SELECT id, nro_orden FROM lines one WHERE NOT EXISTS (SELECT 1 FROM lines other WHERE other.id = one.id)",
+        "matched_ids": day_join + f"SELECT DISTINCT line.{TRX_ID} as line_id {BY_DAY}",
         "unmatched_key_date": day_join
-        + f"""SELECT p.{TRX_ID} as line_id, p.id_procesador, p.trx_date FROM lines p
-            WHERE NOT EXISTS (SELECT 1 FROM (SELECT p.{TRX_ID} as matched {BY_DAY}) m WHERE m.matched = p.{TRX_ID})""",
+        + f"""SELECT line.{TRX_ID} as line_id, line.id_procesador, line.trx_date FROM lines line
+            WHERE line.{TRX_ID} NOT IN (SELECT line.{TRX_ID} {BY_DAY})""",
         "dedup_reference": _dedup(PMC, PMC_KEPT_LINES),
         "dedup_acquirer_code": _dedup(MPOS, b.MPOS_LINES),
         "dedup_key_date": day_join
-        + f"""SELECT * EXCLUDE (rn) FROM (SELECT p.{TRX_ID} as line_id, p.id_procesador, p.id, a.id as autorizacion_id,
-            a.ref_id, cast(a.monto_autorizado as varchar) as monto_autorizado,
-            row_number() over (partition by p.id_procesador, p.id order by p.{TRX_ID}, {PICK_ORDER}) as rn
+        + f"""SELECT * EXCLUDE (rn) FROM (SELECT line.{TRX_ID} as line_id, line.id_procesador, line.id, known.id as autorizacion_id,
+            known.ref_id, cast(known.monto_autorizado as varchar) as monto_autorizado,
+            row_number() over (partition by line.id_procesador, line.id order by line.{TRX_ID}, {PICK_ORDER}) as rn
             {BY_DAY}) WHERE rn = 1""",
         "fanout_count": """SELECT c_custkey as comercio_id, count(*) as joined_rows FROM customer
             LEFT JOIN supplier ON s_nationkey = c_nationkey GROUP BY c_custkey""",
@@ -248,20 +244,21 @@ def oracle() -> dict[str, str]:
         + f"""SELECT {', '.join(PMC.columns)}, 'keyed' as arm FROM lines WHERE nro_orden <> ''
             UNION SELECT {', '.join(PMC.columns)}, '' as arm FROM lines WHERE nro_orden = '' OR nro_orden IS NULL""",
         "unmatched_padding": pmc
-        + f"""SELECT p.id, p.nro_orden, {_empty_ledger_columns(PMC)} FROM lines p WHERE p.nro_orden <> ''
-            AND NOT EXISTS (SELECT 1 FROM autorizacion a WHERE a.codigo_referencia = p.nro_orden)""",
+        + f"""SELECT id, nro_orden, {_empty_ledger_columns(PMC)} FROM lines WHERE nro_orden <> ''
+            AND nro_orden NOT IN (SELECT codigo_referencia FROM autorizacion WHERE codigo_referencia IS NOT NULL)""",
         "null_default_export": _with(MPOS, b.MPOS_LINES)
-        + f"SELECT a.id, {_ledger_columns(MPOS)} FROM autorizacion a {LOOKUPS} {TIERS}",
-        "null_default_dash": _with(MPOS, b.MPOS_LINES) + f"SELECT p.id, {_file_columns(MPOS)} FROM lines p",
+        + f"SELECT known.id, {_ledger_columns(MPOS)} FROM known",
+        "null_default_dash": _with(MPOS, b.MPOS_LINES) + f"SELECT line.id, {_file_columns(MPOS)} FROM lines line",
         "format_line": _with(PMC, b.PMC_LINES) + f"SELECT id, {quoted} as line FROM lines",
         "text_date_prefix": _sql(
             f"""SELECT l_orderkey, l_linenumber, trx_date,
             cast(cast(try_strptime(substr(trx_date, 1, 10), '%Y-%m-%d') as date) as varchar) as day FROM ({DAY_TEXTS})"""
         ),
         "export_pmc": _export_by_code(PMC, PMC_KEPT_LINES),
-        "stats_pmc": _stats_pmc(),
+        "stats_pmc": _stats_pmc(PMC.name),
+        "stats_pmc_twins": _stats_pmc(b.TWINS),
         "export_pmc_merchant_id": _export_by_code(
-            PMC, PMC_REPEATED_KEPT_LINES, "coalesce(cast(c.id as varchar), '')", "DISTINCT"
+            PMC, PMC_REPEATED_KEPT_LINES, "coalesce(cast(known.merchant_id as varchar), '')", "DISTINCT"
         ),
         "export_mpos": _export_by_code(MPOS, b.MPOS_LINES),
         "stats_mpos_grouped": _stats_mpos(),

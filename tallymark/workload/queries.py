@@ -289,6 +289,12 @@ def stats_pmc(spark, sf_dir):
     return pmc.statistics(_pmc_lines(spark, sf_dir), b.ledger(spark, sf_dir, PMC))
 
 
+@query
+def stats_pmc_twins(spark, sf_dir):
+    """Authorizations that differ in their reference alone: one not-found row, several export rows."""
+    return pmc.statistics(_pmc_lines(spark, sf_dir), b.ledger(spark, sf_dir, PMC, b.TWINS))
+
+
 @query
 def export_pmc_merchant_id(spark, sf_dir):
     lines = _pmc_lines(spark, sf_dir, b.PMC_REPEATED_LINES)
@@ -302,8 +308,7 @@ def export_mpos(spark, sf_dir):
 
 @query
 def stats_mpos_grouped(spark, sf_dir):
-    links = b.bind(spark, sf_dir, b.MERCHANT_LINKS)
-    return mpos.statistics(b.bind(spark, sf_dir, b.MPOS_LINES), b.ledger(spark, sf_dir, MPOS), links)
+    return mpos.statistics(b.bind(spark, sf_dir, b.MPOS_LINES), b.ledger(spark, sf_dir, MPOS))
 
 
 @query

@@ -23,3 +23,15 @@ def test_every_file_is_reconciled_once(spark, tmp_path, make_ledger):
     write(tmp_path / "in" / "b_mpos.csv", MPOS, line(MPOS, id_operacion="k"))
     assert arrivals() == sorted([*first, "EST_b_mpos.csv.log", "OUT_b_mpos.csv"])
     assert (out / "OUT_a_pmc.csv" / "_SUCCESS").stat().st_mtime == written
+
+
+def test_a_bad_file_does_not_stop_the_others(spark, tmp_path, make_ledger):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "good_pmc.csv", PMC, line(PMC, nro_orden="k"))
+    write(tmp_path / "in" / "bad_mpos.csv", MPOS, line(MPOS, RUC='"open', id_operacion="k"))
+    out = tmp_path / "out"
+    query = reconcile_arrivals(spark, str(tmp_path / "in"), make_ledger(), str(out), str(tmp_path / "state"), strict=True)
+    query.awaitTermination()
+    assert (out / "OUT_good_pmc.csv" / "_SUCCESS").exists()
+    failed = spark.read.json(str(out / "FAILED_0")).collect()
+    assert [(r["path"].rsplit("/", 1)[-1], r["error"]) for r in failed] == [("bad_mpos.csv", "BrokenStatement")]

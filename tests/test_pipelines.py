@@ -224,3 +224,14 @@ def test_statement_without_any_date(make_ledger, make_lines):
     lines = make_lines(TRANSACCIONES, trx("a", day="?"))
     assert table(transacciones.export(lines, ledger), TRANSACCIONES.line_id, "codigo_unico_adq") == [(1, "")]
     assert values(transacciones.statistics(lines, ledger))[2] == ("not_found", 1)
+
+
+def test_references_do_not_count_in_the_not_found_figure(make_ledger, make_lines):
+    """Two authorizations that differ in their reference alone, without a transaction: one row not found, two rows shown."""
+    a = [authorization(1, "k", ref_id="r1"), authorization(2, "k", ref_id="r2"), authorization(3, "k", ref_id="r3", exitosa=0)]
+    lines = make_lines(PMC, {"nro_orden": "k"}, {"nro_orden": "k"})
+    got = dict(values(pmc.statistics(lines, make_ledger(autorizacion=a[:2]))))
+    assert (got["not_found"], got["output_rows"]) == (2, 4)  # per line 1 and 2
+    got = dict(values(pmc.statistics(lines, make_ledger(autorizacion=a))))
+    assert (got["not_found"], got["output_rows"]) == (4, 6)
+    assert pmc.export(lines, make_ledger(autorizacion=a)).count() == 6

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as registry
 from compare import connect, differences
+from tallymark.workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) <= set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert differences(spark, con, SF_DIR, name) is None
 

@@ -11,7 +11,8 @@ from tallymark.sinks.export import export_name, statistics_name, write_export, w
 from tallymark.sources.layouts import LAYOUTS, MPOS, PMC, TRANSACCIONES, layout_for
 from tallymark.sources.ledger import Ledger, jdbc_options
 from tallymark.sources.scratch import scratch_folder
-from tallymark.sources.statement import read_statement, route_layout, stage_statement
+from tallymark.functions.columns import text_date
+from tallymark.sources.statement import BrokenStatement, broken_lines, read_statement, route_layout, stage_statement
 
 
 def write(path, layout, *lines, end="\n"):
@@ -126,7 +127,7 @@ def test_export_quotes_every_value(spark, tmp_path):
     write_lines(df.select("x", "z"), str(tmp_path / "lines"))
     assert "".join(p.read_text() for p in (tmp_path / "lines").glob("part-*")) == '"a "b"",""\n'
     write_lines(df, str(tmp_path / "nulls"))
-    assert "".join(p.read_text() for p in (tmp_path / "nulls").glob("part-*")) == ""
+    assert "".join(p.read_text() for p in (tmp_path / "nulls").glob("part-*")) == "NULL\n"
 
 
 def test_empty_export_has_a_header(spark, tmp_path):
@@ -173,3 +174,45 @@ def test_transacciones_uses_semicolons(spark, tmp_path):
     path = write(tmp_path / "t.csv", TRANSACCIONES, line(TRANSACCIONES, id_procesador="9", brandActionCode="00"))
     row = stage_statement(spark, path, TRANSACCIONES).first()
     assert (row["id_procesador"], row["brandActionCode"], row[TRANSACCIONES.line_id]) == ("9", "00", 1)
+
+
+def test_blank_lines_are_rows(spark, tmp_path):
+    for end in ("\n", "\r\n"):
+        path = write(tmp_path / f"mpos{len(end)}.csv", MPOS, line(MPOS, id_operacion="a"), "", line(MPOS, id_operacion="b"), "", end=end)
+        rows = sorted((r["id"], r["id_operacion"]) for r in stage_statement(spark, path, MPOS).collect())
+        assert rows == [(1, "a"), (2, "b"), (3, ""), (4, "")]
+        assert stage_statement(spark, path, MPOS, keep_blank_lines=False).count() == 2
+    path = write(tmp_path / "pmc.csv", PMC, line(PMC, nro_orden="a"), "")
+    assert stage_statement(spark, path, PMC).count() == 1  # the empty key of a blank line is dropped here
+
+
+def test_values_with_line_ends(spark, tmp_path):
+    path = write(tmp_path / "mpos.csv", MPOS, line(MPOS, RUC='"x\ny"', id_operacion="a"), line(MPOS, id_operacion="b"))
+    assert broken_lines(spark, path) == 2
+    with pytest.raises(BrokenStatement):
+        stage_statement(spark, path, MPOS, strict=True)
+    rows = stage_statement(spark, path, MPOS, strict=True, multi_line=True).collect()
+    assert sorted((r["RUC"], r["id_operacion"]) for r in rows) == [("", "b"), ("x\ny", "a")]
+
+
+def test_days_in_several_spellings(spark):
+    texts = ["2024-05-01 10:30:00", "2024-5-1", "2024/05/01", "2024/5/1 10:30", "20240501", "2024-13-01", "n/a", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    days = [str(r[0]) for r in df.select(text_date(F.col("t"))).collect()]
+    assert days == ["2024-05-01"] * 5 + ["None"] * 4
+
+
+def test_names_with_pattern_characters(spark, tmp_path, make_ledger):
+    path = write(tmp_path / "PMC[1].csv", PMC, line(PMC, nro_orden="k"))
+    assert reconcile(spark, path, make_ledger(), str(tmp_path / "out")) is PMC
+    assert (tmp_path / "out" / "OUT_PMC[1].csv" / "_SUCCESS").exists()
+
+
+def test_amounts_are_shown_as_stored(spark, make_ledger):
+    tables = {name: getattr(make_ledger(), name) for name in Ledger.__dataclass_fields__}
+    row = spark.sql("select 1L as id, cast('10.1256' as decimal(20,4)) as monto_autorizado")
+    stored = tables["autorizacion"].drop("id", "monto_autorizado").join(row, how="right")
+    shown = Ledger.of({**tables, "autorizacion": stored}).autorizacion.select("monto_autorizado").first()[0]
+    assert str(shown) == "10.1256"
+    snapshot = make_ledger().snapshot()
+    assert snapshot.comercio.count() == 1 and snapshot.comercio.inputFiles()
