@@ -59,32 +59,29 @@ def bounded(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> Data
 def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row per node with ``node`` and ``component``, its least reachable node.
 
-    Each round points every node's label at the least label around it and then at that label's own label, so a path of n
-    nodes takes about log n rounds. Each round's labels are a written table. A hub's neighbours are reduced in the map
-    tasks, and its edges are an inner join's hot key, which adaptive execution splits.
+    Each round every node moves to the node around it that a hash of the round puts first, and edges between nodes that
+    met vanish. On average a constant share of the nodes is left, so rounds grow with the logarithm of the nodes and
+    later rounds are small. Each round's tables are written. A hub's edges are reduced in the map tasks where neighbours
+    are compared, and are a hot key of an inner join elsewhere, which adaptive execution splits.
     """
-    links = edges.select("a", "b").where("a is not null and b is not null and a <> b")
-    both = write_through(links.union(links.select("b", "a")).distinct(), f"{name}-edges")
-    labels = write_through(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), f"{name}-labels")
-    for _ in range(max_rounds):
-        around = (
-            both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
+    links = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a is not null and b is not null and a <> b")
+    links = write_through(links.distinct(), f"{name}-edges")
+    every = write_through(links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("at", F.col("node")), f"{name}-nodes")
+    for k in range(max_rounds):
+        if links.isEmpty():
+            least = every.groupBy("at").agg(F.min("node").alias("component"))
+            return every.join(least, "at").select("node", "component")
+        first = F.struct(F.xxhash64("near", F.lit(k)).alias("order"), "near")
+        around = links.select(F.col("a").alias("here"), F.col("b").alias("near")).union(links.select("b", "a"))
+        own = F.struct(F.xxhash64("here", F.lit(k)).alias("order"), F.col("here").alias("near"))
+        nearest = around.groupBy("here").agg(F.min(first).alias("first"))
+        moves = write_through(nearest.select("here", F.least("first", own)["near"].alias("there")), f"{name}-moves")
+        left = links.join(moves.withColumnRenamed("here", "a"), "a").select(F.col("there").alias("a"), "b")
+        both = left.join(moves.withColumnRenamed("here", "b"), "b").select("a", F.col("there").alias("b")).where("a <> b")
+        links = write_through(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-edges")
+        every = write_through(
+            every.join(moves.withColumnRenamed("here", "at"), "at", "left").select("node", F.coalesce("there", "at").alias("at")), f"{name}-nodes"
         )
-        # Whoever a node pointed at learns of the smaller label too: this hooks whole trees, not single nodes.
-        nearer = labels.join(around, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        hooked = nearer.groupBy(F.col("old").alias("node")).agg(F.min("component").alias("up"))
-        hung = nearer.join(hooked, "node", "left").select("node", "old", F.least("component", F.coalesce("up", "component")).alias("component"))
-        fresh = write_through(hung, f"{name}-hung")
-        jumped = (
-            fresh.join(fresh.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left")
-            .select("node", "old", F.least("component", F.coalesce("top", "component")).alias("component"))
-        )
-        moved = write_through(jumped, f"{name}-labels")
-        labels = moved.select("node", "component")
-        if moved.where("component < old").isEmpty():
-            return labels
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
