@@ -19,7 +19,8 @@ from tallymark.llm.common import held_out, ship, table
 from tallymark.sources.scratch import write_through
 from tallymark.llm.features import EDGES, Remembered, bucket, labelled_sample, logistic, rows_of
 
-MAX_LABELLED = 16_000  # labelled rows that lexicons are mined from and the classifier is trained on
+MAX_MINED = 16_000  # labelled rows that lexicons are mined from, on the executors
+MAX_LABELLED = 6_000  # labelled rows whose features the classifier is trained on, on the driver
 MAX_TERMS = 4_000  # mined terms with the highest odds
 LEAST_DOCUMENTS = 6  # labelled toxic documents a mined term stands in
 LEAST_LOG_ODDS = 4.0
@@ -214,12 +215,12 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, prior: float, rounds:
     return logistic(evidence(every)), right, correlations
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Toxicity:
-    """Mine lexicons from labelled rows, count votes over all of ``docs``, fit the label model to the counts, and train the
+def fit(docs: DataFrame, labels: DataFrame, max_mined: int = MAX_MINED, max_labelled: int = MAX_LABELLED) -> Toxicity:
+    """Mine lexicons from at most ``max_mined`` labelled rows, count votes over all of ``docs``, fit the label model to the counts, and train the
     classifier on the posteriors of at most ``max_labelled`` rows. Voters are few, so sets of votes are at most 2 ** VOTERS."""
     spark = docs.sparkSession
     ship(spark)
-    sample = write_through(labelled_sample(docs, labels, "toxic", max_labelled), "toxic-sample")
+    sample = write_through(labelled_sample(docs, labels, "toxic", max_mined), "toxic-sample")
     model = Toxicity(mined_lexicon(sample))
     shared = spark.sparkContext.broadcast(model)
 
@@ -237,10 +238,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [shared.value.columns(text) for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "votes": [shared.value.votes(t) for t in batch["text"]], "columns": [c.tobytes() for c, _ in rows], "x": [x.tobytes() for _, x in rows]})
+            votes = [shared.value.votes(text) for text in batch["text"]]
+            packed = [(c.astype(np.int32).tobytes(), x.astype(np.float32).tobytes()) for c, x in rows]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "votes": votes, "columns": [c for c, _ in packed], "x": [x for _, x in packed]})
 
-    found = sample.select("doc_id", "text").mapInPandas(extract, "doc_id long, votes int, columns binary, x binary").toPandas().sort_values(["doc_id", "columns"])
-    rows = [(np.frombuffer(c, np.int64), np.frombuffer(x)) for c, x in zip(found["columns"], found["x"])]
+    taught = labelled_sample(docs, labels, "toxic", max_labelled).select("doc_id", "text")
+    found = taught.mapInPandas(extract, "doc_id long, votes int, columns binary, x binary").toPandas().sort_values(["doc_id", "columns"])
+    rows = [(np.frombuffer(c, np.int32), np.frombuffer(x, np.float32)) for c, x in zip(found["columns"], found["x"])]
     model.bias, model.weights = linear(rows, model.posterior[found["votes"].to_numpy(np.int64)] if len(found) else np.zeros(0))
     return model
 
