@@ -18,7 +18,7 @@ SENTENCES = 2  # a span has at least so many sentences
 WORDS = 20  # and so many words
 BOUNDARY = re.compile(r"[.!?]+\s+|\s*\n\s*")
 SPAN_BYTES = 48
-CUT_BYTES = 160
+CUT_BYTES = 32
 PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
@@ -129,7 +129,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     cuts = write_through(repeated_sentences(docs), "span-cuts")
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("of"))
     known = rows["doc_id"].eqNullSafe(cuts["_id"]) & (rows["of"] == cuts["_hash"])
-    joined = rows.join(bounded(cuts, CUT_BYTES), known, "left").select("doc_id", "text", "cuts")
+    joined = rows.join(bounded(cuts, F.size("cuts") * CUT_BYTES + SPAN_BYTES), known, "left").select("doc_id", "text", "cuts")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
