@@ -315,7 +315,10 @@ def trained(pages: list[str]) -> TreeModel:
 def fit(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> TreeModel:
     """Train on at most ``max_labelled`` pages of bounded length that have an article or main element, chosen by a hash."""
     telling = pages.where(F.length("html") <= LONGEST_LABELLED).where(F.col("html").rlike("(?i)<(article|main)\\b"))
-    chosen = telling.select("html", F.xxhash64("html").alias("order")).orderBy("order", "html").limit(max_labelled)
+    hashed = telling.select("html", F.xxhash64("html").alias("order"))
+    last = hashed.select("order").distinct().orderBy("order").limit(max_labelled).agg(F.max("order")).first()[0]
+    # Hashes were compared first, so only the chosen pages themselves come to the driver, each once.
+    chosen = hashed.where(F.col("order") <= F.lit(last)).groupBy("order").agg(F.min("html").alias("html")).orderBy("order")
     return trained([row["html"] for row in chosen.collect()])
 
 
