@@ -104,22 +104,20 @@ def rounded(groups: DataFrame, sources: DataFrame) -> DataFrame:
     source = Window.partitionBy("rank")
     carried = source.orderBy("size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     down = source.orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    r = F.round(rate(), 9)
-    df = groups.where("size > 0").join(sources, "rank").withColumn("copies", F.floor(r))
-    part = (F.col("rows") * (r - F.col("copies"))).cast(EXACT)
-    df = df.withColumn("part", part).withColumn("upto", F.sum("part").over(carried))
-    df = df.withColumn("extra", F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("part") + 0.5))
-    df = df.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("extra"), F.col("rows"))).cast("long"))
+    whole = F.col("rows") * F.floor(F.round(rate(), 9))
+    df = groups.where("size > 0").join(sources, "rank").withColumn("whole", whole)
+    df = df.withColumn("part", (F.col("rows") * F.round(rate(), 9) - F.col("whole")).cast(EXACT)).withColumn("upto", F.sum("part").over(carried))
+    extra = F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("part") + 0.5)
+    df = df.withColumn("total", F.greatest(F.lit(0), F.least(F.col("whole") + extra, MOST_COPIES * F.col("rows"))).cast("long"))
     for _ in range(REPAIRS):
-        taken = F.sum((F.col("rows") * F.col("copies") + F.col("extra")) * F.col("size")).over(source)
+        taken = F.sum(F.col("total") * F.col("size")).over(source)
         df = df.withColumn("missing", F.round(F.col("target")).cast("long") - taken)
-        room = F.when(F.col("missing") > 0, F.when(F.col("copies") < MOST_COPIES, F.col("rows") - F.col("extra")).otherwise(0)).otherwise(F.col("extra"))
-        fits = F.when(F.col("size") <= F.abs("missing"), room).otherwise(0)
-        df = df.withColumn("fits", fits.cast("long"))
+        room = F.when(F.col("missing") > 0, MOST_COPIES * F.col("rows") - F.col("total")).otherwise(F.col("total"))
+        df = df.withColumn("fits", F.when(F.col("size") <= F.abs("missing"), room).otherwise(0).cast("long"))
         before = F.coalesce(F.sum(F.col("fits") * F.col("size")).over(down), F.lit(0))
         number = F.greatest(F.lit(0), F.least(F.floor((F.abs("missing") - before) / F.col("size")), F.col("fits"))).cast("long")
-        df = df.withColumn("extra", F.col("extra") + F.signum("missing").cast("long") * number)
-    return df.select("rank", "size", "copies", "extra")
+        df = df.withColumn("total", F.col("total") + F.signum("missing").cast("long") * number)
+    return df.select("rank", "size", F.floor(F.col("total") / F.col("rows")).alias("copies"), (F.col("total") % F.col("rows")).alias("extra"))
 
 
 def mix(
