@@ -161,10 +161,8 @@ def mined_lexicon(sample: DataFrame) -> dict[str, int]:
                     counts[int(label)].update(terms_of(text))
                     documents[int(label)] += 1
         yield pd.DataFrame({"term": [""], "toxic": [documents[1]], "other": [documents[0]]})  # no term is empty
-        terms = [term for term in counts[1]]
-        yield pd.DataFrame({"term": terms, "toxic": [counts[1][t] for t in terms], "other": [counts[0][t] for t in terms]})
-        terms = [term for term in counts[0] if term not in counts[1]]
-        yield pd.DataFrame({"term": terms, "toxic": [0] * len(terms), "other": [counts[0][t] for t in terms]})
+        terms = pd.Series([*counts[1], *(t for t in counts[0] if t not in counts[1])], dtype=object)
+        yield pd.DataFrame({"term": terms, "toxic": terms.map(counts[1]).astype(int), "other": terms.map(counts[0]).astype(int)})
 
     counted = sample.mapInPandas(count, "term string, toxic long, other long").groupBy("term")
     summed = write_through(counted.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(f"term = '' or toxic >= {LEAST_DOCUMENTS}"), "toxic-terms")
