@@ -21,6 +21,9 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))  # timed runs after the first; the best counts
 HEADLINE = [
+    "load_statement_pmc",
+    "load_statement_mpos",
+    "load_statement_transacciones",
     "export_pmc",
     "stats_pmc",
     "export_pmc_merchant_id",

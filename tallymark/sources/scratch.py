@@ -17,12 +17,18 @@ def _local_folder(application_id: str) -> str:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only for an unset local session."""
+    """The shared folder named by ``spark.checkpoint.dir``, or the one set on the context.
+
+    A temporary one only for a session without executors of its own in which neither is set.
+    """
+    context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
-        return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder(spark.sparkContext.applicationId)
+        return f"{folder.rstrip('/')}/{context.applicationId}"
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
+    if context.master == "local" or context.master.startswith("local["):
+        return _local_folder(context.applicationId)
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
 
 

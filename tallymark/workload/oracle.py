@@ -69,6 +69,8 @@ BY_DAY = """FROM lines line JOIN eligible known ON line.id_procesador = known.co
     AND CAST(try_strptime(substr(line.trx_date, 1, 10), '%Y-%m-%d') AS date) = known.made_on"""
 KEPT_PMC = "nro_orden is null or nro_orden <> ''"
 PMC_KEPT_LINES = f"select * from ({b.PMC_LINES}) where {KEPT_PMC}"
+NUMBERED_PMC = f"select * replace (row_number() over (order by id) as id) from ({PMC_KEPT_LINES})"
+NUMBERED_MPOS = f"select * replace (row_number() over (order by id) as id) from ({b.MPOS_LINES})"
 PMC_REPEATED_KEPT_LINES = f"select * from ({b.PMC_REPEATED_LINES}) where {KEPT_PMC}"
 
 
@@ -142,6 +144,15 @@ def _counts(lines: str = "SELECT count(*) FROM lines") -> str:
     return f"{_metric('input', 'Input: ', lines)} UNION ALL {_metric('output_declared', 'Output: ', lines)} UNION ALL "
 
 
+def _read_back(export: str) -> str:
+    """An export as its file shows it: texts, empty for NULL."""
+    return f"SELECT coalesce(CAST(COLUMNS(*) AS varchar), '') FROM ({export})"
+
+
+def _log(statistics: str) -> str:
+    return f"SELECT label || chr(9) || value AS line FROM ({statistics}) WHERE label IS NOT NULL"
+
+
 def _stats_pmc(authorizations: str) -> str:
     """Groups whose shown columns are equal are one not-found row; the reference of a group is not among them."""
     shown = [*(c for c in PMC.ledger_columns.values() if c not in (TIER, "ref_id"))]
@@ -265,4 +276,10 @@ def oracle() -> dict[str, str]:
         "export_trx": _export_by_day(merchant_id=False),
         "stats_trx": _stats_trx(),
         "export_trx_merchant_id": _export_by_day(merchant_id=True),
+        "run_pmc": _read_back(_export_by_code(PMC, NUMBERED_PMC)),
+        "run_pmc_log": _log(_stats_pmc(PMC.name)),
+        "run_mpos": _read_back(_export_by_code(MPOS, NUMBERED_MPOS)),
+        "run_mpos_log": _log(_stats_mpos()),
+        "run_trx": _read_back(_export_by_day(merchant_id=False)),
+        "run_trx_log": _log(_stats_trx()),
     }

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tallymark.functions.columns import format_line, text_date
 from tallymark.operators import lookup, match, prepare
 from tallymark.plans import common, mpos, pmc, transacciones
+from tallymark.plans.run import reconcile
+from tallymark.sinks.export import export_name, statistics_name
 from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout
 from tallymark.sources.scratch import scratch_path
 from tallymark.sources.statement import route_layout, stage_statement
@@ -47,8 +49,8 @@ def route_layout_(spark, sf_dir):
     return names.select("event_id", "file_name", route_layout(F.col("file_name")).alias("layout"))
 
 
-def _write_and_load(spark: SparkSession, rows: DataFrame, order: list[str], layout: Layout) -> DataFrame:
-    """Write a statement in the layout's file format, in order and in several files, and load it back."""
+def _write(spark: SparkSession, rows: DataFrame, order: list[str], layout: Layout) -> str:
+    """Write a statement in the layout's file format, in order and in several files; its folder."""
     path = scratch_path(spark, f"statement-{layout.name}")
     (
         rows.orderBy(*order)
@@ -60,7 +62,11 @@ def _write_and_load(spark: SparkSession, rows: DataFrame, order: list[str], layo
         .option("escape", "\\")
         .csv(path)
     )
-    return stage_statement(spark, path, layout)
+    return path
+
+
+def _write_and_load(spark: SparkSession, rows: DataFrame, order: list[str], layout: Layout) -> DataFrame:
+    return stage_statement(spark, _write(spark, rows, order, layout), layout)
 
 
 @query
@@ -324,3 +330,50 @@ def stats_trx(spark, sf_dir):
 @query
 def export_trx_merchant_id(spark, sf_dir):
     return transacciones.export_merchant_id(b.numbered_lineitem(spark, sf_dir), b.ledger(spark, sf_dir, TRANSACCIONES))
+
+
+# Whole runs: a statement is written as a file, reconciled, and what the run wrote is read back.
+
+
+def _run(spark: SparkSession, sf_dir: str, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """Export and log of a run; the statement's folder has the layout's name in its own."""
+    if layout is TRANSACCIONES:
+        rows, order = b.numbered_lineitem(spark, sf_dir), [TRANSACCIONES.line_id]
+    else:
+        rows, order = b.bind(spark, sf_dir, b.PMC_LINES if layout is PMC else b.MPOS_LINES), ["id"]
+    path, out = _write(spark, rows, order, layout), scratch_path(spark, f"run-{layout.name}")
+    name = path.rsplit("/", 1)[-1]
+    reconcile(spark, path, b.ledger(spark, sf_dir, layout), out)
+    header = ", ".join(f"`{c}` string" for c in layout.header)
+    export = spark.read.schema(header).option("header", True).option("escape", '"').csv(f"{out}/{export_name(name)}")
+    return export.na.fill(""), spark.read.text(f"{out}/{statistics_name(name)}").withColumnRenamed("value", "line")
+
+
+@query
+def run_pmc(spark, sf_dir):
+    return _run(spark, sf_dir, PMC)[0]
+
+
+@query
+def run_pmc_log(spark, sf_dir):
+    return _run(spark, sf_dir, PMC)[1]
+
+
+@query
+def run_mpos(spark, sf_dir):
+    return _run(spark, sf_dir, MPOS)[0]
+
+
+@query
+def run_mpos_log(spark, sf_dir):
+    return _run(spark, sf_dir, MPOS)[1]
+
+
+@query
+def run_trx(spark, sf_dir):
+    return _run(spark, sf_dir, TRANSACCIONES)[0]
+
+
+@query
+def run_trx_log(spark, sf_dir):
+    return _run(spark, sf_dir, TRANSACCIONES)[1]

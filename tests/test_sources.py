@@ -108,15 +108,16 @@ def test_numbers_follow_an_order(spark, limit, monkeypatch):
 
 
 def session_with(master, **conf):
-    context = SimpleNamespace(master=master, applicationId="app-1")
+    context = SimpleNamespace(master=master, applicationId="app-1", getCheckpointDir=lambda: None)
     return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: conf.get("folder", default)))
 
 
 def test_scratch_folder_is_the_shared_one():
     assert scratch_folder(session_with("yarn", folder="hdfs:///shared/")) == "hdfs:///shared/app-1"
     assert "app-1" in scratch_folder(session_with("local[2]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(session_with("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_folder(session_with(master))
 
 
 def test_export_quotes_every_value(spark, tmp_path):
