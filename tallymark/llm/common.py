@@ -60,9 +60,10 @@ def bounded(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES
 def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row per node with ``node`` and ``component``, its least reachable node.
 
-    Each round every node moves to the node around it that a hash of the round puts first, and edges between nodes that
-    met vanish. On average a constant share of the nodes is left, so rounds grow with the logarithm of the nodes and
-    later rounds are small. Each round's tables are written. A hub's edges are reduced in the map tasks where neighbours
+    Each round every node moves to the first node around it, and edges between nodes that met vanish. Rounds take turns in
+    what is first: the least node, which collapses what hangs on small hubs at once, and the least hash, with which on
+    average a constant share of any graph's nodes is left. So rounds grow with the logarithm of the nodes, and later
+    rounds are small. Each round's tables are written. A hub's edges are reduced in the map tasks where neighbours
     are compared, and are a hot key of an inner join elsewhere, which adaptive execution splits.
     """
     links = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a is not null and b is not null and a <> b")
@@ -72,11 +73,14 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         if links.isEmpty():
             least = every.groupBy("at").agg(F.min("node").alias("component"))
             return every.join(least, "at").select("node", "component")
-        first = F.struct(F.xxhash64("near", F.lit(k)).alias("order"), "near")
+        order = (lambda name: F.xxhash64(name, F.lit(k))) if k % 2 else F.col  # noqa: B023
+        first = F.struct(order("near").alias("order"), "near")
         around = links.select(F.col("a").alias("here"), F.col("b").alias("near")).union(links.select("b", "a"))
-        own = F.struct(F.xxhash64("here", F.lit(k)).alias("order"), F.col("here").alias("near"))
+        own = F.struct(order("here").alias("order"), F.col("here").alias("near"))
         nearest = around.groupBy("here").agg(F.min(first).alias("first"))
         moves = write_through(nearest.select("here", F.least("first", own)["near"].alias("there")), f"{name}-moves")
+        if k:  # few nodes are left, and most of them in chains: follow those four steps at once
+            moves = write_through(_followed(_followed(moves)), f"{name}-moves")
         left = links.join(moves.withColumnRenamed("here", "a"), "a").select(F.col("there").alias("a"), "b")
         both = left.join(moves.withColumnRenamed("here", "b"), "b").select("a", F.col("there").alias("b")).where("a <> b")
         links = write_through(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-edges")
@@ -86,6 +90,12 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
+def _followed(moves: DataFrame) -> DataFrame:
+    """Every node goes where the node it goes to goes; all nodes of ``there`` are in ``here`` too."""
+    on = moves.select(F.col("here").alias("there"), F.col("there").alias("beyond"))
+    return moves.join(on, "there").select("here", F.col("beyond").alias("there"))
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> dict[str, Column]:
     """``_id`` and ``_hash`` of the text, neither of them NULL. Only rows that repeat an id and a text share them."""
     return {"_id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_hash": F.xxhash64(text_col)}
