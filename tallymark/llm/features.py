@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import weakref
 import zlib
 from collections.abc import Iterable
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import held_out
 
-REMEMBERED = 400_000
+REMEMBERED, ALL_REMEMBERED = 300_000, 600_000
 EDGES = ".,;:!?\"'()[]{}<>«»“”‘’…*#%&$@-–—_/\\|~^+="
 
 
@@ -28,15 +29,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, at_most: int
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-class Remembered(dict):
+class Memory(dict):
+    """What a Python worker remembers across tasks. All memories of a worker together have a bound: one that needs room
+    empties the others, which belong to other steps of a job."""
+
+    _all: list[weakref.ref] = []
+
+    def __init__(self):
+        super().__init__()
+        Memory._all.append(weakref.ref(self))
+
+    def make_room(self) -> None:
+        Memory._all[:] = [r for r in Memory._all if r() is not None]
+        memories = [r() for r in Memory._all]
+        if sum(map(len, memories)) > ALL_REMEMBERED:
+            for other in memories:
+                if other is not self:
+                    other.clear()
+
+
+class Remembered(Memory):
     """A bounded memory of a function of one text."""
 
     def __init__(self, function):
         super().__init__()
-        self.function = function
+        self.function, self.made = function, 0
 
     def __missing__(self, key):
         value = self.function(key)
+        self.made += 1
+        if self.made % 10_000 == 0:
+            self.make_room()
         if len(self) >= REMEMBERED:
             self.clear()
         if len(key) <= 64:

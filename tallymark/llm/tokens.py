@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import bounded, ship, table
+from tallymark.llm.features import Memory
 from tallymark.sources.scratch import scratch_path
 
 END_ID = 1
@@ -134,7 +135,7 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith(WORD_END)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = Memory()
         self.end = np.array([END_ID], self.dtype).tobytes()
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
@@ -146,6 +147,7 @@ class Encoder:
         if len(known) + 2 * len(new) > CACHED_PIECES:
             known.clear()
             new = list(every)
+        known.make_room()
         self._learn(new)
         packed = [b"".join([*map(known.__getitem__, pieces), self.end]) for pieces in split]
         for piece in new:
