@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tallymark.sources.layouts import MPOS, PMC, TIER, TRANSACCIONES, Layout
 from tallymark.workload import bindings as b
-from tallymark.workload.queries import DAY_TEXTS, FILE_NAME, KEYS
+from tallymark.workload.queries import DAY_TEXTS, FILE_NAME, KEYS, NULLED
 
 TRX_ID = TRANSACCIONES.line_id
 
@@ -236,7 +236,7 @@ def oracle() -> dict[str, str]:
             AS integer) as flagged FROM comercio""",
         "join_conditional": day_join
         + "SELECT id, ref_id, exitosa, signature FROM autorizacion LEFT JOIN answer ON answered = id AND exitosa = 0",
-        "self_anti_empty": _with(PMC, b.PMC_LINES)
+        "self_anti_empty": _sql(f"WITH lines AS ({NULLED}) ")
         + "SELECT id, nro_orden FROM lines one WHERE NOT EXISTS (SELECT 1 FROM lines other WHERE other.id = one.id)",
         "matched_ids": day_join + f"SELECT DISTINCT line.{TRX_ID} as line_id {BY_DAY}",
         "unmatched_key_date": day_join
@@ -250,7 +250,7 @@ def oracle() -> dict[str, str]:
             row_number() over (partition by line.id_procesador, line.id order by line.{TRX_ID}, {PICK_ORDER}) as rn
             {BY_DAY}) WHERE rn = 1""",
         "fanout_count": """SELECT c_custkey as comercio_id, count(*) as joined_rows FROM customer
-            LEFT JOIN supplier ON s_nationkey = c_nationkey GROUP BY c_custkey""",
+            LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""",
         "union_distinct": _with(PMC, b.PMC_REPEATED_LINES)
         + f"""SELECT {', '.join(PMC.columns)}, 'keyed' as arm FROM lines WHERE nro_orden <> ''
             UNION SELECT {', '.join(PMC.columns)}, '' as arm FROM lines WHERE nro_orden = '' OR nro_orden IS NULL""",

@@ -25,6 +25,8 @@ FILE_NAME = """select event_id, concat(case event_type when 'error' then 'x_pmc_
     as file_name from {events}"""
 KEYS = """select event_id as id, case event_type when 'error' then '' when 'view' then cast(null as string)
     else cast(event_id * 2 as string) end as nro_orden from {events}"""
+NULLED = """select case when event_type = 'error' then cast(null as bigint) else event_id end as id,
+    cast(event_id * 2 as string) as nro_orden from {events}"""
 DAY_TEXTS = """select l_orderkey, l_linenumber, case when l_returnflag = 'R' then concat('n/a ', l_linestatus)
     when l_returnflag = 'N' and l_linestatus = 'O' then '1999-02-30 00:00:00' else cast(l_shipdate as string) end
     as trx_date from {lineitem}"""
@@ -177,7 +179,8 @@ def join_conditional(spark, sf_dir):
 
 @query
 def self_anti_empty(spark, sf_dir):
-    lines = b.bind(spark, sf_dir, b.PMC_LINES).select("id", "nro_orden")
+    """Lines that no line equals in its id: none but those without an id, which equal nothing."""
+    lines = b.bind(spark, sf_dir, NULLED)
     return lines.join(lines.select("id"), "id", "left_anti")
 
 
@@ -229,12 +232,9 @@ def dedup_key_date(spark, sf_dir):
 
 @query
 def fanout_count(spark, sf_dir):
-    suppliers = b.table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "comercio_id")
-    links = lookup.acquirer_links(suppliers)
-    customers = b.table(spark, sf_dir, "customer")
-    return customers.join(links, F.col("c_nationkey") == F.col("_linked"), "left").select(
-        F.col("c_custkey").alias("comercio_id"), F.coalesce("_links", F.lit(1)).alias("joined_rows")
-    )
+    ledger = b.ledger(spark, sf_dir, MPOS)
+    merchants = ledger.comercio.select("id", F.col("id").alias("comercio_id"))
+    return lookup.with_links(merchants, ledger).select("comercio_id", F.col("_links").alias("joined_rows"))
 
 
 def _unkeyed(column: str) -> Column:
