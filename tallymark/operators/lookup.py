@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,12 +129,11 @@ def narrow_ledger(ledger: Ledger, authorizations: DataFrame) -> tuple[DataFrame,
         return authorizations, ledger
     authorizations = write_through(authorizations, "authorizations")
     if authorizations.count() * ID_BYTES > MAX_BROADCAST_BYTES:
-        return authorizations, replace(ledger)
+        return authorizations, ledger.with_tables()
     transactions = write_through(
         referenced(ledger.transaccion, "autorizacion_id", authorizations, "id"), "transactions"
     )
-    return authorizations, replace(
-        ledger,
+    return authorizations, ledger.with_tables(
         transaccion=transactions,
         historial_transaccion=referenced(
             ledger.historial_transaccion, "id", transactions, "historial_transaccion_actual_id"

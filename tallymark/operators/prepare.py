@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,4 +69,4 @@ def collate_keys(lines: DataFrame, ledger: Ledger, layout: Layout, collation: st
     """
     keys = ("codigo_referencia", "ref_id", "codigo_unico_adq")
     a = ledger.autorizacion.withColumns({c: F.collate(c, collation) for c in keys})
-    return lines.withColumn(layout.key, F.collate(layout.key, collation)), replace(ledger, autorizacion=a)
+    return lines.withColumn(layout.key, F.collate(layout.key, collation)), ledger.with_tables(autorizacion=a)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,6 +104,13 @@ class Ledger:
         """The same tables, written once."""
         return Ledger(**{f.name: write_through(getattr(self, f.name), f"ledger-{f.name}") for f in fields(self)})
 
+    def with_tables(self, **tables: DataFrame) -> Ledger:
+        """A ledger with some tables in place of its own; the measured size of the merchants stays known while they stay."""
+        changed = replace(self, **tables)
+        if "comercio" not in tables and "merchant_bytes" in self.__dict__:
+            changed.__dict__["merchant_bytes"] = self.merchant_bytes
+        return changed
+
     @cached_property
     def transaction_count(self) -> int:
         """Rows of the transaction table; parquet answers this from its footers."""

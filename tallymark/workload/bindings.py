@@ -158,8 +158,11 @@ _known: dict[tuple[str, ...], DataFrame | Ledger] = {}
 
 
 def _once(spark: SparkSession, *name: str, make: Callable[[], T]) -> T:
-    known = (spark.sparkContext.applicationId, *name)
+    application = spark.sparkContext.applicationId
+    known = (application, *name)
     if known not in _known:
+        for old in [k for k in _known if k[0] != application]:
+            del _known[old]
         _known[known] = make()
     return _known[known]
 
