@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import bounded, ship, table
-from tallymark.llm.features import Memory
+from tallymark.llm.features import Memory, uncollected
 from tallymark.sources.scratch import scratch_path
 
 END_ID = 1
@@ -138,6 +138,7 @@ class Encoder:
         self.known: dict[str, bytes] = Memory()
         self.end = np.array([END_ID], self.dtype).tobytes()
 
+    @uncollected
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         lowered = [text if BEYOND_LATIN.search(text) else text.lower() for text in (text or "" for text in texts)]
         split = [text.replace("\n", " ").split(" ") for text in lowered]
@@ -193,7 +194,7 @@ def encoder(definition: str) -> Encoder:
 
 
 SHARD_SCHEMA = "part int, shard int, first_id long, documents long, ids long, doc_ids array<long>, blob binary"
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 512
 
 
 def write_tokens(docs: DataFrame, path: str, definition: str, id_col: str = "doc_id", text_col: str = "text") -> None:

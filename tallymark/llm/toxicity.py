@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import held_out, ship, table
 from tallymark.sources.scratch import write_through
-from tallymark.llm.features import EDGES, Remembered, bucket, labelled_sample, logistic, rows_of
+from tallymark.llm.features import EDGES, Remembered, bucket, labelled_sample, logistic, rows_of, uncollected
 
 MAX_MINED = 16_000  # labelled rows that lexicons are mined from, on the executors
 MAX_LABELLED = 6_000  # labelled rows whose features the classifier is trained on, on the driver
@@ -109,6 +109,7 @@ class Toxicity:
         terms, numbers = np.unique(np.fromiter(chain.from_iterable(map(_COLUMNS.__getitem__, pieces)), np.int64), return_counts=True)
         return np.concatenate([np.array(voted, np.int64), terms]), np.concatenate([np.ones(len(voted)), numbers / np.sqrt(max(1, len(pieces)))])
 
+    @uncollected
     def score(self, texts: list[str | None]) -> np.ndarray:
         """As the sum over ``columns``, piece by piece: a piece always adds the same, so that is remembered."""
         memory, found = _memory(self), []
