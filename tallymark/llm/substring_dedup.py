@@ -18,7 +18,6 @@ SENTENCES = 2  # a span has at least so many sentences
 WORDS = 20  # and so many words
 BOUNDARY = re.compile(r"[.!?]+\s+|\s*\n\s*")
 SPAN_BYTES = 48
-CUT_BYTES = 32
 PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
@@ -98,6 +97,7 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
     several = write_through(all_spans(rows, False).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "span-hashes")
     places = write_through(all_spans(rows, True).join(bounded(several, SPAN_BYTES), "hash"), "span-places")
     firsts = places.groupBy("hash", "check").agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "start")).alias("first"))
+    firsts = write_through(firsts, "span-firsts")  # read back, it has an exchange of its own below the join, which can then be split
     told = places.join(firsts, ["hash", "check"])
     later = told.where(~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("start") == F.col("first.start"))))
     return later.groupBy("_id", "_hash").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("cuts"))
@@ -129,7 +129,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     cuts = write_through(repeated_sentences(docs), "span-cuts")
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("of"))
     known = rows["doc_id"].eqNullSafe(cuts["_id"]) & (rows["of"] == cuts["_hash"])
-    joined = rows.join(bounded(cuts, F.size("cuts") * CUT_BYTES + SPAN_BYTES), known, "left").select("doc_id", "text", "cuts")
+    # Cuts grow with the documents, so texts are always shuffled to them, never the other way.
+    joined = rows.join(cuts, known, "left").select("doc_id", "text", "cuts")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
