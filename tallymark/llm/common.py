@@ -51,10 +51,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def bounded(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df``, a written table, with a broadcast hint if its measured size is within ``limit``; beyond it the planner shuffles."""
-    size = df.count() * row_bytes if isinstance(row_bytes, int) else df.agg(F.sum(row_bytes)).first()[0] or 0
-    return F.broadcast(df) if size <= limit else df
+def bounded(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a table of narrow rows, with a broadcast hint if its measured size is within ``limit``; beyond it the planner shuffles."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
 def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
