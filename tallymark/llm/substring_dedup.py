@@ -1,64 +1,135 @@
-"""Substring dedup: passages of several consecutive sentences that were seen before are removed."""
+"""Substring dedup: passages of several consecutive units (sentences, or parts of long ones) that were seen before are removed."""
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import bounded, ship, table
+from tallymark.llm.common import ship, table
 from tallymark.sources.scratch import write_through
 
-SENTENCES = 2  # a span has at least so many sentences
+SENTENCES = 2  # a span has at least so many units
 WORDS = 20  # and so many words
+LONGEST = 16  # a sentence of more words is cut further
+WINDOW = 8  # of so many words in a row of a long sentence, the one with the least hash begins a unit
+MARKS = "\u3002\uff01\uff1f\uff61\u0964\u0965\u061f\u06d4\u1362"  # full stops that need no white space behind them
 BOUNDARY = re.compile(r"[.!?]+\s+|\s*\n\s*")
-SPAN_BYTES = 48
+MARKED_BOUNDARY = re.compile(rf"[.!?]+\s+|\s*\n\s*|[{MARKS}]+\s*")
+ANY_MARK = re.compile(f"[{MARKS}]")
+# Scripts written without blanks: each character counts as a word.
+UNSPACED = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
+BLANK = np.array([chr(k).isspace() for k in range(0x3002)])  # there are none beyond
 PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@functools.cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2 ** bits powers of both primes and of their inverses modulo 2 ** 64."""
+    inverse = np.array([pow(int(p), -1, 1 << 64) for p in PRIMES], np.uint64)
+    return tuple(np.cumprod(np.concatenate([np.ones((1, 2), np.uint64), np.broadcast_to(of, ((1 << bits) - 1, 2))]), axis=0, dtype=np.uint64) for of in (PRIMES, inverse))
+
+
+def run_hashes(values: np.ndarray, first: np.ndarray, end: np.ndarray, prime: int) -> np.ndarray:
+    """Hash of each run ``values[first:end]``: a polynomial in a prime, from sums of all that stands before."""
+    powers, inverse = (p[:, prime] for p in _powers(max(10, len(values).bit_length())))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers[: len(values)], out=sums[1:])
+    return (sums[end] - sums[first]) * inverse[first]
+
+
+def _sentences(text: str) -> list[int]:
+    boundary = MARKED_BOUNDARY if not text.isascii() and ANY_MARK.search(text) else BOUNDARY
+    return [0, *(m.end() for m in boundary.finditer(text) if m.end() < len(text))] if text else []
+
+
+def _small(text: str) -> str:
+    """In lower case, place by place: a letter whose small form is longer stays."""
+    small = text.lower()
+    return small if len(small) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def _units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int], np.ndarray]:
+    """Hashes of the words of a text, the number of the word each of its sentences begins with, and of each further unit;
+    where sentences and words begin.
+
+    Whether a word begins a unit depends on the words less than ``WINDOW`` before and behind it, so a passage is cut
+    alike in whatever it stands, but for its first and last words. No unit of a long sentence has more than ``WINDOW`` words.
+    """
+    starts = _sentences(text)
+    codes = np.frombuffer(_small(text).encode("utf-32-le", "surrogatepass"), np.uint32)
+    solid = ~BLANK[np.minimum(codes, len(BLANK) - 1)]
+    begin = solid.copy()
+    begin[1:] &= ~solid[:-1]
+    if not text.isascii() and ANY_UNSPACED.search(text):
+        alone = np.zeros(len(codes), bool)
+        alone[[m.start() for m in ANY_UNSPACED.finditer(text)]] = True
+        begin |= alone
+        begin[1:] |= alone[:-1] & solid[1:]
+    begin[starts[1:]] = True
+    places = np.flatnonzero(begin)
+    hashes = _mixed(run_hashes((codes.astype(np.uint64) + np.uint64(1)) * solid, places, np.append(places[1:], len(codes)), 0)) if len(places) else np.zeros(0, np.uint64)
+    begins = np.searchsorted(places, starts)
+    counts = np.diff(np.append(begins, len(places)))
+    if not len(counts) or counts.max() <= LONGEST:
+        return hashes, begins, begins[:0], starts, places
+    windows = len(hashes) - WINDOW + 1
+    least, place = hashes[:windows], np.arange(windows)
+    for k in range(1, WINDOW):
+        here = hashes[k : windows + k]
+        place = np.where(here <= least, np.arange(k, windows + k), place)
+        least = np.minimum(here, least)
+    sentence = np.repeat(np.arange(len(counts)), counts)
+    whole = (sentence[:windows] == sentence[WINDOW - 1 :]) & (counts > LONGEST)[sentence[:windows]]
+    further = np.zeros(len(hashes), bool)
+    further[place[whole]] = True
+    further[begins[counts > 0]] = False
+    return hashes, begins, np.flatnonzero(further), starts, places
+
+
 def sentence_starts(text: str) -> list[int]:
-    """Where sentences begin: at 0, and after a sentence mark with white space or a line end. Blanks belong to the sentence before."""
-    return [0, *(m.end() for m in BOUNDARY.finditer(text) if m.end() < len(text))] if text else []
+    """Where units begin: sentences, and parts of sentences of more than ``LONGEST`` words.
+
+    Sentences begin at 0, after a sentence mark with white space, after a full stop of another script, and after a line end.
+    Blanks belong to the unit before.
+    """
+    _, _, further, starts, places = _units(text)
+    return sorted([*starts, *places[further].tolist()]) if len(further) else starts
 
 
 def spans(text: str | None, least_sentences: int = SENTENCES, least_words: int = WORDS) -> np.ndarray:
-    """Columns start, end (sentence numbers), and two 64-bit hashes of the words of each span.
+    """Columns start, end (unit numbers), and two 64-bit hashes of the words of each span.
 
-    From every sentence on, and up to every sentence, runs the shortest span with enough sentences and words: whatever a
+    From every unit on, and up to every unit, runs the shortest span with enough units and words: whatever a
     repeated passage starts or ends with is then covered by a span inside the passage.
     """
-    starts = sentence_starts(text or "")
-    if len(starts) < least_sentences:
+    hashes, begins, further, _, _ = _units(text or "")
+    counted = np.append(np.sort(np.concatenate([begins, further])), len(hashes))  # words before each unit
+    n = len(counted) - 1
+    if n < least_sentences:
         return np.zeros((0, 4), np.int64)
-    ends = [*starts[1:], len(text)]
-    words = [text[a:b].lower().split() for a, b in zip(starts, ends)]
-    digests = np.array([xxhash.xxh64_intdigest(" ".join(w)) for w in words], np.uint64)
-    counted = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-    n = len(starts)
     first = np.arange(n)
     to = np.maximum(first + least_sentences, np.searchsorted(counted, counted[:-1] + least_words))
-    forward = np.stack([first, to], 1)[to <= n]
     last = np.arange(1, n + 1)
     since = np.minimum(last - least_sentences, np.searchsorted(counted, counted[1:] - least_words, side="right") - 1)
-    backward = np.stack([since, last], 1)[since >= 0]
-    found = np.unique(np.concatenate([forward, backward]), axis=0)
-    powers = np.ones((n + 1, 2), np.uint64)
-    powers[1:] = np.cumprod(np.broadcast_to(PRIMES, (n, 2)), axis=0, dtype=np.uint64)
-    # Hash of a run from hashes of prefixes: what stands before it is taken off.
-    prefix = np.zeros((n + 1, 2), np.uint64)
-    total = [0, 0]
-    for k, digest in enumerate(digests.tolist()):
-        for c in (0, 1):
-            total[c] = (total[c] * int(PRIMES[c]) + digest) & 0xFFFFFFFFFFFFFFFF
-        prefix[k + 1] = total
-    length = found[:, 1] - found[:, 0]
-    hashes = prefix[found[:, 1]] - prefix[found[:, 0]] * powers[length]
-    return np.concatenate([found.astype(np.int64), hashes.view(np.int64)], axis=1)
+    found = np.unique(np.concatenate([(first * (n + 1) + to)[to <= n], (since * (n + 1) + last)[since >= 0]]))
+    start, end = found // (n + 1), found % (n + 1)
+    # Mixed, so that the words of a unit are not the words of two.
+    units = _mixed(run_hashes(hashes, counted[:-1], counted[1:], 0) + PRIMES[1])
+    checks = [run_hashes(units, start, end, prime).view(np.int64) for prime in (0, 1)]
+    return np.stack([start, end, *checks], 1)
 
 
 def all_spans(docs: DataFrame, located: bool) -> DataFrame:
@@ -77,12 +148,12 @@ def all_spans(docs: DataFrame, located: bool) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "_id": batch["_id"].repeat(lengths).to_numpy(), "_hash": batch["_hash"].repeat(lengths).to_numpy(),
-                    "start": rows[:, 0], "end": rows[:, 1], "hash": rows[:, 2], "check": rows[:, 3],
+                    "start": rows[:, 0].astype(np.int32), "end": rows[:, 1].astype(np.int32), "hash": rows[:, 2], "check": rows[:, 3],
                 }
             )
 
     if located:
-        return docs.select("_id", "_hash", "text").mapInPandas(places, "_id long, _hash long, start long, end long, hash long, check long")
+        return docs.select("_id", "_hash", "text").mapInPandas(places, "_id long, _hash long, start int, end int, hash long, check long")
     return docs.select("text").mapInPandas(hashes, "hash long")
 
 
@@ -90,12 +161,12 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
     """Sentence ranges to remove: ``_id, _hash, cuts`` (array of start, end) for rows with any.
 
     Hashes are counted over all documents first, narrow and pre-aggregated; places are then looked up only for hashes
-    that occur more than once. The first place, by id and sentence, keeps its span; a very common span is one row per map
+    that occur more than once, shuffled at every size. The first place, by id and sentence, keeps its span; a very common span is one row per map
     task where it is counted, and a hot key of an inner join, which is split, where its first place is told to the others.
     """
     rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
     several = write_through(all_spans(rows, False).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "span-hashes")
-    places = write_through(all_spans(rows, True).join(bounded(several, SPAN_BYTES), "hash"), "span-places")
+    places = write_through(all_spans(rows, True).join(several, "hash"), "span-places")
     firsts = places.groupBy("hash", "check").agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "start")).alias("first"))
     firsts = write_through(firsts, "span-firsts")  # read back, it has an exchange of its own below the join, which can then be split
     told = places.join(firsts, ["hash", "check"])
@@ -104,7 +175,7 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
 
 
 def without_cuts(text: str | None, cuts) -> tuple[str | None, int, int]:
-    """What is left of a text, how many sentences it had, and how many were removed."""
+    """What is left of a text, how many units it had, and how many were removed."""
     starts = sentence_starts(text or "")
     if cuts is None or not len(cuts):
         return text, len(starts), 0
@@ -118,9 +189,11 @@ def without_cuts(text: str | None, cuts) -> tuple[str | None, int, int]:
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text`` (what is left), ``n_sentences, n_removed``.
 
-    A span is a run of consecutive sentences with at least ``SENTENCES`` sentences and ``WORDS`` words; spans are equal if
-    their words are, in lower case. Every sentence inside a span whose first place, by id and position, is another one is
-    removed, with the white space after it. A document without repeated spans keeps its text as it is.
+    A unit is a sentence, or a part of one of more than ``LONGEST`` words. A span is a run of consecutive units with at least
+    ``SENTENCES`` units and ``WORDS`` words; spans are equal if their units' words are, in lower case. Every unit inside a
+    span whose first place, by id and position, is another one is removed, with the white space after it, and both counts
+    are of units. Any repeated passage of 52 words holds a span wherever it begins and ends: at most 16 words at either
+    end belong to units that are not whole or are cut otherwise there. A document without repeated spans keeps its text.
 
     NULL texts stay NULL and have no sentences. Rows that repeat an id and a text are one place and keep or lose the same
     sentences. NULL ids come last. An empty table gives no rows; other columns are not read.
