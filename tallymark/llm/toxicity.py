@@ -22,6 +22,7 @@ from tallymark.llm.features import EDGES, Remembered, bucket, labelled_sample, l
 MAX_MINED = 16_000  # labelled rows that lexicons are mined from, on the executors
 MAX_LABELLED = 6_000  # labelled rows whose features the classifier is trained on, on the driver
 MAX_TERMS = 4_000  # mined terms with the highest odds
+SKETCH = 4  # least hashes that are equal in copies
 LEAST_DOCUMENTS = 6  # labelled toxic documents a mined term stands in
 LEAST_LOG_ODDS = 4.0
 MOST_OTHERS = 0.02  # other documents with a mined term, as a share of the toxic ones
@@ -143,28 +144,39 @@ def _memory(model: Toxicity) -> _Memory:
     return _MEMORY[0]
 
 
+def sketch(text: str | None) -> str:
+    """The ``SKETCH`` least hashes of two neighbouring words; of documents with fewer, all, and of a single word its own."""
+    pieces = (text or "").split()
+    pairs = {f"{a} {b}" for a, b in zip(pieces, pieces[1:])} or set(pieces)
+    return ",".join(map(str, sorted({bucket(pair, 1 << 32) for pair in pairs})[:SKETCH]))
+
+
+def distinct_sample(sample: DataFrame) -> DataFrame:
+    """``text, label`` of one row of all with the same sketch and label: the least by id and text."""
+    sketched = F.pandas_udf(lambda texts: texts.map(sketch), "string")
+    one = sample.groupBy(sketched(F.coalesce("text", F.lit(""))).alias("sketch"), "label").agg(F.min(F.struct("doc_id", "text")).alias("one"))
+    return one.select("one.text", "label")
+
+
 def mined_lexicon(sample: DataFrame) -> dict[str, int]:
     """Terms far more frequent in toxic than in other labelled documents, dealt to voters by hash.
 
-    Of labelled documents with the same least hash of two neighbouring words, one per task counts: copies of a document
-    would else turn all of its words into signs of its label.
+    Copies of a document would turn all of its words into signs of its label, so of labelled documents with one label and
+    the same ``sketch`` the first by id counts. They are dropped before anything is counted, wherever they are read.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        documents, seen = Counter(), set()
+        documents = Counter()
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"]):
-                pieces = (text or "").split()
-                sketch = min((bucket(f"{a} {b}", 1 << 32) for a, b in zip(pieces, pieces[1:])), default=len(seen))
-                if sketch not in seen:
-                    seen.add(sketch)
-                    counts[int(label)].update(terms_of(text))
-                    documents[int(label)] += 1
+                counts[int(label)].update(terms_of(text))
+                documents[int(label)] += 1
         yield pd.DataFrame({"term": [""], "toxic": [documents[1]], "other": [documents[0]]})  # no term is empty
         terms = pd.Series([*counts[1], *(t for t in counts[0] if t not in counts[1])], dtype=object)
         yield pd.DataFrame({"term": terms, "toxic": terms.map(counts[1]).astype(int), "other": terms.map(counts[0]).astype(int)})
 
+    sample = distinct_sample(sample)
     counted = sample.mapInPandas(count, "term string, toxic long, other long").groupBy("term")
     summed = write_through(counted.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(f"term = '' or toxic >= {LEAST_DOCUMENTS}"), "toxic-terms")
     totals = summed.where("term = ''").first()

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tallymark.llm import substring_dedup
+from tallymark.llm import substring_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -47,3 +47,14 @@ def test_units_are_short_and_begin_with_words():
         pieces = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
         assert all(len(p.replace("語", " 語 ").split()) <= substring_dedup.LONGEST for p in pieces)
         assert [p for p in pieces if p[:1].isspace()] in ([], [pieces[0]] if pieces else [])
+
+
+def test_only_copies_are_dropped_from_the_lexicon_sample_however_it_is_dealt(spark):
+    common = min((f"{a} {b}" for a in "abcdefgh" for b in "abcdefgh"), key=lambda pair: toxicity.bucket(pair, 1 << 32))
+    texts = [f"{common} {prose(k, 3)}" for k in range(60)]
+    rows = [(k, t, int(k % 3 == 0)) for k, t in enumerate(texts)] + [(100 + k, texts[0], k % 2) for k in range(40)] + [(200, None, 0), (201, "", 0)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    found = [sorted(map(tuple, toxicity.distinct_sample(sample.repartition(n)).collect()), key=str) for n in (1, 7)]
+    assert found[0] == found[1] and len(found[0]) == 60 + 1 + 1
+    lexicons = [toxicity.mined_lexicon(sample.repartition(n)) for n in (1, 7)]
+    assert lexicons[0] == lexicons[1]
