@@ -26,6 +26,7 @@ CACHED_PIECES = 500_000
 LONGEST_CACHED = 48
 WORD_END = "</w>"  # how the vocabulary marks a word's last token
 BEYOND_LATIN = re.compile("[^\x00-\u024f]")  # up to there lower case is the same in every library
+ADDED = "<|"  # how tokens begin that are looked for before anything is lower-cased
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
 TOTAL_ROW_BYTES = 32
 MAGIC = b"TMEF"
@@ -140,7 +141,7 @@ class Encoder:
 
     @uncollected
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        lowered = [text if BEYOND_LATIN.search(text) else text.lower() for text in (text or "" for text in texts)]
+        lowered = [text if ADDED in text or BEYOND_LATIN.search(text) else text.lower() for text in (text or "" for text in texts)]
         split = [text.replace("\n", " ").split(" ") for text in lowered]
         known = self.known
         every = set().union(*split)
