@@ -142,7 +142,7 @@ def links_within(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, in
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, key_a, key_b, bands`` of every row of ``docs``; texts without words have no bands."""
+    """``doc_id, _hash, n_shingles, key_a, key_b, bands`` of every row of ``docs``; texts without words have no bands."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -150,16 +150,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 found = shingles(text)
                 rows.append((len(found), *set_key(found), bands(signature(found)) if len(found) else []))
-            yield pd.DataFrame(rows, columns=["n_shingles", "key_a", "key_b", "bands"]).assign(doc_id=batch["doc_id"].to_numpy())
+            yield pd.DataFrame(rows, columns=["n_shingles", "key_a", "key_b", "bands"]).assign(doc_id=batch["doc_id"].to_numpy(), _hash=batch["_hash"].to_numpy())
 
-    return docs.select("doc_id", "text").mapInPandas(of, "n_shingles long, key_a long, key_b long, bands array<long>, doc_id long")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "text")
+    return rows.mapInPandas(of, "n_shingles long, key_a long, key_b long, bands array<long>, doc_id long, _hash long")
 
 
 def candidate_groups(classes: DataFrame) -> DataFrame:
-    """Classes that share a band, directly or through others: ``node, component``. Each bucket names one member as its hub."""
-    placed = classes.select("class_id", F.posexplode("bands").alias("band", "value")).select("class_id", F.xxhash64("band", "value").alias("bucket"))
-    hubs = placed.groupBy("bucket").agg(F.min("class_id").alias("hub"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
-    edges = placed.join(hubs, "bucket").where("class_id <> hub").select(F.col("hub").alias("a"), F.col("class_id").alias("b"))
+    """Classes, named by their ``key_a``, that share a band, directly or through others: ``node, component``. Each bucket names one member as its hub."""
+    placed = classes.select("key_a", F.posexplode("bands").alias("band", "value")).select("key_a", F.xxhash64("band", "value").alias("bucket"))
+    hubs = placed.groupBy("bucket").agg(F.min("key_a").alias("hub"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
+    edges = placed.join(hubs, "bucket").where("key_a <> hub").select(F.col("hub").alias("a"), F.col("key_a").alias("b"))
     return components(edges.distinct(), "near-candidates")
 
 
@@ -168,10 +169,10 @@ def blocks(groups: DataFrame, classes: DataFrame) -> DataFrame:
 
     A group is dealt into blocks of bounded size, and every two blocks, and every block with itself, meet in one task.
     """
-    members = groups.select(F.col("node").alias("class_id"), "component").join(classes.select("class_id", "key_a", "n_shingles"), "class_id")
+    members = groups.select(F.col("node").alias("key_a"), "component").join(classes.select("class_id", "key_a", "n_shingles"), "key_a")
     sizes = members.groupBy("component").agg(F.greatest(F.count("*") / BLOCK_DOCUMENTS, F.sum("n_shingles") / BLOCK_SHINGLES).alias("size"))
     dealt = members.join(sizes.select("component", F.ceil("size").cast("int").alias("parts")), "component")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("key_a"), F.col("parts")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return met.select(
         "class_id", "key_a", "component", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"),
@@ -197,7 +198,7 @@ def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
                     key, ids, sides, sets = here, [], [], []
                 found = shingles(row.text)
                 if set_key(found)[0] == row.key_a:  # not another row that repeats the id
-                    ids.append(row.class_id)
+                    ids.append(row.key_a)
                     sides.append(row.side)
                     sets.append(found)
         if key is not None:
@@ -208,6 +209,31 @@ def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
     return dealt.select("component", "first", "second", "side", "class_id", "key_a", "text").mapInPandas(compare, "a long, b long")
 
 
+def _linked(docs: DataFrame) -> DataFrame:
+    """The columns of ``near_duplicates`` and ``_hash``, of the text. Classes are told apart by their keys, as ids can repeat."""
+    ship(docs.sparkSession)
+    prints = write_through(fingerprints(docs), "near-fingerprints")
+    named = prints.where("n_shingles > 0 and doc_id is not null")
+    classes = write_through(
+        named.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")),
+        "near-classes",
+    )
+    members = write_through(blocks(candidate_groups(classes), classes), "near-members")
+    links = write_through(verified_links(docs, members), "near-links")
+    connected = components(links, "near-links").withColumnRenamed("node", "key_a")
+    connected = write_through(connected.join(classes.select("key_a", "class_id"), "key_a"), "near-connected")
+    firsts = write_through(connected.groupBy("component").agg(F.min(F.struct("class_id", "key_a")).alias("first")), "near-firsts")
+    told = connected.join(firsts, "component").select("key_a", "first")
+    ids = classes.select("key_a", "key_b", "class_id").join(told, "key_a", "left")
+    own = F.struct("class_id", "key_a")
+    ids = ids.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), F.coalesce("first", own).alias("first"))
+    rows = prints.select("doc_id", "_hash", "n_shingles", "key_a", "key_b")
+    linked = rows.join(ids, (rows["key_a"] == ids["a"]) & (rows["key_b"] == ids["b"]) & (rows["n_shingles"] > 0) & rows["doc_id"].isNotNull(), "left")
+    component = F.coalesce("first.class_id", "doc_id")
+    kept = F.col("doc_id").eqNullSafe(component) & F.coalesce(F.col("first.key_a") == F.col("key_a"), F.lit(True))
+    return linked.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "_hash")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
@@ -215,34 +241,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     and its smallest id stays. Documents with one and the same set are one class from the start and never compared.
 
     NULL and empty texts and those without words have an empty set and are linked with nothing. A NULL id has no component
-    and stays. Rows that repeat an id each follow their own text; where the texts are equal they stay or go together.
-    An empty table gives no rows; other columns are not read.
+    and stays. Rows that repeat an id each follow their own text: of several sets in one component with the least id, one
+    stays; where the texts are equal they stay or go together. An empty table gives no rows; other columns are not read.
 
     A pair is missed with a probability of about two in a million (no shared band), plus ``MISS`` for each batch. A false
     link needs a collision of 64-bit hashes.
     """
-    ship(docs.sparkSession)
-    prints = write_through(fingerprints(docs), "near-fingerprints")
-    named = prints.where("n_shingles > 0 and doc_id is not null")
-    classes = write_through(
-        named.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")),
-        "near-classes",
-    )
-    members = write_through(blocks(candidate_groups(classes), classes), "near-members")
-    links = write_through(verified_links(docs, members), "near-links")
-    connected = components(links, "near-links")
-    ids = classes.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "class_id").join(connected.withColumnRenamed("node", "class_id"), "class_id", "left")
-    ids = ids.select("a", "b", F.coalesce("component", "class_id").alias("component_id"))
-    rows = prints.select("doc_id", "n_shingles", "key_a", "key_b")
-    linked = rows.join(ids, (rows["key_a"] == ids["a"]) & (rows["key_b"] == ids["b"]) & (rows["n_shingles"] > 0) & rows["doc_id"].isNotNull(), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return linked.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return _linked(docs).drop("_hash")
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``. Rows with a NULL id stay."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = _linked(docs).where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("_hash").alias("_gone_hash")).distinct()
+    same = (docs["doc_id"] == gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_hash"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
