@@ -100,10 +100,20 @@ def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
             yield "phone", m.start(), m.end()
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """The longest run of groups from each possible start that mod 97 confirms; a word behind the account is not part of it."""
+    m = IBAN.search(text)
+    while m:
+        ends = [m.end(), *(k for k in range(m.end() - 1, m.start(), -1) if text[k] == " ")]
+        end = next((end for end in ends if mod_97(text[m.start() : end])), None)
+        if end:
+            yield m.start(), end
+        m = IBAN.search(text, end or m.start() + 4)
+
+
 def further_spans(text: str) -> Iterator[tuple[str, int, int]]:
-    for m in IBAN.finditer(text):
-        if mod_97(m[0]):
-            yield "iban", m.start(), m.end()
+    for start, end in ibans(text):
+        yield "iban", start, end
     for m in NATIONAL_ID.finditer(text):
         if not m[0].startswith(("000", "666", "9")):
             yield "national_id", m.start(), m.end()
@@ -119,16 +129,20 @@ def scored(text: str, kind: str, start: int, end: int) -> Span:
 
 
 def find_spans(text: str | None) -> list[Span]:
-    """All spans of ``text`` by start, then kind as listed. An added span that overlaps a base one is left out."""
+    """All spans of ``text`` by start, then kind as listed. An added span that overlaps a base one is left out, but an account
+    that contains a card stays: its digits pass both checks."""
     if not text or not HINT.search(text):
         return []
     spans = [scored(text, *found) for found in base_spans(text)]
-    taken = bytearray(len(text))
+    base, taken = list(spans), bytearray(len(text))
     for s in spans:
         taken[s.start : s.end] = b"\1" * (s.end - s.start)
     for found in further_spans(text):
         span = scored(text, *found)
-        if span.score >= LEAST_SCORE and not any(taken[span.start : span.end]):
+        if span.score < LEAST_SCORE:
+            continue
+        over = [s for s in base if s.start < span.end and span.start < s.end] if any(taken[span.start : span.end]) else []
+        if all(span.kind == "iban" and s.kind == "card" and span.start <= s.start and s.end <= span.end for s in over):
             spans.append(span)
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
