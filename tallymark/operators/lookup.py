@@ -106,8 +106,16 @@ def with_signatures(authorizations: DataFrame, ledger: Ledger) -> DataFrame:
     return authorizations.join(r, on, "left").drop("_authorization")
 
 
-def enrich(authorizations: DataFrame, ledger: Ledger) -> DataFrame:
-    """The whole lookup chain; the number of authorizations does not change."""
+def enrich(authorizations: DataFrame, ledger: Ledger, *, by_id: bool = False) -> DataFrame:
+    """The whole lookup chain; the number of authorizations does not change.
+
+    ``by_id`` walks it with ids alone and joins the authorizations once with what was found: for many of them, whose wide
+    rows would else be shuffled by transaction, state and merchant.
+    """
+    if by_id:
+        ids = authorizations.select("id").distinct()
+        found = enrich(ids, ledger).withColumnRenamed("id", "_found")
+        return authorizations.join(found, F.col("id") == F.col("_found"), "left").drop("_found").fillna({TIER: CORE})
     return with_merchants(with_states(with_transactions(authorizations, ledger), ledger), ledger)
 
 

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import text_date
-from tallymark.operators.grouping import distinct_keys, first_per_group
-from tallymark.operators.lookup import narrow_ledger
+from tallymark.operators.grouping import distinct_keys
 from tallymark.operators.prepare import nonempty
 from tallymark.sources.layouts import Layout
-from tallymark.sources.ledger import TABLES, Ledger
+from tallymark.sources.ledger import TABLES
 
 # Order in which the least authorization of a group is chosen: its id, then whatever else distinguishes it.
 AUTHORIZATION_ORDER = [
@@ -32,93 +28,6 @@ AUTHORIZATION_ORDER = [
 assert set(AUTHORIZATION_ORDER) == set(TABLES["autorizacion"])
 
 MAX_BROADCAST_BYTES = 128 << 20
-ROW_BYTES = 32
-
-
-def statement_codes(lines: DataFrame, layout: Layout) -> DataFrame:
-    """The keys of a statement, as ``_key``."""
-    return lines.filter(F.col(layout.key).isNotNull()).select(F.col(layout.key).alias("_key"), layout.line_id)
-
-
-@dataclass(frozen=True)
-class Extent:
-    """What the ledger has to be searched for: whether the statement's codes fit a broadcast, and its days."""
-
-    small: bool
-    first_day: str | None = None
-    last_day: str | None = None
-
-
-def extent(lines: DataFrame, layout: Layout) -> Extent:
-    """One pass over the key and day columns of a written statement."""
-    size = F.coalesce(F.sum(F.octet_length(layout.key) + ROW_BYTES), F.lit(0))
-    day = text_date(F.col(layout.day)) if layout.day else F.lit(None).cast("date")
-    first, last = (f(day).cast("string").alias(n) for f, n in ((F.min, "first"), (F.max, "last")))
-    found = lines.agg(size.alias("bytes"), first, last).first()
-    return Extent(found["bytes"] <= MAX_BROADCAST_BYTES, found["first"], found["last"])
-
-
-def within_days(authorizations: DataFrame, found: Extent) -> DataFrame:
-    """Authorizations of the statement's days: a range on the stored column, which the scan can skip files by."""
-    made = F.col("fecha_hora_creacion")
-    if found.first_day is None:
-        return authorizations.filter("false")
-    first, last = (F.lit(day).cast("date") for day in (found.first_day, found.last_day))
-    return authorizations.filter((made >= first) & (made < F.date_add(last, 1)))
-
-
-def with_codes(authorizations: DataFrame, codes: DataFrame, layout: Layout, *, small: bool) -> DataFrame:
-    """Only the authorizations whose code occurs in the statement.
-
-    ``small`` codes filter the ledger while it is scanned; others are shuffled, and a hot code can then be split.
-    """
-    if small:
-        keys = F.broadcast(codes.select("_key").distinct())
-    else:
-        keys = distinct_keys(codes, ["_key"], layout.line_id)
-    return authorizations.join(keys, F.col(layout.ledger_key) == F.col("_key"), "left_semi")
-
-
-@dataclass(frozen=True)
-class Candidates:
-    """Ledger side of a match: the authorizations export rows show, a relation with all codes that match, the ledger."""
-
-    picked: DataFrame
-    codes: DataFrame
-    ledger: Ledger
-
-
-def candidates(
-    ledger: Ledger,
-    lines: DataFrame,
-    layout: Layout,
-    *,
-    eligible: Callable[[DataFrame, Ledger], DataFrame] | None = None,
-    order_by: Sequence[str] = AUTHORIZATION_ORDER,
-) -> Candidates:
-    """One authorization per combination of the layout's match columns, for codes that occur in the statement.
-
-    An export row shows one authorization of its group, and the choice does not depend on the line, so it is made on
-    the ledger alone. For a small statement the ledger is filtered first, then grouped, and the lookup tables are
-    narrowed to what is left. For a large one it is grouped first: that order keeps both the grouping and the join free
-    to split a hot code. ``eligible`` drops authorizations that must not match, before one is picked.
-    """
-
-    def kept(rows: DataFrame) -> DataFrame:
-        return eligible(rows, ledger) if eligible else rows
-
-    authorizations = ledger.autorizacion.filter(nonempty(layout.ledger_key))
-    codes = statement_codes(lines.filter(nonempty(layout.key)), layout)
-    searched = extent(lines, layout)
-    if layout.day:
-        authorizations = within_days(authorizations, searched)
-    if searched.small:
-        found = kept(with_codes(authorizations, codes, layout, small=True))
-        picked, narrowed = narrow_ledger(ledger, first_per_group(found, layout.match_columns, order_by))
-        return Candidates(picked, found if narrowed is ledger else picked, narrowed)
-    authorizations = kept(authorizations)
-    picked = first_per_group(authorizations, layout.match_columns, order_by)
-    return Candidates(with_codes(picked, codes, layout, small=False), authorizations, ledger)
 
 
 def match_lines(lines: DataFrame, authorizations: DataFrame, layout: Layout) -> DataFrame:

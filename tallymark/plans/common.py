@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import CORE, null_default
-from tallymark.operators.lookup import enrich
-from tallymark.operators.match import candidates, match_lines, unmatched_lines
+from tallymark.operators.match import match_lines, unmatched_lines
+from tallymark.operators.reduce import Reduced
 from tallymark.sources.layouts import TIER, Layout
-from tallymark.sources.ledger import Ledger
 
 # Labels of the statistics log, in its order.
 INPUT_LABEL = "Input: "
@@ -41,14 +40,14 @@ def padding(layout: Layout, *, tier: str = "") -> list[Column]:
     return [F.lit(tier if header == TIER else "").alias(header) for header in layout.ledger_columns]
 
 
-def export_by_code(lines: DataFrame, ledger: Ledger, layout: Layout, line_id: Column, missing_id: Column) -> DataFrame:
+def export_by_code(lines: DataFrame, found: Reduced, line_id: Column, missing_id: Column) -> DataFrame:
     """Export of the layouts that match by code alone: matched lines, one row per group, and then the others.
 
     Two arms instead of one outer join: adaptive execution can split a hot code of an inner join on both sides, of
     an outer join only on one. Both arms read the same shuffle of the lines.
     """
-    found = candidates(ledger, lines, layout)
-    matched = match_lines(lines, enrich(found.picked, found.ledger), layout).select(
+    layout = found.layout
+    matched = match_lines(lines, found.shown, layout).select(
         *file_columns(layout), line_id.alias(layout.line_id), *ledger_texts(layout)
     )
     others = unmatched_lines(lines, found.codes, layout).select(

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import missing
-from tallymark.operators.grouping import partial_counts
+from tallymark.operators.grouping import distinct_keys
 from tallymark.operators.lookup import narrow_ledger, with_all_transactions, with_links, with_states
-from tallymark.operators.match import extent, statement_codes, unmatched_lines, with_codes
 from tallymark.operators.prepare import nonempty
+from tallymark.operators.reduce import Reduced
 from tallymark.plans.common import METRICS, export_by_code, metric_rows
 from tallymark.sources.layouts import MPOS
 from tallymark.sources.ledger import Ledger
@@ -17,45 +17,46 @@ from tallymark.sources.ledger import Ledger
 GROUP = ["codigo_referencia", "ref_id", "codigo_unico_adq"]
 
 
-def export(lines: DataFrame, ledger: Ledger) -> DataFrame:
+def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduced:
+    """What the ledger holds for these lines. ``shared``: for several outputs, which all read one written table of it."""
+    return Reduced(lines, ledger, MPOS, empty_codes=True, write_matching=shared)
+
+
+def export(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:
     """Every line with a key: one row per authorization group it matches, or one row with empty ledger columns."""
-    return export_by_code(lines, ledger, MPOS, F.col(MPOS.line_id), F.col(MPOS.line_id))
+    return export_by_code(lines, found or reduced(lines, ledger), F.col(MPOS.line_id), F.col(MPOS.line_id))
 
 
-def not_found(lines: DataFrame, ledger: Ledger) -> DataFrame:
+def not_found(found: Reduced) -> DataFrame:
     """Joined rows without a state, per authorization group; all lines without an authorization are one group.
 
     A row counts if its line has a key and its state is NULL, or if its state is the empty text, whatever the key.
     Joined rows are not built: lines are counted per code, and the merchant's acquirer links are a factor.
     """
-    codes = statement_codes(lines, MPOS)
-    authorizations = ledger.autorizacion.filter(F.col(MPOS.ledger_key).isNotNull())
-    small = extent(lines, MPOS).small
-    found = with_codes(authorizations, codes, MPOS, small=small)
-    if small:
-        found, ledger = narrow_ledger(ledger, found)
-        authorizations = found
-    states = with_states(with_all_transactions(found, ledger), ledger)
+    authorizations, ledger = narrow_ledger(found.source, found.matching) if found.small else (found.matching, found.source)
+    states = with_states(with_all_transactions(authorizations, ledger), ledger)
     state = F.col("nombre_estado")
     linked = with_links(states.filter(missing(state)), ledger)
     groups = linked.groupBy(*GROUP).agg(
         F.sum(F.when(state.isNull(), F.col("_links")).otherwise(0)).alias("_null"),
         F.sum(F.when(state == "", F.col("_links")).otherwise(0)).alias("_empty"),
     )
-    counts = partial_counts(lines, [MPOS.key], MPOS.line_id, "_lines")
-    per_row = F.col("_empty") + F.when(nonempty(MPOS.key), F.col("_null")).otherwise(0)
-    matched = counts.join(groups, F.col(MPOS.key) == F.col(MPOS.ledger_key)).select(
+    counts = found.profile.rows
+    per_row = F.col("_empty") + F.when(nonempty("_key"), F.col("_null")).otherwise(0)
+    matched = counts.join(groups, F.col("_key") == F.col(MPOS.ledger_key)).select(
         *GROUP, (F.col("_lines") * per_row).alias("value")
     )
-    without = unmatched_lines(lines, authorizations, MPOS).select(F.lit(1).cast("bigint").alias("value"))
+    codes = distinct_keys(authorizations.filter(nonempty(MPOS.ledger_key)), [MPOS.ledger_key], "id")
+    without = found.profile.keyed.join(codes, F.col("_key") == F.col(MPOS.ledger_key), "left_anti").select(F.col("_lines").alias("value"))
     rows = matched.filter("value > 0").unionByName(without, allowMissingColumns=True)
     return rows.groupBy(*GROUP).agg(F.sum("value").alias("value"))
 
 
-def statistics(lines: DataFrame, ledger: Ledger) -> DataFrame:
+def statistics(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:
     """Lines in, lines declared as output, and one not-found row per group; no such row if everything was found."""
-    totals = lines.agg(F.count(F.lit(1)).alias("input")).withColumn("output_declared", F.col("input"))
-    groups = not_found(lines, ledger).select(
+    found = found or reduced(lines, ledger)
+    totals = found.profile.rows.agg(F.sum("_lines").alias("input")).withColumn("output_declared", F.col("input"))
+    groups = not_found(found).select(
         F.lit("not_found").alias("metric"), F.lit(METRICS["not_found"]).alias("label"), "value"
     )
     return metric_rows(totals, ["input", "output_declared"]).unionByName(groups)

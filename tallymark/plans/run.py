@@ -34,7 +34,8 @@ def reconcile(
 ) -> Layout | None:
     """Read, number, match and write one file. A name without a layout is left alone and gives None.
 
-    The lines are written to the shared folder once; the export and the statistics both start from there.
+    The lines are written to the shared folder once, and so is the part of the ledger that they need; the export and the
+    statistics both start from there.
     ``keep_duplicates`` is for the day-matched layout, ``collation`` compares codes by it. The name is a name, not a pattern.
     """
     name = file.rstrip("/").rsplit("/", 1)[-1]
@@ -47,6 +48,7 @@ def reconcile(
     if collation:
         lines, ledger = collate_keys(lines, ledger, layout, collation)
     options = {"keep_duplicates": True} if keep_duplicates and layout is TRANSACCIONES else {}
-    write_export(export(lines, ledger, **options), f"{out.rstrip('/')}/{export_name(name)}")
-    write_statistics(plan.statistics(lines, ledger), f"{out.rstrip('/')}/{statistics_name(name)}")
+    found = plan.reduced(lines, ledger, shared=True)
+    write_export(export(lines, ledger, found, **options), f"{out.rstrip('/')}/{export_name(name)}")
+    write_statistics(plan.statistics(lines, ledger, found), f"{out.rstrip('/')}/{statistics_name(name)}")
     return layout

@@ -6,93 +6,88 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import null_default
-from tallymark.operators.grouping import first_per_group
-from tallymark.operators.lookup import eligible_authorizations, enrich, with_signatures
-from tallymark.operators.match import (
-    candidates,
-    extent,
-    matched_by_day,
-    same_code_and_day,
-    statement_codes,
-    with_codes,
-    within_days,
-)
-from tallymark.operators.prepare import nonempty
-from tallymark.plans.common import file_columns, metric_rows
-from tallymark.sources.layouts import MERCHANT_ID_V4, TIER, TRANSACCIONES
+from tallymark.operators import match
+from tallymark.operators.lookup import eligible_authorizations, with_signatures
+from tallymark.operators.reduce import Reduced
+from tallymark.plans.common import file_columns, ledger_texts, metric_rows, padding
+from tallymark.sources.layouts import MERCHANT_ID_V4, TRANSACCIONES
 from tallymark.sources.ledger import Ledger
+from tallymark.sources.scratch import write_through
 
 LINE_ID = TRANSACCIONES.line_id
+LINE_ID_BYTES = 32
 
 
-def joined_lines(lines: DataFrame, ledger: Ledger) -> DataFrame:
-    """Every line once, with the authorization of its code and day or with NULLs.
+def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduced:
+    """What the ledger holds for these lines. ``shared``: for several outputs, which all read one written table of it."""
+    return Reduced(lines, ledger, TRANSACCIONES, eligible=eligible_authorizations, extra=with_signatures, write_shown=shared)
 
-    The ledger side has one row per code and day, so the join cannot multiply lines; matched lines and the others
-    come out of the same join, and no anti join repeats it.
-    """
-    found = candidates(ledger, lines, TRANSACCIONES, eligible=eligible_authorizations)
-    a = enrich(with_signatures(found.picked, found.ledger), found.ledger).withColumnRenamed("id", "_authorization_id")
-    return lines.join(a, same_code_and_day(TRANSACCIONES), "left").withColumn("_matched", F.col("codigo_unico_adq").isNotNull())
 
+def _matched(found: Reduced) -> DataFrame:
+    """Narrow rows of the lines that match, ``_line, _key, _day, _id, _lines``."""
+    days = match.code_days(found.codes)
+    same = (F.col("_key") == F.col("codigo_unico_adq")) & (F.col("_day") == F.col("auth_day"))
+    return found.profile.keyed.join(days, same, "left_semi")
 
-def collapse(joined: DataFrame, *, keep_duplicates: bool = False) -> DataFrame:
-    """Of matched lines with the same code and acquirer id keep the first; keep every other line.
 
-    With ``keep_duplicates`` no matched line is dropped.
+def first_lines(matched: DataFrame) -> DataFrame:
+    """Of matched lines with the same code and acquirer id the first. A hot pair is one row per map task before it is shuffled."""
+    return matched.groupBy("_key", "_id").agg(F.min("_line").alias("_line"))
+
+
+def kept_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Lines that match, the first of each code and acquirer id, with what the ledger shows for them; and lines that do not match.
+
+    Which lines stay is settled on narrow rows. Wide lines are then filtered by number and fetched last: only those that
+    match and stay go to the join with the ledger. Numbers are broadcast if they are few enough; else wide lines are shuffled
+    by them, once for both. The ledger side has one row per code and day, so it cannot multiply lines.
     """
-    if keep_duplicates:
-        return joined
-    single = F.when(~F.col("_matched"), F.col(LINE_ID))
-    return first_per_group(joined, [TRANSACCIONES.key, "id", single], [LINE_ID])
+    matched = write_through(_matched(found).select("_line", "_key", "_id"), "matched-lines")
+    few = matched.count() * LINE_ID_BYTES <= match.MAX_BROADCAST_BYTES
 
+    def numbered(rows: DataFrame, how: str) -> DataFrame:
+        numbers = rows.select("_line")
+        return lines.join(F.broadcast(numbers) if few else numbers, F.col(LINE_ID) == F.col("_line"), how)
 
-def export(lines: DataFrame, ledger: Ledger, *, keep_duplicates: bool = False) -> DataFrame:
-    """Matched lines, one per code and acquirer id, and all lines without a match, with empty ledger columns."""
-    rows = collapse(joined_lines(lines, ledger), keep_duplicates=keep_duplicates)
-    return rows.select(*file_columns(TRANSACCIONES), LINE_ID, *_ledger_texts())
+    winners = numbered(matched if keep_duplicates else first_lines(matched), "left_semi")
+    a = found.shown.withColumnRenamed("id", "_authorization_id")
+    return winners.join(a, match.same_code_and_day(TRANSACCIONES)), numbered(matched, "left_anti")
 
 
-def export_merchant_id(lines: DataFrame, ledger: Ledger, *, keep_duplicates: bool = False) -> DataFrame:
-    """As :func:`export`, with the merchant's id in a column of its own beside the line number."""
-    rows = collapse(joined_lines(lines, ledger), keep_duplicates=keep_duplicates)
-    merchant = null_default(F.col("comercio_id")).alias(MERCHANT_ID_V4)
-    return rows.select(*file_columns(TRANSACCIONES), merchant, LINE_ID, *_ledger_texts())
+def _export(lines: DataFrame, ledger: Ledger, found: Reduced | None, keep_duplicates: bool, merchant: bool) -> DataFrame:
+    # Matched lines are settled by the codes and days of what is shown, so that is written even for one output.
+    winners, others = kept_lines(lines, found or reduced(lines, ledger, shared=True), keep_duplicates=keep_duplicates)
+
+    def columns(merchant_id: Column, texts: list[Column]) -> list[Column]:
+        return [*file_columns(TRANSACCIONES), *([merchant_id.alias(MERCHANT_ID_V4)] if merchant else []), F.col(LINE_ID), *texts]
 
+    shown = winners.select(*columns(null_default(F.col("comercio_id")), ledger_texts(TRANSACCIONES)))
+    return shown.unionByName(others.select(*columns(F.lit(""), padding(TRANSACCIONES))))
 
-def _ledger_texts() -> list[Column]:
-    """Ledger columns of the export; here a line without a match has no tier either."""
-    tier = F.when(F.col("_matched"), F.col(TIER))
-    return [
-        null_default(tier if source == TIER else F.col(source)).alias(header)
-        for header, source in TRANSACCIONES.ledger_columns.items()
-    ]
+
+def export(lines: DataFrame, ledger: Ledger, found: Reduced | None = None, *, keep_duplicates: bool = False) -> DataFrame:
+    """Matched lines, one per code and acquirer id, and all lines without a match, with empty ledger columns and no tier.
+
+    With ``keep_duplicates`` no matched line is dropped.
+    """
+    return _export(lines, ledger, found, keep_duplicates, merchant=False)
+
+
+def export_merchant_id(lines: DataFrame, ledger: Ledger, found: Reduced | None = None, *, keep_duplicates: bool = False) -> DataFrame:
+    """As :func:`export`, with the merchant's id in a column of its own beside the line number."""
+    return _export(lines, ledger, found, keep_duplicates, merchant=True)
 
 
-def statistics(lines: DataFrame, ledger: Ledger) -> DataFrame:
+def statistics(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:
     """Lines in, lines declared as output, lines without a match, and true export rows.
 
-    Matched lines are counted per code and acquirer id, and the rest follows by subtraction.
+    Only the narrow rows of the lines are read; matched ones are groups of code and acquirer id, and the rest follows
+    by subtraction.
     """
-    codes = statement_codes(lines.filter(nonempty(TRANSACCIONES.key)), TRANSACCIONES)
-    searched = extent(lines, TRANSACCIONES)
-    authorizations = within_days(ledger.autorizacion, searched)
-    if searched.small:
-        authorizations = with_codes(authorizations, codes, TRANSACCIONES, small=True)
-    matched = matched_by_day(lines, eligible_authorizations(authorizations, ledger), TRANSACCIONES)
-    groups = matched.groupBy(TRANSACCIONES.key, "id").agg(F.count(F.lit(1)).alias("lines"))
-    found = groups.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("lines"), F.lit(0)).alias("matched"))
-    total = lines.agg(F.count(F.lit(1)).alias("total"))
-    zero = F.lit(0).cast("bigint")
-    totals = (
-        total.select("total", zero.alias("matched"), zero.alias("groups"))
-        .unionByName(found.select(zero.alias("total"), "matched", "groups"))
-        .agg(*(F.sum(c).alias(c) for c in ("total", "matched", "groups")))
-        .select(
-            F.col("total").alias("input"),
-            F.col("total").alias("output_declared"),
-            (F.col("total") - F.col("matched")).alias("not_found"),
-            (F.col("total") - F.col("matched") + F.col("groups")).alias("output_rows"),
-        )
+    found = found or reduced(lines, ledger)
+    groups = _matched(found).groupBy("_key", "_id").agg(F.sum("_lines").alias("lines"))
+    total, matched = F.lit(found.profile.lines), F.coalesce(F.sum("lines"), F.lit(0))
+    totals = groups.agg(
+        total.alias("input"), total.alias("output_declared"), (total - matched).alias("not_found"), (total - matched + F.count(F.lit(1))).alias("output_rows")
     )
     return metric_rows(totals, ["input", "output_declared", "not_found", "output_rows"])

@@ -58,6 +58,7 @@ class Layout:
     match_columns: tuple[str, ...]  # ledger columns that make one export row per line
     ledger_columns: dict[str, str]
     day: str | None = None
+    duplicate: str | None = None  # file column that tells lines of one key apart
     drop_empty_key: bool = False
     defaults: tuple[tuple[str, str], ...] = ()
 
@@ -102,6 +103,7 @@ TRANSACCIONES = Layout(
     match_columns=("codigo_unico_adq", "auth_day"),
     ledger_columns={**_AUTHORIZATION, "signature": "signature", **_TAIL},
     day="trx_date",
+    duplicate="id",
 )
 
 # Order matters: a name that contains several of these words belongs to the first.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.columns import format_line, text_date
 from tallymark.operators import lookup, match, prepare
+from tallymark.operators.reduce import Reduced
 from tallymark.plans import common, mpos, pmc, transacciones
 from tallymark.plans.run import reconcile
 from tallymark.sinks.export import export_name, statistics_name
@@ -202,7 +203,7 @@ def unmatched_key_date(spark, sf_dir):
 
 
 def _dedup(spark: SparkSession, sf_dir: str, lines: DataFrame, layout: Layout) -> DataFrame:
-    found = match.candidates(b.ledger(spark, sf_dir, layout), lines, layout)
+    found = Reduced(lines, b.ledger(spark, sf_dir, layout), layout)
     return _match_or_null(lines, found.picked, found.codes, layout)
 
 
@@ -219,8 +220,9 @@ def dedup_acquirer_code(spark, sf_dir):
 @query
 def dedup_key_date(spark, sf_dir):
     ledger = b.ledger(spark, sf_dir, TRANSACCIONES)
-    rows = transacciones.collapse(transacciones.joined_lines(b.numbered_lineitem(spark, sf_dir), ledger))
-    return rows.filter("_matched").select(
+    lines = b.numbered_lineitem(spark, sf_dir)
+    rows, _ = transacciones.kept_lines(lines, transacciones.reduced(lines, ledger, shared=True))
+    return rows.select(
         F.col(TRANSACCIONES.line_id).alias("line_id"),
         TRANSACCIONES.key,
         "id",
