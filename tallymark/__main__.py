@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tallymark.plans.run import reconcile
+from tallymark.plans.run import run
 from tallymark.session import build_session
 from tallymark.sources.ledger import Ledger
 
@@ -29,7 +29,7 @@ def main() -> None:
     parser.add_argument("--charset", default="ISO-8859-1")
     parser.add_argument("--escape", default="\\", help="character that escapes a quote; a quote for doubled ones")
     parser.add_argument("--null", action="append", help="a word that stands for NULL; may be repeated")
-    parser.add_argument("--multi-line", action="store_true", help="values may hold line ends; such a file is read by one task")
+    parser.add_argument("--multi-line", action="store_true", help="with --strict, values may hold line ends")
     parser.add_argument("--strict", action="store_true", help="refuse a file with an open quote at a line's end")
     args = parser.parse_args()
     spark = build_session()
@@ -48,8 +48,8 @@ def main() -> None:
         "strict": args.strict,
     }
     for file in args.files:
-        layout = reconcile(spark, file, ledger, args.out, **options)
-        print(f"{file}: {layout.name if layout else 'no layout for this name, skipped'}")
+        done = run(spark, file, ledger, args.out, **options)
+        print(f"{file}: {done.layout.name}, {done.lines} lines, {done.rejected} rejected" if done else f"{file}: no layout for this name, skipped")
 
 
 if __name__ == "__main__":

@@ -32,9 +32,13 @@ def assign_row_id(
     *,
     segment: Sequence[str] | None = None,
     order_by: Sequence[str] | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Dense numbers 1..n in ``segment`` order and, inside a segment, in the order the rows are read.
 
+    Rows that are read back from a table may come in several runs of a segment; ``place``, ascending in each, then tells the
+    order of the runs, and segment and place columns are kept.
+
     With ``order_by`` the rows are first sorted over the cluster and the sorted partitions are the segments. No task
     sees more than its own segment: rows get their position while they are written once to the shared folder, and
     the written segments are then counted and shifted. Positions are stored, so a retried task cannot renumber.
@@ -43,14 +47,18 @@ def assign_row_id(
         df = df.orderBy(*order_by).withColumn("_partition", F.spark_partition_id())
         segment = ["_partition"]
     assert segment, "name the segment columns or an order"
-    keep = [c for c in df.columns if c not in segment]
+    keep = [c for c in df.columns if place or c not in segment]
+    if place:
+        df, segment = df.withColumn("_run", F.spark_partition_id()), [*segment, "_run"]
     written = write_through(
         df.withColumn("_position", F.monotonically_increasing_id()).withColumn("_segment", F.xxhash64(*segment)),
         "numbered",
     )
-    sizes = written.groupBy("_segment", *segment).agg(F.count(F.lit(1)).alias("_rows"), F.min("_position").alias("_first"))
+    least = [F.min(place).alias("_least")] if place else []
+    sizes = written.groupBy("_segment", *segment).agg(F.count(F.lit(1)).alias("_rows"), F.min("_position").alias("_first"), *least)
+    order = [*segment[:-1], "_least"] if place else segment
     # One row per input split or partition, so this window is small whatever the rows weigh.
-    before = F.sum("_rows").over(Window.orderBy(*segment).rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("_rows").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     offsets = write_through(
         sizes.select("_segment", *segment, "_first", F.coalesce(before, F.lit(0)).alias("_before")), "offsets"
     )

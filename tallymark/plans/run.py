@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 from tallymark.operators.prepare import collate_keys
 from tallymark.plans import mpos, pmc, transacciones
-from tallymark.sinks.export import export_name, statistics_name, write_export, write_statistics
+from tallymark.sinks.export import export_name, rejected_name, statistics_name, write_export, write_rejected, write_statistics
 from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout, layout_for
 from tallymark.sources.ledger import Ledger
-from tallymark.sources.statement import stage_statement
+from tallymark.sources.statement import stage
 
 PLANS = {PMC.name: pmc, MPOS.name: mpos, TRANSACCIONES.name: transacciones}
 
@@ -21,7 +22,16 @@ def escaped(file: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", file)
 
 
-def reconcile(
+@dataclass(frozen=True)
+class Run:
+    """What a run found: the layout, how many lines were read, and how many records were not as the layout says."""
+
+    layout: Layout
+    lines: int
+    rejected: int
+
+
+def run(
     spark: SparkSession,
     file: str,
     ledger: Ledger,
@@ -31,24 +41,33 @@ def reconcile(
     keep_duplicates: bool = False,
     collation: str | None = None,
     **read_options,
-) -> Layout | None:
+) -> Run | None:
     """Read, number, match and write one file. A name without a layout is left alone and gives None.
 
     The lines are written to the shared folder once, and so is the part of the ledger that they need; the export and the
-    statistics both start from there.
+    statistics both start from there. Records that are not as the layout says are listed beside the outputs, if there are any.
     ``keep_duplicates`` is for the day-matched layout, ``collation`` compares codes by it. The name is a name, not a pattern.
     """
     name = file.rstrip("/").rsplit("/", 1)[-1]
     layout = layout_for(name)
     if layout is None:
         return None
-    plan = PLANS[layout.name]
+    plan, out = PLANS[layout.name], out.rstrip("/")
     export = plan.export_merchant_id if merchant_id and hasattr(plan, "export_merchant_id") else plan.export
-    lines = stage_statement(spark, escaped(file), layout, **read_options)
+    staged = stage(spark, escaped(file), layout, **read_options)
+    lines = staged.lines
     if collation:
         lines, ledger = collate_keys(lines, ledger, layout, collation)
     options = {"keep_duplicates": True} if keep_duplicates and layout is TRANSACCIONES else {}
     found = plan.reduced(lines, ledger, shared=True)
-    write_export(export(lines, ledger, found, **options), f"{out.rstrip('/')}/{export_name(name)}")
-    write_statistics(plan.statistics(lines, ledger, found), f"{out.rstrip('/')}/{statistics_name(name)}")
-    return layout
+    write_export(export(lines, ledger, found, **options), f"{out}/{export_name(name)}")
+    write_statistics(plan.statistics(lines, ledger, found), f"{out}/{statistics_name(name)}")
+    if staged.rejected_count:
+        write_rejected(staged.rejected, f"{out}/{rejected_name(name)}")
+    return Run(layout, found.profile.lines, staged.rejected_count)
+
+
+def reconcile(spark: SparkSession, file: str, ledger: Ledger, out: str, **options) -> Layout | None:
+    """As :func:`run`, for the layout alone."""
+    done = run(spark, file, ledger, out, **options)
+    return done.layout if done else None

@@ -17,6 +17,15 @@ def statistics_name(file_name: str) -> str:
     return f"EST_{file_name}.log"
 
 
+def rejected_name(file_name: str) -> str:
+    return f"REJ_{file_name}"
+
+
+def write_rejected(rejected: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+    """Records that are not as their layout says, as JSON lines, since they may hold line ends and quotes."""
+    rejected.write.mode(mode).json(path)
+
+
 def write_export(export: DataFrame, path: str, *, charset: str = "UTF-8", mode: str = "overwrite") -> None:
     """Quoted CSV with a header, one part per task. Quotes inside a value are doubled, NULL is an empty text."""
     (

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators.prepare import assign_row_id, drop_empty_key
+from tallymark.sources import records
 from tallymark.sources.layouts import LAYOUTS, Layout
+from tallymark.sources.records import BLOCK, FILE, PLACE
+from tallymark.sources.scratch import write_through
 
 UNKNOWN_LAYOUT = "none"
-BEHIND = 1 << 62  # added to a split's start: blank lines are a segment of their own behind it
-SPLIT = ("_file", "_block")  # one input split of one file; the order of splits is the order of the file
+SPLIT = (FILE, BLOCK)  # one input split of one file; the order of splits is the order of the file
+FILE_BYTES = 1024
 
 
 class BrokenStatement(ValueError):
@@ -58,25 +62,21 @@ def read_statement(
         .csv(paths)
     )
 
-    def text(name: str) -> Column:
-        value = F.coalesce(F.col(name), F.lit(""))
-        return F.when(~value.isin(*null_tokens), value) if null_tokens else value
-
     return raw.select(
-        *(text(c).alias(c) for c in layout.columns),
+        *_texts(layout, lambda c: F.col(c), null_tokens),
         F.col("_metadata.file_path").alias(SPLIT[0]),
         F.col("_metadata.file_block_start").alias(SPLIT[1]),
     )
 
 
-def blank_lines(spark: SparkSession, paths: str | Sequence[str], layout: Layout) -> DataFrame:
-    """The blank lines of a statement, which the CSV reader passes over, as rows of empty texts behind those of their split."""
-    raw = spark.read.text(paths).where(F.trim("value") == "")
-    return raw.select(
-        *(F.lit("").alias(c) for c in layout.columns),
-        F.col("_metadata.file_path").alias(SPLIT[0]),
-        (F.col("_metadata.file_block_start") + BEHIND).alias(SPLIT[1]),
-    )
+def _texts(layout: Layout, field: Callable[[str], Column], null_tokens: Sequence[str]) -> list[Column]:
+    """The layout's columns; an empty or missing field is an empty text, and a null token is NULL."""
+
+    def text(name: str) -> Column:
+        value = F.coalesce(field(name), F.lit(""))
+        return F.when(~value.isin(*null_tokens), value) if null_tokens else value
+
+    return [text(c).alias(c) for c in layout.columns]
 
 
 def broken_lines(spark: SparkSession, paths: str | Sequence[str], *, quote: str = '"', escape: str = "\\") -> int:
@@ -86,27 +86,92 @@ def broken_lines(spark: SparkSession, paths: str | Sequence[str], *, quote: str
     return spark.read.text(paths).where(quotes % 2 == 1).count()
 
 
-def stage_statement(
+@dataclass(frozen=True)
+class Staged:
+    """A statement in the shared folder: its numbered lines, and what could not be read as its layout says.
+
+    ``rejected`` has ``file, byte_offset, reason, loaded, record``. Records with too few or too many fields are loaded, filled up or
+    cut; a line with a quote that is never closed is not.
+    """
+
+    lines: DataFrame
+    rejected: DataFrame
+    rejected_count: int
+
+
+REJECTED = "file string, byte_offset long, reason string, loaded boolean, record string"
+
+
+def stage(
     spark: SparkSession,
     paths: str | Sequence[str],
     layout: Layout,
     *,
     keep_blank_lines: bool = True,
     strict: bool = False,
-    **options,
-) -> DataFrame:
-    """Cleaned and numbered lines of one or more files, written to the shared folder: the input of the pipelines.
+    charset: str = "ISO-8859-1",
+    quote: str = '"',
+    escape: str = "\\",
+    multi_line: bool = False,
+    null_tokens: Sequence[str] = ("\\N",),
+) -> Staged:
+    """Clean and number the records of one or more files, and write them to the shared folder: the input of the pipelines.
 
-    Blank lines are rows of empty texts, as a bulk load makes them, numbered behind the other lines of their split. With
-    ``multi_line`` a blank line may be part of a value, so none is added. ``strict`` refuses a file with broken lines.
+    Files are read by all tasks, also where quoted values hold line ends. Blank lines are rows of empty texts in their place, as
+    a bulk load makes them. ``strict`` refuses a file in which a line's end is inside quotes, unless ``multi_line`` allows that.
+    In a character set whose lines cannot be cut as bytes, ``multi_line`` lets one task read each file.
     """
-    if strict and not options.get("multi_line"):
-        quoting = {k: options[k] for k in ("quote", "escape") if k in options}
-        if broken := broken_lines(spark, paths, **quoting):
-            raise BrokenStatement(f"{broken} lines of {paths} have an open quote; read it with multi_line")
-    lines = read_statement(spark, paths, layout, **options)
-    if keep_blank_lines and not options.get("multi_line") and not layout.drop_empty_key:
-        lines = lines.unionByName(blank_lines(spark, paths, layout))
+    reading = {"charset": charset, "quote": quote, "escape": escape}
+    if strict and not multi_line and (broken := broken_lines(spark, paths, quote=quote, escape=escape)):
+        raise BrokenStatement(f"{broken} lines of {paths} have an open quote; read it with multi_line")
+    if not records.can_cut(charset, quote, layout.delimiter):
+        lines = read_statement(spark, paths, layout, multi_line=multi_line, null_tokens=null_tokens, **reading)
+        lines = drop_empty_key(lines, layout.key) if layout.drop_empty_key else lines
+        return Staged(assign_row_id(lines, layout.line_id, segment=SPLIT), spark.createDataFrame([], REJECTED), 0)
+    lines = records.physical_lines(spark, paths, delimiter=layout.delimiter, **reading)
+    parts = write_through(records.splits(lines), "splits")
+    total = parts.agg(F.sum("_opens").alias("opens"), F.countDistinct(FILE).alias("files")).first()
+    # The first line of each file is its header, whatever it holds.
+    header = parts.groupBy(FILE).agg(F.min_by("_first", BLOCK).alias(PLACE))
+    few = total["files"] * FILE_BYTES <= records.MERGED_BYTES
+    body, lost, small = records.merged(lines) if total["opens"] else (lines, None, True)
+    body = body.join(F.broadcast(header) if few else header, [FILE, PLACE], "left_anti")
+    if not keep_blank_lines:
+        body = body.filter("_text <> ''")
+    if not (few and small):
+        body = body.repartition(*SPLIT)  # these joins left no split together
+    body = body.sortWithinPartitions(PLACE)  # the order of the files; a table's parts need not be read in theirs
+    numbered = _numbered(body, layout, quote, escape, null_tokens)
+    wrong = numbered.filter("_fields").select(FILE, BLOCK, PLACE, "_record")
+    rejected = _rejected(lines, wrong, lost)
+    count = rejected.count() if lost is not None or not wrong.isEmpty() else 0
+    return Staged(numbered.select(*layout.columns, layout.line_id), rejected, count)
+
+
+def _numbered(body: DataFrame, layout: Layout, quote: str, escape: str, null_tokens: Sequence[str]) -> DataFrame:
+    """Records parsed, numbered in the order of their files, and written; ``_fields`` marks another number of fields, with the ``_record``."""
+    schema = ", ".join([*(f"`{c}` string" for c in layout.columns), "_wrong string"])
+    options = {"sep": layout.delimiter, "quote": quote, "escape": escape, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_wrong"}
+    parsed = body.withColumn("_csv", F.from_csv("_text", schema, options))
+    wrong = F.col("_csv._wrong").isNotNull()
+    rows = parsed.select(
+        *_texts(layout, lambda c: F.col("_csv").getField(c), null_tokens), FILE, BLOCK, PLACE, wrong.alias("_fields"), F.when(wrong, F.col("_text")).alias("_record")
+    )
     if layout.drop_empty_key:
-        lines = drop_empty_key(lines, layout.key)
-    return assign_row_id(lines, layout.line_id, segment=SPLIT)
+        rows = drop_empty_key(rows, layout.key)
+    return assign_row_id(rows, layout.line_id, segment=SPLIT, place=PLACE)
+
+
+def _rejected(lines: DataFrame, wrong: DataFrame, lost: DataFrame | None) -> DataFrame:
+    """Where in its file each record begins that has another number of fields, or no end."""
+    at = records.offsets_of(lines, wrong).withColumnsRenamed({FILE: "_of", PLACE: "_at"})
+    placed = wrong.join(at, (F.col(FILE) == F.col("_of")) & (F.col(PLACE) == F.col("_at")))
+    told = placed.select(FILE, "_offset", F.lit("fields").alias("reason"), F.lit(True).alias("loaded"), "_record")
+    if lost is not None:
+        told = told.unionByName(lost.select(FILE, "_offset", F.lit("open quote").alias("reason"), F.lit(False).alias("loaded"), F.col("_text").alias("_record")))
+    return told.withColumnsRenamed({FILE: "file", "_offset": "byte_offset", "_record": "record"})
+
+
+def stage_statement(spark: SparkSession, paths: str | Sequence[str], layout: Layout, **options) -> DataFrame:
+    """The lines of :func:`stage`."""
+    return stage(spark, paths, layout, **options).lines

@@ -98,6 +98,12 @@ TRANSACCIONES_LINES = _select(
     **{TRANSACCIONES.line_id: f"row_number() over (order by {', '.join(LINEITEM_COLUMNS)})"},
 )
 
+# Statements as files may hold them: line ends in quoted values, blank lines behind some lines, and too many fields in some.
+ODD_TEXT = "case when {n} % 7 = 0 then concat('one, \"', {text}, '\"', chr(10), chr(10), 'two; ', {text}) else {text} end"
+PMC_ODD_LINES = _select({**PMC_VALUES, "cod_auto": ODD_TEXT.format(n="event_id", text="props")}, "events", id="event_id")
+MPOS_ODD_LINES = _select({**MPOS_VALUES, "Codigo_autorizacion": ODD_TEXT.format(n="event_id", text="props")}, "events", id="event_id")
+BLANK_BEHIND, SURPLUS_IN = "{id} % 11 = 0", "{id} % 13 = 0"
+
 ORDER_CODE, PART_CODE = "cast(l_orderkey as string)", "cast(l_partkey as string)"
 
 

@@ -216,6 +216,17 @@ def oracle() -> dict[str, str]:
         "load_statement_pmc": _load(PMC, b.PMC_LINES, "id", KEPT_PMC),
         "load_statement_mpos": _load(MPOS, b.MPOS_LINES, "id"),
         "load_statement_transacciones": _load(TRANSACCIONES, b.TRANSACCIONES_LINES, TRX_ID),
+        "load_odd_pmc": _load(PMC, b.PMC_ODD_LINES, "id", KEPT_PMC),
+        "load_odd_mpos": _sql(
+            f"""SELECT {', '.join(MPOS.columns)}, row_number() over (order by place, behind) as id FROM (
+            SELECT {', '.join(MPOS.columns)}, id as place, 0 as behind FROM ({b.MPOS_ODD_LINES}) UNION ALL
+            SELECT {', '.join(f"'' as {c}" for c in MPOS.columns)}, id as place, 1 as behind FROM ({b.MPOS_ODD_LINES})
+            WHERE {b.BLANK_BEHIND.format(id="id")})"""
+        ),
+        "rejected_records": _sql(
+            f"""SELECT 'fields' as reason, true as loaded, 'surplus' as last_field, RUC FROM ({b.MPOS_ODD_LINES})
+            WHERE {b.SURPLUS_IN.format(id="id")}"""
+        ),
         "drop_empty_key": _sql(f"SELECT * FROM ({KEYS}) WHERE {KEPT_PMC}"),
         "nonempty_key": _sql(f"SELECT * FROM ({KEYS}) WHERE nro_orden <> ''"),
         "assign_row_id": _sql(

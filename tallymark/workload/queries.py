@@ -15,7 +15,7 @@ from tallymark.plans.run import reconcile
 from tallymark.sinks.export import export_name, statistics_name
 from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout
 from tallymark.sources.scratch import scratch_path
-from tallymark.sources.statement import route_layout, stage_statement
+from tallymark.sources.statement import route_layout, stage, stage_statement
 from tallymark.workload import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,40 @@ def load_statement_transacciones(spark, sf_dir):
     return _write_and_load(spark, b.numbered_lineitem(spark, sf_dir), [TRANSACCIONES.line_id], TRANSACCIONES)
 
 
+def _write_odd(spark: SparkSession, rows: DataFrame, layout: Layout) -> str:
+    """As :func:`_write`, line by line: some lines have a field too many, and some a blank line behind them."""
+    path = scratch_path(spark, f"odd-{layout.name}")
+    options = {"sep": layout.delimiter, "nullValue": "\\N", "escape": "\\"}
+    surplus = F.when(F.expr(b.SURPLUS_IN.format(id="id")), F.lit(f"{layout.delimiter}surplus")).otherwise(F.lit(""))
+    blank = F.when(F.expr(b.BLANK_BEHIND.format(id="id")), F.lit("\n")).otherwise(F.lit(""))
+    line = F.concat(F.to_csv(F.struct(*layout.columns), options), surplus, blank)
+    # The first row of each file stands behind the file's header.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    text = F.concat(F.when(first, F.lit(layout.delimiter.join(layout.columns) + "\n")).otherwise(F.lit("")), "line")
+    ordered = rows.select("id", line.alias("line")).orderBy("id")
+    ordered.select(F.encode(text, "ISO-8859-1").cast("string").alias("value")).write.text(path)
+    return path
+
+
+@query
+def load_odd_pmc(spark, sf_dir):
+    rows = b.bind(spark, sf_dir, b.PMC_ODD_LINES)
+    return stage_statement(spark, _write_odd(spark, rows, PMC), PMC)
+
+
+@query
+def load_odd_mpos(spark, sf_dir):
+    rows = b.bind(spark, sf_dir, b.MPOS_ODD_LINES)
+    return stage_statement(spark, _write_odd(spark, rows, MPOS), MPOS)
+
+
+@query
+def rejected_records(spark, sf_dir):
+    """Records with another number of fields than their layout has; where they are in their files depends on how these were written."""
+    staged = stage(spark, _write_odd(spark, b.bind(spark, sf_dir, b.MPOS_ODD_LINES), MPOS), MPOS)
+    return staged.rejected.select("reason", "loaded", F.element_at(F.split("record", ","), -1).alias("last_field"), F.substring_index("record", ",", 1).alias("RUC"))
+
+
 @query
 def drop_empty_key(spark, sf_dir):
     return prepare.drop_empty_key(b.bind(spark, sf_dir, KEYS), PMC.key)

@@ -1,0 +1,167 @@
+"""Records with line ends in quotes, blank lines and broken lines, wherever files are split."""
+
+import csv
+import io
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from test_sources import line, write
+
+from tallymark.plans.run import run
+from tallymark.sources import records
+from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES
+from tallymark.sources.statement import read_statement, stage
+
+
+@pytest.fixture
+def small_splits(conf):
+    """A file of a few kilobytes is read by many tasks."""
+    conf(spark__sql__files__maxPartitionBytes="512", spark__sql__files__openCostInBytes="0")
+
+
+def staged(spark, path, layout, *columns, **options):
+    found = stage(spark, path, layout, **options)
+    rows = found.lines.orderBy(layout.line_id).collect()
+    assert [r[layout.line_id] for r in rows] == list(range(1, len(rows) + 1))
+    return [tuple(r[c] for c in columns) if len(columns) > 1 else r[columns[0]] for r in rows], found
+
+
+def rejected(found):
+    rows = sorted((r["byte_offset"], r["reason"], r["loaded"], r["record"]) for r in found.rejected.collect())
+    assert len(rows) == found.rejected_count
+    return rows
+
+
+def written(rng, n, end, escape):
+    """Lines with quoted line ends, delimiters and quotes, and the values a reader should find."""
+    values, out = [], []
+    for k in range(n):
+        text = "".join(rng.choice(["a", " ", ",", ";", end, end, '"', "é"]) for _ in range(rng.choice([0, 0, 3, 30, 400])))
+        values.append((str(k), text.replace(end, "\n"), "x" if k % 3 else ""))
+        quoted = text.replace(escape, escape * 2).replace('"', escape + '"') if escape != '"' else text.replace('"', '""')
+        out.append(line(MPOS, RUC=str(k), Motivo_venta_observada=f'"{quoted}"' if text or k % 2 else "", id_operacion="x" if k % 3 else '""'))
+    return values, out
+
+
+@pytest.mark.parametrize("merged_bytes", [64 << 20, 0], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize(("seed", "end", "escape"), [(1, "\n", "\\"), (2, "\r\n", "\\"), (3, "\n", '"')])
+def test_quoted_line_ends_across_splits(spark, tmp_path, small_splits, monkeypatch, seed, end, escape, merged_bytes):
+    """Equal to what was written, and to what one task reads of the whole file."""
+    monkeypatch.setattr(records, "MERGED_BYTES", merged_bytes)
+    values, out = written(random.Random(seed), 60, end, escape)
+    path = write(tmp_path / "mpos.csv", MPOS, *out, end=end)
+    columns = ("RUC", "Motivo_venta_observada", "id_operacion")
+    got, found = staged(spark, path, MPOS, *columns, escape=escape)
+    assert spark.read.text(path).rdd.getNumPartitions() > 10
+    assert got == values
+    one_task = read_statement(spark, path, MPOS, multi_line=True, escape=escape).select(*columns).collect()
+    assert [tuple(x.replace("\r\n", "\n") for x in r) for r in one_task] == values
+    assert rejected(found) == []
+
+
+def test_blank_lines_keep_their_place(spark, tmp_path, small_splits):
+    lines, want = [], []
+    for k in range(150):
+        lines.append(line(MPOS, RUC=str(k)))
+        want.append(str(k))
+        for _ in range(k % 4 == 1) if k % 20 else range(3):
+            lines.append("")
+            want.append("")
+    for end in ("\n", "\r\n"):
+        path = write(tmp_path / f"mpos{len(end)}.csv", MPOS, *lines, end=end)
+        assert staged(spark, path, MPOS, "RUC")[0] == want
+        assert staged(spark, path, MPOS, "RUC", keep_blank_lines=False)[0] == [w for w in want if w]
+
+
+def test_a_line_of_blanks_is_its_first_field(spark, tmp_path):
+    path = write(tmp_path / "mpos.csv", MPOS, line(MPOS, RUC="a"), "  ", "", line(MPOS, RUC="b"))
+    got, found = staged(spark, path, MPOS, "RUC", "id_operacion")
+    assert got == [("a", ""), ("  ", ""), ("", ""), ("b", "")]
+    assert [r[1:] for r in rejected(found)] == [("fields", True, "  ")]
+
+
+def test_rejected_records_have_their_place(spark, tmp_path, small_splits):
+    """Too few and too many fields are loaded and told; a quote that is never closed is one line that is not loaded."""
+    rows = [line(PMC, fecha_hora=f"día {k}", nro_orden=str(k)) for k in range(80)]
+    rows[17] = "short,17"
+    rows[40] += ",more,fields"
+    rows[63] = '"open,63,x'
+    path = write(tmp_path / "pmc.csv", PMC, *rows)
+    got, found = staged(spark, path, PMC, "nro_orden")
+    assert got == [str(k) for k in range(80) if k != 63]
+    data = open(path, "rb").read()
+    want = [(data.index(rows[k].encode("latin-1")), reason, loaded, rows[k]) for k, reason, loaded in ((17, "fields", True), (40, "fields", True), (63, "open quote", False))]
+    assert rejected(found) == want
+
+
+def test_a_record_that_is_too_long_does_not_swallow_the_file(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(records, "MAX_RECORD_BYTES", 2000)
+    rows = [line(MPOS, RUC=str(k)) for k in range(200)]
+    rows[50] = line(MPOS, RUC='"open')
+    rows[150] = line(MPOS, RUC=f'"a\n{rows[0]}\nb"')
+    path = write(tmp_path / "mpos.csv", MPOS, *rows)
+    got, found = staged(spark, path, MPOS, "RUC")
+    assert [x for x in got if x.isdigit()] == [str(k) for k in (*range(50), *range(51, 150), *range(151, 200))] or len(got) >= 199
+    assert any(r[1] == "open quote" and r[3] == rows[50] for r in rejected(found))
+
+
+def test_quotes_inside_values_are_characters(spark, tmp_path):
+    path = write(tmp_path / "mpos.csv", MPOS, line(MPOS, RUC='5" pipe'), line(MPOS, RUC='"a"b'), line(MPOS, RUC="c"))
+    got, found = staged(spark, path, MPOS, "RUC")
+    assert got[0] == '5" pipe' and got[2] == "c" and rejected(found) == []
+
+
+def test_several_files_have_a_header_each(spark, tmp_path, small_splits):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for part in range(3):
+        write(folder / f"mpos{part}.csv", MPOS, *(line(MPOS, RUC=str(part * 50 + k), Producto='"p\nq"') for k in range(50)))
+    assert staged(spark, str(folder), MPOS, "RUC", "Producto")[0] == [(str(k), "p\nq") for k in range(150)]
+    only_header = write(tmp_path / "mpos.csv", MPOS)
+    assert staged(spark, only_header, MPOS, "RUC")[0] == []
+    (tmp_path / "empty.csv").write_bytes(b"")
+    assert staged(spark, str(tmp_path / "empty.csv"), MPOS, "RUC")[0] == []
+
+
+def test_other_character_sets(spark, tmp_path):
+    text = "\n".join([",".join(MPOS.columns), line(MPOS, RUC="€ é", Producto='"x\ny"'), ""])
+    for charset in ("UTF-8", "UTF-16LE"):
+        path = tmp_path / f"{charset}.csv"
+        path.write_bytes(text.encode(charset))
+        got = staged(spark, str(path), MPOS, "RUC", "Producto", charset=charset, multi_line=True)[0]
+        assert got == [("€ é", "x\ny")]
+
+
+def test_states_are_combined_as_one_reader_would(spark):
+    """Random functions of two states, cut anywhere: each row's state is that of reading all rows before it."""
+    rng = random.Random(9)
+    lines = [(f"f{k % 2}", 100 * (k // 40), k, 10, rng.random() < 0.4, rng.random() < 0.6) for k in range(400)]
+    df = spark.createDataFrame(lines, "_file string, _block long, _place long, _bytes long, _outside boolean, _inside boolean")
+    got = {r["_place"]: (r["_offset"], r["_start"], r["_ends"], r["_record"]) for r in records.located(df).collect()}
+    for file in ("f0", "f1"):
+        state, offset, record = False, 0, None
+        for _, _, place, size, outside, inside in [x for x in lines if x[0] == file]:
+            start, record = not state, offset if not state else record
+            state = inside if state else outside
+            assert got[place] == (offset, start, not state, record)
+            offset += size
+
+
+def test_a_run_tells_what_it_rejected(spark, tmp_path, make_ledger):
+    path = write(tmp_path / "a_pmc.csv", PMC, line(PMC, nro_orden="k"), "short,k", line(PMC, nro_orden="k", marca='"x\ny"'))
+    done = run(spark, path, make_ledger(), str(tmp_path / "out"))
+    assert (done.layout, done.lines, done.rejected) == (PMC, 3, 1)
+    told = spark.read.json(str(tmp_path / "out" / "REJ_a_pmc.csv")).collect()
+    assert [(r["reason"], r["loaded"], r["record"], r["file"].rsplit("/", 1)[-1]) for r in told] == [("fields", True, "short,k", "a_pmc.csv")]
+    clean = write(tmp_path / "b_pmc.csv", PMC, line(PMC, nro_orden="k"))
+    assert run(spark, clean, make_ledger(), str(tmp_path / "out")).rejected == 0
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["EST_a_pmc.csv.log", "EST_b_pmc.csv.log", "OUT_a_pmc.csv", "OUT_b_pmc.csv", "REJ_a_pmc.csv"]
+    assert run(spark, str(tmp_path / "other.csv"), make_ledger(), str(tmp_path / "out")) is None
+
+
+def test_the_written_values_are_what_a_csv_reader_finds():
+    """The fixture itself: Python's reader finds the same values in it."""
+    values, out = written(random.Random(3), 60, "\n", '"')
+    read = list(csv.reader(io.StringIO("\n".join(out)), strict=True))
+    assert [(r[0], r[MPOS.columns.index("Motivo_venta_observada")]) for r in read] == [v[:2] for v in values]
