@@ -69,13 +69,15 @@ def day_ranges(rows: DataFrame, most: int = MAX_DAY_RANGES) -> tuple[tuple[str,
     days are as few as the calendar has, so one task can look at them in order.
     """
     days = rows.select("_day").where("_day is not null").distinct()
-    before = F.lag("_day").over(Window.orderBy("_day"))
-    gaps = days.select("_day", before.alias("_before")).withColumn("_gap", F.coalesce(F.datediff("_day", "_before"), F.lit(1 << 30)))
-    last = days.agg(F.max("_day").cast("string")).first()[0]
+    ordered = Window.orderBy("_day")
+    # The row behind the last day, without a day of its own, tells where the last range ends.
+    places = days.select("_day", F.lag("_day").over(ordered).alias("_before"), F.lead("_day").over(ordered).alias("_next"))
+    gap = F.coalesce(F.datediff("_day", "_before"), F.lit(1 << 30)).alias("_gap")
+    ends = places.select("_day", "_before", gap).where("_gap > 1").orderBy(F.desc("_gap"), "_day").limit(most)
+    last = places.where("_next is null").select(F.lit(None).cast("date").alias("_day"), F.col("_day").alias("_before"), F.lit(0).alias("_gap"))
     text = [F.col(c).cast("string").alias(c) for c in ("_day", "_before")]
-    cuts = gaps.where("_gap > 1").orderBy(F.desc("_gap"), "_day").limit(most).select(*text).collect()
-    cuts = sorted(cuts, key=lambda r: r["_day"])
-    return tuple((cut["_day"], end["_before"]) for cut, end in zip(cuts, [*cuts[1:], {"_before": last}]))
+    cuts = sorted(ends.unionByName(last).select(*text).collect(), key=lambda r: (r["_day"] is None, r["_day"]))
+    return tuple((cut["_day"], end["_before"]) for cut, end in zip(cuts, cuts[1:]))
 
 
 def within_days(made: Column, days: tuple[tuple[str, str], ...]) -> Column:

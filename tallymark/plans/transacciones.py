@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import null_default
 from tallymark.operators import match
 from tallymark.operators.lookup import eligible_authorizations, with_signatures
 from tallymark.operators.reduce import Reduced
-from tallymark.plans.common import file_columns, ledger_texts, metric_rows, padding
+from tallymark.plans.common import file_columns, ledger_texts, metric_rows
 from tallymark.sources.layouts import MERCHANT_ID_V4, TRANSACCIONES
 from tallymark.sources.ledger import Ledger
 from tallymark.sources.scratch import write_through
 
 LINE_ID = TRANSACCIONES.line_id
-LINE_ID_BYTES = 32
+LINE_BYTES, SHOWN_BYTES = 64, 512
 
 
 def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduced:
@@ -30,39 +30,39 @@ def _matched(found: Reduced) -> DataFrame:
     return found.profile.keyed.join(days, same, "left_semi")
 
 
-def first_lines(matched: DataFrame) -> DataFrame:
-    """Of matched lines with the same code and acquirer id the first. A hot pair is one row per map task before it is shuffled."""
-    return matched.groupBy("_key", "_id").agg(F.min("_line").alias("_line"))
+def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = False) -> DataFrame:
+    """Lines that match, of each code and acquirer id the first, with what the ledger shows for them; and lines that do not match, with NULLs.
 
-
-def kept_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Lines that match, the first of each code and acquirer id, with what the ledger shows for them; and lines that do not match.
-
-    Which lines stay is settled on narrow rows. Wide lines are then filtered by number and fetched last: only those that
-    match and stay go to the join with the ledger. Numbers are broadcast if they are few enough; else wide lines are shuffled
-    by them, once for both. The ledger side has one row per code and day, so it cannot multiply lines.
+    Which lines stay is settled on narrow rows, and wide lines are fetched last. If the narrow rows of a statement and what is
+    shown fit a broadcast, lines are read once and not shuffled at all. Else they are filtered by number, shuffled by it once
+    if the numbers are too many to broadcast, and only those that match and stay go on to the join with the ledger. The ledger
+    side has one row per code and day, so it cannot multiply lines.
     """
-    matched = write_through(_matched(found).select("_line", "_key", "_id"), "matched-lines")
-    few = matched.count() * LINE_ID_BYTES <= match.MAX_BROADCAST_BYTES
+    matched = _matched(found).select("_line", "_key", "_day", "_id")
+    shown = found.shown.withColumnRenamed("id", "_authorization_id")
+    if found.profile.lines * LINE_BYTES <= match.MAX_BROADCAST_BYTES and found.shown.count() * SHOWN_BYTES <= match.MAX_BROADCAST_BYTES:
+        first = F.min("_line").over(Window.partitionBy("_key", "_id"))
+        settled = matched.select("_line", F.col("_key").alias("_code"), F.col("_day").alias("_on"), (F.lit(keep_duplicates) | (F.col("_line") == first)).alias("_stays"))
+        told = lines.join(F.broadcast(settled), F.col(LINE_ID) == F.col("_line"), "left").filter("_stays is null or _stays")
+        return told.join(F.broadcast(shown), (F.col("_code") == F.col("codigo_unico_adq")) & (F.col("_on") == F.col("auth_day")), "left")
+    matched = write_through(matched, "matched-lines")
+    few = matched.count() * LINE_BYTES <= match.MAX_BROADCAST_BYTES
 
     def numbered(rows: DataFrame, how: str) -> DataFrame:
         numbers = rows.select("_line")
         return lines.join(F.broadcast(numbers) if few else numbers, F.col(LINE_ID) == F.col("_line"), how)
 
-    winners = numbered(matched if keep_duplicates else first_lines(matched), "left_semi")
-    a = found.shown.withColumnRenamed("id", "_authorization_id")
-    return winners.join(a, match.same_code_and_day(TRANSACCIONES)), numbered(matched, "left_anti")
-
-
-def _export(lines: DataFrame, ledger: Ledger, found: Reduced | None, keep_duplicates: bool, merchant: bool) -> DataFrame:
-    # Matched lines are settled by the codes and days of what is shown, so that is written even for one output.
-    winners, others = kept_lines(lines, found or reduced(lines, ledger, shared=True), keep_duplicates=keep_duplicates)
+    # A hot code and id is one row per map task before it is shuffled.
+    stay = matched if keep_duplicates else matched.groupBy("_key", "_id").agg(F.min("_line").alias("_line"))
+    winners = numbered(stay, "left_semi").join(shown, match.same_code_and_day(TRANSACCIONES))
+    return winners.unionByName(numbered(matched, "left_anti"), allowMissingColumns=True)
 
-    def columns(merchant_id: Column, texts: list[Column]) -> list[Column]:
-        return [*file_columns(TRANSACCIONES), *([merchant_id.alias(MERCHANT_ID_V4)] if merchant else []), F.col(LINE_ID), *texts]
 
-    shown = winners.select(*columns(null_default(F.col("comercio_id")), ledger_texts(TRANSACCIONES)))
-    return shown.unionByName(others.select(*columns(F.lit(""), padding(TRANSACCIONES))))
+def _export(lines: DataFrame, ledger: Ledger, found: Reduced | None, keep_duplicates: bool, *more: Column) -> DataFrame:
+    # Lines are settled by the codes and days of what is shown, so that is written even for one output.
+    rows = joined_lines(lines, found or reduced(lines, ledger, shared=True), keep_duplicates=keep_duplicates)
+    # Here a line without a match has no tier either: its ledger columns are all NULL.
+    return rows.select(*file_columns(TRANSACCIONES), *more, LINE_ID, *ledger_texts(TRANSACCIONES))
 
 
 def export(lines: DataFrame, ledger: Ledger, found: Reduced | None = None, *, keep_duplicates: bool = False) -> DataFrame:
@@ -70,12 +70,12 @@ def export(lines: DataFrame, ledger: Ledger, found: Reduced | None = None, *, ke
 
     With ``keep_duplicates`` no matched line is dropped.
     """
-    return _export(lines, ledger, found, keep_duplicates, merchant=False)
+    return _export(lines, ledger, found, keep_duplicates)
 
 
 def export_merchant_id(lines: DataFrame, ledger: Ledger, found: Reduced | None = None, *, keep_duplicates: bool = False) -> DataFrame:
     """As :func:`export`, with the merchant's id in a column of its own beside the line number."""
-    return _export(lines, ledger, found, keep_duplicates, merchant=True)
+    return _export(lines, ledger, found, keep_duplicates, null_default(F.col("comercio_id")).alias(MERCHANT_ID_V4))
 
 
 def statistics(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:

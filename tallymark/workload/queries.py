@@ -255,8 +255,8 @@ def dedup_acquirer_code(spark, sf_dir):
 def dedup_key_date(spark, sf_dir):
     ledger = b.ledger(spark, sf_dir, TRANSACCIONES)
     lines = b.numbered_lineitem(spark, sf_dir)
-    rows, _ = transacciones.kept_lines(lines, transacciones.reduced(lines, ledger, shared=True))
-    return rows.select(
+    rows = transacciones.joined_lines(lines, transacciones.reduced(lines, ledger, shared=True))
+    return rows.filter("_authorization_id is not null").select(
         F.col(TRANSACCIONES.line_id).alias("line_id"),
         TRANSACCIONES.key,
         "id",

@@ -178,14 +178,19 @@ def test_lines_are_read_once_for_the_statistics(spark, tmp_path, make_ledger):
 
 
 def test_wide_lines_are_fetched_last(make_ledger, make_lines, conf, monkeypatch):
-    """Lines that do not match are never shuffled, or once where their numbers are too many to broadcast."""
+    """Lines are not shuffled; where the narrow rows are too many to broadcast, matching ones are for the ledger's columns, and
+    where their numbers are too, all are once."""
     conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
     ledger = make_ledger(autorizacion=[authorization(i, f"k{i}") for i in range(20)])
     lines = make_lines(TRANSACCIONES, *({"id_procesador": f"k{i}", "id": "x", "trx_date": "2024-05-01"} for i in range(60)))
     wide = r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*ruc#.*)\]\nArguments: (.*?)\]?, ENSURE"
     found = transacciones.reduced(lines, ledger, shared=True)
+    assert re.findall(wide, formatted(transacciones.export(lines, ledger, found))) == []
+    monkeypatch.setattr(match, "MAX_BROADCAST_BYTES", 3000)
+    found = transacciones.reduced(lines, ledger, shared=True)
+    assert found.small
     exchanges = re.findall(wide, formatted(transacciones.export(lines, ledger, found)))
-    assert len(exchanges) == 1 and "id_procesador" in exchanges[0][1]  # matching lines alone, for the ledger's columns
+    assert len(exchanges) == 1 and "id_procesador" in exchanges[0][1]
     monkeypatch.setattr(match, "MAX_BROADCAST_BYTES", 600)
     found = transacciones.reduced(lines, ledger, shared=True)
     assert not found.small
