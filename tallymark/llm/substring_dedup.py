@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from tallymark.sources.scratch import write_through
 SENTENCES = 2  # a span has at least so many units
 WORDS = 20  # and so many words
 LONGEST = 16  # a sentence of more words is cut further
+SPANS_IN_ROW = 100_000
 WINDOW = 8  # of so many words in a row of a long sentence, the one with the least hash begins a unit
 MARKS = "\u3002\uff01\uff1f\uff61\u0964\u0965\u061f\u06d4\u1362"  # full stops that need no white space behind them
 BOUNDARY = re.compile(r"[.!?]+\s+|\s*\n\s*")
@@ -132,46 +134,54 @@ def spans(text: str | None, least_sentences: int = SENTENCES, least_words: int =
     return np.stack([start, end, *checks], 1)
 
 
-def all_spans(docs: DataFrame, located: bool) -> DataFrame:
-    """Spans of all rows: ``hash`` alone, or ``_id, _hash, start, end, hash, check``. A hash is given once per row if alone."""
+SPANS = "row long, _id long, _hash long, start array<int>, units array<int>, hash array<long>, check array<int>"
 
-    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [spans(text)[:, 2] for text in batch["text"]]
-            yield pd.DataFrame({"hash": np.concatenate(found) if found else np.zeros(0, np.int64)})
 
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def all_spans(docs: DataFrame) -> DataFrame:
+    """Spans of all rows, as arrays: columns as in ``SPANS``. A text with more than ``SPANS_IN_ROW`` of them has several rows.
+
+    ``hash`` and ``check`` together are 96 bits of a span's words.
+    """
+
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [spans(text) for text in batch["text"]]
+            found = [spans(text) for text in batch.column("text").to_pylist()]
+            lengths = np.array([len(f) for f in found], np.int64)
+            parts = np.maximum(1, -(-lengths // SPANS_IN_ROW))
+            of = np.repeat(np.arange(len(found)), parts)
+            first = (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * SPANS_IN_ROW
+            sizes = np.minimum(lengths[of] - first, SPANS_IN_ROW)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             rows = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
-            lengths = [len(f) for f in found]
-            yield pd.DataFrame(
-                {
-                    "_id": batch["_id"].repeat(lengths).to_numpy(), "_hash": batch["_hash"].repeat(lengths).to_numpy(),
-                    "start": rows[:, 0].astype(np.int32), "end": rows[:, 1].astype(np.int32), "hash": rows[:, 2], "check": rows[:, 3],
-                }
-            )
+            start, end, hashes, checks = rows.T
+            values = (start.astype(np.int32), (end - start).astype(np.int32), np.ascontiguousarray(hashes), (checks >> 32).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(column)) for column in values]
+            keys = [batch.column(name).take(pa.array(of)) for name in ("row", "_id", "_hash")]
+            yield pa.RecordBatch.from_arrays([*keys, *lists], ["row", "_id", "_hash", "start", "units", "hash", "check"])
 
-    if located:
-        return docs.select("_id", "_hash", "text").mapInPandas(places, "_id long, _hash long, start int, end int, hash long, check long")
-    return docs.select("text").mapInPandas(hashes, "hash long")
+    return docs.select(F.monotonically_increasing_id().alias("row"), "_id", "_hash", "text").mapInArrow(arrays, SPANS)
 
 
 def repeated_sentences(docs: DataFrame) -> DataFrame:
     """Sentence ranges to remove: ``_id, _hash, cuts`` (array of start, end) for rows with any.
 
-    Hashes are counted over all documents first, narrow and pre-aggregated; places are then looked up only for hashes
-    that occur more than once, shuffled at every size. The first place, by id and sentence, keeps its span; a very common span is one row per map
-    task where it is counted, and a hot key of an inner join, which is split, where its first place is told to the others.
+    Spans are computed and written once, as arrays; a place is a row's number, which is shorter than its hash. Hashes are counted over all documents first, narrow and pre-aggregated;
+    places are then looked up only for hashes that occur more than once, shuffled at every size. The first place, by id and sentence,
+    keeps its span; a very common span is one row per map task where it is counted, and a hot key of an inner join, which
+    is split, where its first place is told to the others.
     """
-    rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
-    several = write_through(all_spans(rows, False).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "span-hashes")
-    places = write_through(all_spans(rows, True).join(several, "hash"), "span-places")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    found = write_through(all_spans(rows), "spans")
+    several = write_through(found.select(F.explode("hash").alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "span-hashes")
+    each = found.select("row", "_id", F.explode(F.arrays_zip("start", "units", "hash", "check")).alias("s")).select("row", "_id", "s.*")
+    places = write_through(each.join(several, "hash"), "span-places")
     firsts = places.groupBy("hash", "check").agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "start")).alias("first"))
     firsts = write_through(firsts, "span-firsts")  # read back, it has an exchange of its own below the join, which can then be split
     told = places.join(firsts, ["hash", "check"])
     later = told.where(~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("start") == F.col("first.start"))))
-    return later.groupBy("_id", "_hash").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("cuts"))
+    cuts = later.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("units")).alias("end")))).alias("cuts"))
+    # Rows that repeat an id and a text have equal cuts.
+    return cuts.join(found.select("row", "_id", "_hash").distinct(), "row").groupBy("_id", "_hash").agg(F.max("cuts").alias("cuts"))
 
 
 def without_cuts(text: str | None, cuts) -> tuple[str | None, int, int]:
