@@ -112,16 +112,22 @@ def sentence_starts(text: str) -> list[int]:
 
 
 def spans(text: str | None, least_sentences: int = SENTENCES, least_words: int = WORDS) -> np.ndarray:
-    """Columns start, end (unit numbers), and two 64-bit hashes of the words of each span.
+    """Columns start, end (unit numbers), and two 64-bit hashes of the words of each span."""
+    return counted_spans(text, least_sentences, least_words)[1]
+
+
+def counted_spans(text: str | None, least_sentences: int = SENTENCES, least_words: int = WORDS) -> tuple[int, np.ndarray]:
+    """The number of units, and the spans.
 
     From every unit on, and up to every unit, runs the shortest span with enough units and words: whatever a
     repeated passage starts or ends with is then covered by a span inside the passage.
     """
-    hashes, begins, further, _, _ = _units(text or "")
+    hashes, begins, further, sentences, _ = _units(text or "")
+    units_in_text = len(sentences) + len(further)
     counted = np.append(np.sort(np.concatenate([begins, further])), len(hashes))  # words before each unit
     n = len(counted) - 1
     if n < least_sentences:
-        return np.zeros((0, 4), np.int64)
+        return units_in_text, np.zeros((0, 4), np.int64)
     first = np.arange(n)
     to = np.maximum(first + least_sentences, np.searchsorted(counted, counted[:-1] + least_words))
     last = np.arange(1, n + 1)
@@ -131,21 +137,23 @@ def spans(text: str | None, least_sentences: int = SENTENCES, least_words: int =
     # Mixed, so that the words of a unit are not the words of two.
     units = _mixed(run_hashes(hashes, counted[:-1], counted[1:], 0) + PRIMES[1])
     checks = [run_hashes(units, start, end, prime).view(np.int64) for prime in (0, 1)]
-    return np.stack([start, end, *checks], 1)
+    return units_in_text, np.stack([start, end, *checks], 1)
 
 
-SPANS = "row long, _id long, _hash long, start array<int>, units array<int>, hash array<long>, check array<int>"
+SPANS = "row long, _id long, _hash long, n_sentences int, start array<int>, units array<int>, hash array<long>, check array<int>"
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
-    """Spans of all rows, as arrays: columns as in ``SPANS``. A text with more than ``SPANS_IN_ROW`` of them has several rows.
+    """Spans of all rows, as arrays: columns as in ``SPANS``. A text with more than ``SPANS_IN_ROW`` of them has several rows, of
+    which the first tells the number of its units.
 
     ``hash`` and ``check`` together are 96 bits of a span's words.
     """
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [spans(text) for text in batch.column("text").to_pylist()]
+            both = [counted_spans(text) for text in batch.column("text").to_pylist()]
+            found = [f for _, f in both]
             lengths = np.array([len(f) for f in found], np.int64)
             parts = np.maximum(1, -(-lengths // SPANS_IN_ROW))
             of = np.repeat(np.arange(len(found)), parts)
@@ -157,13 +165,14 @@ def all_spans(docs: DataFrame) -> DataFrame:
             values = (start.astype(np.int32), (end - start).astype(np.int32), np.ascontiguousarray(hashes), (checks >> 32).astype(np.int32))
             lists = [pa.ListArray.from_arrays(offsets, pa.array(column)) for column in values]
             keys = [batch.column(name).take(pa.array(of)) for name in ("row", "_id", "_hash")]
-            yield pa.RecordBatch.from_arrays([*keys, *lists], ["row", "_id", "_hash", "start", "units", "hash", "check"])
+            units = pa.array(np.array([n for n, _ in both], np.int32)[of], mask=first > 0)
+            yield pa.RecordBatch.from_arrays([*keys, units, *lists], ["row", "_id", "_hash", "n_sentences", "start", "units", "hash", "check"])
 
     return docs.select(F.monotonically_increasing_id().alias("row"), "_id", "_hash", "text").mapInArrow(arrays, SPANS)
 
 
 def repeated_sentences(docs: DataFrame) -> DataFrame:
-    """Sentence ranges to remove: ``_id, _hash, cuts`` (array of start, end) for rows with any.
+    """For every text ``_id, _hash, n`` (the number of its units) and ``cuts``, the ranges of units to remove (start, end), if any.
 
     Spans are computed and written once, as arrays; a place is a row's number, which is shorter than its hash. Hashes are counted over all documents first, narrow and pre-aggregated;
     places are then looked up only for hashes that occur more than once, shuffled at every size. The first place, by id and sentence,
@@ -180,15 +189,16 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
     told = places.join(firsts, ["hash", "check"])
     later = told.where(~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("start") == F.col("first.start"))))
     cuts = later.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("units")).alias("end")))).alias("cuts"))
+    whole = found.where("n_sentences is not null").select("row", "_id", "_hash", "n_sentences")
     # Rows that repeat an id and a text have equal cuts.
-    return cuts.join(found.select("row", "_id", "_hash").distinct(), "row").groupBy("_id", "_hash").agg(F.max("cuts").alias("cuts"))
+    return whole.join(cuts, "row", "left").groupBy("_id", "_hash").agg(F.max("n_sentences").alias("n"), F.max("cuts").alias("cuts"))
 
 
-def without_cuts(text: str | None, cuts) -> tuple[str | None, int, int]:
-    """What is left of a text, how many units it had, and how many were removed."""
-    starts = sentence_starts(text or "")
+def without_cuts(text: str | None, n: int, cuts) -> tuple[str | None, int, int]:
+    """What is left of a text of ``n`` units, how many it had, and how many were removed. Units are looked up again only where some are removed."""
     if cuts is None or not len(cuts):
-        return text, len(starts), 0
+        return text, n, 0
+    starts = sentence_starts(text or "")
     gone = np.zeros(len(starts), bool)
     for cut in cuts:
         gone[cut["start"] : cut["end"]] = True
@@ -213,11 +223,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("of"))
     known = rows["doc_id"].eqNullSafe(cuts["_id"]) & (rows["of"] == cuts["_hash"])
     # Cuts grow with the documents, so texts are always shuffled to them, never the other way.
-    joined = rows.join(cuts, known, "left").select("doc_id", "text", "cuts")
+    joined = rows.join(cuts, known, "left").select("doc_id", "text", "n", "cuts")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            left = [without_cuts(text, found) for text, found in zip(batch["text"], batch["cuts"])]
+            left = [without_cuts(*row) for row in zip(batch["text"], batch["n"], batch["cuts"])]
             yield pd.DataFrame(left, columns=["text", "n_sentences", "n_removed"]).assign(doc_id=batch["doc_id"].to_numpy())
 
     return joined.mapInPandas(cut, "text string, n_sentences long, n_removed long, doc_id long").select("doc_id", "text", "n_sentences", "n_removed")
