@@ -62,11 +62,15 @@ def exact_dedup(
 
 
 def _resolved(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Which row of each group stays, told to all of its rows; a hot group is one row per map task before the shuffle."""
+    """Which row of each group stays, told to all of its rows; a hot group is one row per map task before the shuffle.
+
+    Groups are written before the join: read back, both sides have their exchange directly below the sort, so adaptive
+    execution can split a hot group's rows.
+    """
     first = F.max(F.struct("length", F.bitwise_not("doc_id").alias("order"), F.col("doc_id").alias("id")))
     groups = rows.groupBy(*key).agg(first.alias("first"), F.count("*").alias("group_size"))
-    named = groups.select(*key, F.col("first.id").alias("keep_id"), "group_size")
-    return rows.join(named, key, "left").select(
+    named = write_through(groups.select(*key, F.col("first.id").alias("keep_id"), "group_size"), "exact-groups")
+    return rows.join(named, key).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
