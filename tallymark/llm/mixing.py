@@ -87,6 +87,8 @@ def tilted_rates(groups: DataFrame, sources: DataFrame) -> DataFrame:
             moved.select(*sources.columns, "fixed", F.when(settled, F.col("tilt")).otherwise(step).alias("tilt"), "low", "high", settled.alias("done")),
             "mix-state",
         )
+    if not state.where("not done").isEmpty():
+        raise RuntimeError(f"rates did not settle within {MAX_STEPS} steps")
     return state
 
 
@@ -181,14 +183,35 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix`` takes it, with the columns of ``docs``.
 
-    Rows that repeat an id and a text are numbered after the join, and each takes one of their shares; texts are shuffled once.
+    Rows that repeat an id and a text share the copies that ``mix`` takes of them evenly: they are numbered by ``numbered``,
+    and the first of them take one more where the number does not divide. All others take theirs in one join.
     """
-    rows = docs.withColumns(row_key(options.get("id_col", "doc_id"), options.get("text_col", "text")))
+    key = row_key(options.get("id_col", "doc_id"), options.get("text_col", "text"))
+    rows = docs.select(F.struct("*").alias("_doc"), *(column.alias(name) for name, column in key.items()))
     share = mix(docs, **options).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("hash").alias("_hash"), "copies")
-    shares = share.groupBy("_id", "_hash").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_shares")).where("_shares[0] > 0")
-    same = Window.partitionBy("_id", "_hash").orderBy("_id")
-    kept = rows.join(shares, ["_id", "_hash"]).withColumn("_copies", F.get("_shares", F.row_number().over(same) - 1)).where("_copies > 0")
-    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    shares = share.groupBy("_id", "_hash").agg(F.sum("copies").alias("_taken"), F.count("*").alias("_rows")).where("_taken > 0")
+    shares = write_through(shares, "mix-shares")
+    single = rows.join(shares.where("_rows = 1"), ["_id", "_hash"]).withColumn("_copies", F.col("_taken"))
+    repeated = numbered(write_through(rows.join(shares.where("_rows > 1"), ["_id", "_hash"]).withColumn("_row", F.monotonically_increasing_id()), "mix-repeated"))
+    evenly = F.floor(F.col("_taken") / F.col("_rows")) + (F.col("_number") <= F.col("_taken") % F.col("_rows")).cast("long")
+    kept = single.select("_doc", "_copies").unionByName(repeated.select("_doc", evenly.alias("_copies"))).where("_copies > 0")
+    return kept.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows``, a written table with a unique ``_row``, with ``_number``, from 1 in each group of one ``_id`` and ``_hash``.
+
+    Groups are dealt into parts by a hash of the row, as many as they have ``GROUP_ROWS`` rows; parts are numbered by
+    themselves and shifted by the counts of those before. Only keys and row numbers go through windows, never texts.
+    """
+    part = F.pmod(F.xxhash64("_row"), F.ceil(F.col("_rows") / GROUP_ROWS)).cast("long")
+    dealt = rows.select("_id", "_hash", "_row", part.alias("_part"))
+    filled = dealt.groupBy("_id", "_hash", "_part").agg(F.count("*").alias("_filled"))
+    earlier = Window.partitionBy("_id", "_hash").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = filled.select("_id", "_hash", "_part", F.coalesce(F.sum("_filled").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_id", "_hash", "_part").orderBy("_row"))
+    numbers = dealt.withColumn("_place", place).join(offsets, ["_id", "_hash", "_part"])
+    return rows.join(numbers.select("_row", (F.col("_before") + F.col("_place")).alias("_number")), "_row")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
