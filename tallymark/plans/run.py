@@ -10,8 +10,10 @@ from pyspark.sql import SparkSession
 from tallymark.operators.prepare import collate_keys
 from tallymark.plans import mpos, pmc, transacciones
 from tallymark.sinks.export import export_name, rejected_name, statistics_name, write_export, write_rejected, write_statistics
+from tallymark.sinks.publish import outputs
 from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout, layout_for
 from tallymark.sources.ledger import Ledger
+from tallymark.sources.scratch import run_scratch
 from tallymark.sources.statement import stage
 
 PLANS = {PMC.name: pmc, MPOS.name: mpos, TRANSACCIONES.name: transacciones}
@@ -46,6 +48,8 @@ def run(
 
     The lines are written to the shared folder once, and so is the part of the ledger that they need; the export and the
     statistics both start from there. Records that are not as the layout says are listed beside the outputs, if there are any.
+    Outputs appear together, when all of them are written, the export last and with a manifest; a run that fails leaves those of
+    the run before as they are. Tables of the run in the shared folder are removed at its end.
     ``keep_duplicates`` is for the day-matched layout, ``collation`` compares codes by it. The name is a name, not a pattern.
     """
     name = file.rstrip("/").rsplit("/", 1)[-1]
@@ -54,17 +58,21 @@ def run(
         return None
     plan, out = PLANS[layout.name], out.rstrip("/")
     export = plan.export_merchant_id if merchant_id and hasattr(plan, "export_merchant_id") else plan.export
-    staged = stage(spark, escaped(file), layout, **read_options)
-    lines = staged.lines
-    if collation:
-        lines, ledger = collate_keys(lines, ledger, layout, collation)
     options = {"keep_duplicates": True} if keep_duplicates and layout is TRANSACCIONES else {}
-    found = plan.reduced(lines, ledger, shared=True)
-    write_export(export(lines, ledger, found, **options), f"{out}/{export_name(name)}")
-    write_statistics(plan.statistics(lines, ledger, found), f"{out}/{statistics_name(name)}")
-    if staged.rejected_count:
-        write_rejected(staged.rejected, f"{out}/{rejected_name(name)}")
-    return Run(layout, found.profile.lines, staged.rejected_count)
+    names = export_name(name), statistics_name(name), rejected_name(name)
+    with run_scratch(spark), outputs(spark, out) as written:
+        staged = stage(spark, escaped(file), layout, **read_options)
+        lines = staged.lines
+        if collation:
+            lines, ledger = collate_keys(lines, ledger, layout, collation)
+        found = plan.reduced(lines, ledger, shared=True)
+        write_export(export(lines, ledger, found, **options), written.path(names[0]))
+        write_statistics(plan.statistics(lines, ledger, found), written.path(names[1]))
+        if staged.rejected_count:
+            write_rejected(staged.rejected, written.path(names[2]))
+        done = Run(layout, found.profile.lines, staged.rejected_count)
+        written.publish(names[0], names, {"file": file, "layout": layout.name, "lines": done.lines, "rejected": done.rejected})
+    return done
 
 
 def reconcile(spark: SparkSession, file: str, ledger: Ledger, out: str, **options) -> Layout | None:

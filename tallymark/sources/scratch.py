@@ -5,10 +5,16 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymark.sources import files
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 @functools.cache
@@ -33,7 +39,20 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder.get() or scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the tables that this thread writes meanwhile. It is removed at the end, however that comes,
+    so nothing that is still to be computed may leave the block."""
+    folder = scratch_path(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        files.remove(spark, folder)
 
 
 def write_through(df: DataFrame, name: str) -> DataFrame:

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark.plans.run import reconcile
 from tallymark.sources.ledger import Ledger
-from tallymark.sources.statement import UNKNOWN_LAYOUT, route_layout
+from tallymark.sources.statement import UNKNOWN_LAYOUT, BrokenStatement, route_layout
+
+# Spark's names of errors that a file has by itself and will have again.
+FILE_ERRORS = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "MALFORMED_CSV_RECORD", "MALFORMED_RECORD_IN_PARSING")
+
+
+def unreadable(error: Exception) -> bool:
+    """The statement is to blame: it is refused, gone or not readable."""
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return isinstance(error, BrokenStatement) or (condition or "").startswith(FILE_ERRORS)
 
 
 def reconcile_arrivals(
@@ -25,7 +35,8 @@ def reconcile_arrivals(
 
     The stream carries names only, at most ``files_per_batch`` at a time; the content of a file is read by its run, on
     the whole cluster. Outputs are named after the file and overwritten, so a batch that is repeated changes nothing.
-    A file whose run fails is recorded in ``FAILED_<batch>`` beside the outputs, and the others go on.
+    A file that cannot be read is recorded in ``FAILED_<batch>`` beside the outputs, and the others go on. Any other error is no
+    fault of the file: the others go on too, then the query ends with the error, and the next call repeats the batch.
     """
     names = (
         spark.readStream.format("binaryFile")
@@ -37,14 +48,19 @@ def reconcile_arrivals(
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        failed = []
+        failed, again = [], []
         for row in batch.toLocalIterator():
             try:
                 reconcile(spark, row["path"], ledger, out, **run_options)
             except Exception as error:  # noqa: BLE001  one bad file must not keep all others waiting
-                failed.append((row["path"], type(error).__name__, str(error)[:1000]))
+                if unreadable(error):
+                    failed.append((row["path"], type(error).__name__, str(error)[:1000]))
+                else:
+                    again.append(error)
         if failed:
             schema = "path string, error string, message string"
             spark.createDataFrame(failed, schema).coalesce(1).write.mode("overwrite").json(f"{out.rstrip('/')}/FAILED_{batch_id}")
+        if again:
+            raise again[0]
 
     return names.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
