@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tallymark.plans.run import run
+from tallymark.plans.run import run_files
 from tallymark.session import build_session
 from tallymark.sources.ledger import Ledger
 
@@ -47,8 +47,7 @@ def main() -> None:
         "multi_line": args.multi_line,
         "strict": args.strict,
     }
-    for file in args.files:
-        done = run(spark, file, ledger, args.out, **options)
+    for file, done in run_files(spark, args.files, ledger, args.out, **options).items():
         print(f"{file}: {done.layout.name}, {done.lines} lines, {done.rejected} rejected" if done else f"{file}: no layout for this name, skipped")
 
 

@@ -12,10 +12,24 @@ from tallymark.sources.layouts import Layout
 from tallymark.sources.ledger import Ledger
 from tallymark.sources.scratch import write_through
 
+# Lines of several statements in one DataFrame: which statement a line is of, and how many lines stand before that one. Line
+# numbers run through all of them there.
+STATEMENT, BEFORE = "_statement", "_lines_before"
+
 # A segment needs 24 bytes, so the largest broadcast of segment offsets is 24 MB.
 MAX_BROADCAST_SEGMENTS = 1_000_000
 
 
+def statement_of(lines: DataFrame) -> list[str]:
+    """The column that tells statements apart, where there are several: what is counted or merged, is so for each."""
+    return [STATEMENT] if STATEMENT in lines.columns else []
+
+
+def own_number(lines: DataFrame, row_id: str) -> Column:
+    """A line's number in its own statement."""
+    return F.col(row_id) - F.col(BEFORE) if BEFORE in lines.columns else F.col(row_id)
+
+
 def drop_empty_key(lines: DataFrame, key: str) -> DataFrame:
     """Delete lines whose key is the empty text. A NULL key is not empty and stays."""
     return lines.filter(F.col(key).isNull() | (F.col(key) != ""))

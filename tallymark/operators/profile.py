@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import text_date
-from tallymark.operators.prepare import nonempty
+from tallymark.operators.prepare import nonempty, statement_of
 from tallymark.sources.layouts import Layout
 from tallymark.sources.scratch import write_through
 
@@ -22,7 +22,8 @@ class Profile:
     the lines themselves are read once.
 
     Layouts matched by code: ``_key`` and its number of ``_lines``. The day-matched layout: a row for each line, with its number
-    ``_line``, ``_key``, ``_day``, acquirer id ``_id``, and 1 in ``_lines``; there, keys hardly repeat.
+    ``_line``, ``_key``, ``_day``, acquirer id ``_id``, and 1 in ``_lines``; there, keys hardly repeat. Rows of several statements
+    together also say which one they are of.
     """
 
     rows: DataFrame
@@ -49,12 +50,12 @@ class Profile:
 
 def profile(lines: DataFrame, layout: Layout) -> Profile:
     """Read the key columns of a statement once. A hot code is one row for each map task before it is shuffled."""
-    key = F.col(layout.key).alias("_key")
+    key, of = F.col(layout.key).alias("_key"), statement_of(lines)
     if layout.day:
         narrow = [F.col(layout.line_id).alias("_line"), key, text_date(F.col(layout.day)).alias("_day"), F.col(layout.duplicate).alias("_id")]
-        rows = lines.select(*narrow, F.lit(1).cast("long").alias("_lines"))
+        rows = lines.select(*of, *narrow, F.lit(1).cast("long").alias("_lines"))
     else:
-        rows = lines.groupBy(key).agg(F.count(F.lit(1)).alias("_lines"))
+        rows = lines.groupBy(*of, key).agg(F.count(F.lit(1)).alias("_lines"))
     rows = write_through(rows, "profile")
     size = F.sum(F.octet_length("_key") + ROW_BYTES)
     total = rows.agg(F.sum("_lines").alias("lines"), F.count("_key").alias("codes"), size.alias("bytes")).first()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.columns import CORE, null_default
 from tallymark.operators.match import match_lines, unmatched_lines
+from tallymark.operators.prepare import statement_of
 from tallymark.operators.reduce import Reduced
 from tallymark.sources.layouts import TIER, Layout
 
@@ -46,18 +47,18 @@ def export_by_code(lines: DataFrame, found: Reduced, line_id: Column, missing_id
     Two arms instead of one outer join: adaptive execution can split a hot code of an inner join on both sides, of
     an outer join only on one. Both arms read the same shuffle of the lines.
     """
-    layout = found.layout
+    layout, of = found.layout, statement_of(lines)
     matched = match_lines(lines, found.shown, layout).select(
-        *file_columns(layout), line_id.alias(layout.line_id), *ledger_texts(layout)
+        *of, *file_columns(layout), line_id.alias(layout.line_id), *ledger_texts(layout)
     )
     others = unmatched_lines(lines, found.codes, layout).select(
-        *file_columns(layout), missing_id.alias(layout.line_id), *padding(layout, tier=CORE)
+        *of, *file_columns(layout), missing_id.alias(layout.line_id), *padding(layout, tier=CORE)
     )
     return matched.unionByName(others)
 
 
 def metric_rows(totals: DataFrame, metrics: list[str]) -> DataFrame:
-    """Turn one row of totals into the log's rows (metric, label, value)."""
+    """Turn one row of totals, or one for each statement, into the log's rows (metric, label, value)."""
     rows = F.array(
         *(
             F.struct(
@@ -68,4 +69,5 @@ def metric_rows(totals: DataFrame, metrics: list[str]) -> DataFrame:
             for m in metrics
         )
     )
-    return totals.select(F.explode(rows).alias("row")).select("row.*")
+    of = statement_of(totals)
+    return totals.select(*of, F.explode(rows).alias("row")).select(*of, "row.*")

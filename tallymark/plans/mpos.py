@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.columns import missing
 from tallymark.operators.grouping import distinct_keys
 from tallymark.operators.lookup import narrow_ledger, with_all_transactions, with_links, with_states
-from tallymark.operators.prepare import nonempty
+from tallymark.operators.prepare import nonempty, own_number, statement_of
 from tallymark.operators.reduce import Reduced
 from tallymark.plans.common import METRICS, export_by_code, metric_rows
 from tallymark.sources.layouts import MPOS
@@ -24,7 +24,8 @@ def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduce
 
 def export(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:
     """Every line with a key: one row per authorization group it matches, or one row with empty ledger columns."""
-    return export_by_code(lines, found or reduced(lines, ledger), F.col(MPOS.line_id), F.col(MPOS.line_id))
+    number = own_number(lines, MPOS.line_id)
+    return export_by_code(lines, found or reduced(lines, ledger), number, number)
 
 
 def not_found(found: Reduced) -> DataFrame:
@@ -42,21 +43,23 @@ def not_found(found: Reduced) -> DataFrame:
         F.sum(F.when(state == "", F.col("_links")).otherwise(0)).alias("_empty"),
     )
     counts = found.profile.rows
+    of = statement_of(counts)
     per_row = F.col("_empty") + F.when(nonempty("_key"), F.col("_null")).otherwise(0)
     matched = counts.join(groups, F.col("_key") == F.col(MPOS.ledger_key)).select(
-        *GROUP, (F.col("_lines") * per_row).alias("value")
+        *of, *GROUP, (F.col("_lines") * per_row).alias("value")
     )
     codes = distinct_keys(authorizations.filter(nonempty(MPOS.ledger_key)), [MPOS.ledger_key], "id")
-    without = found.profile.keyed.join(codes, F.col("_key") == F.col(MPOS.ledger_key), "left_anti").select(F.col("_lines").alias("value"))
+    without = found.profile.keyed.join(codes, F.col("_key") == F.col(MPOS.ledger_key), "left_anti").select(*of, F.col("_lines").alias("value"))
     rows = matched.filter("value > 0").unionByName(without, allowMissingColumns=True)
-    return rows.groupBy(*GROUP).agg(F.sum("value").alias("value"))
+    return rows.groupBy(*of, *GROUP).agg(F.sum("value").alias("value"))
 
 
 def statistics(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:
     """Lines in, lines declared as output, and one not-found row per group; no such row if everything was found."""
     found = found or reduced(lines, ledger)
-    totals = found.profile.rows.agg(F.sum("_lines").alias("input")).withColumn("output_declared", F.col("input"))
+    of = statement_of(lines)
+    totals = found.profile.rows.groupBy(*of).agg(F.sum("_lines").alias("input")).withColumn("output_declared", F.col("input"))
     groups = not_found(found).select(
-        F.lit("not_found").alias("metric"), F.lit(METRICS["not_found"]).alias("label"), "value"
+        *of, F.lit("not_found").alias("metric"), F.lit(METRICS["not_found"]).alias("label"), "value"
     )
     return metric_rows(totals, ["input", "output_declared"]).unionByName(groups)

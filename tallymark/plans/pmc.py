@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import missing, null_default
-from tallymark.operators.prepare import nonempty
+from tallymark.operators.prepare import nonempty, own_number, statement_of
 from tallymark.operators.reduce import Reduced
 from tallymark.plans.common import export_by_code, metric_rows
 from tallymark.sources.layouts import PMC, TIER
@@ -23,7 +23,8 @@ def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduce
 
 def export(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:
     """Every line with a key: one row per authorization reference it matches, or one row with empty ledger columns."""
-    return export_by_code(lines, found or reduced(lines, ledger), F.col(PMC.line_id), F.col(PMC.line_id))
+    number = own_number(lines, PMC.line_id)
+    return export_by_code(lines, found or reduced(lines, ledger), number, number)
 
 
 def export_merchant_id(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -> DataFrame:
@@ -33,7 +34,7 @@ def export_merchant_id(lines: DataFrame, ledger: Ledger, found: Reduced | None =
     without a merchant keeps its row, with an empty id.
     """
     found = found or reduced(lines, ledger)
-    lines = lines.groupBy(*PMC.columns).agg(F.min(PMC.line_id).alias(PMC.line_id))
+    lines = lines.groupBy(*statement_of(lines), *PMC.columns).agg(F.min(PMC.line_id).alias(PMC.line_id))
     return export_by_code(lines, found, null_default(F.col("comercio_id")), F.lit(""))
 
 
@@ -54,7 +55,7 @@ def statistics(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -
     def rows_of(groups_per_line: str) -> Column:
         return F.sum(F.when(keyed, F.col("_lines") * F.coalesce(F.col(groups_per_line), F.lit(1))))
 
-    totals = found.profile.rows.join(groups, keyed & (F.col("_key") == F.col("_code")), "left").agg(
+    totals = found.profile.rows.join(groups, keyed & (F.col("_key") == F.col("_code")), "left").groupBy(*statement_of(lines)).agg(
         F.sum("_lines").alias("input"),
         F.sum("_lines").alias("output_declared"),
         rows_of("stateless").alias("not_found"),

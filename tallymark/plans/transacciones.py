@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.columns import null_default
 from tallymark.operators import match
 from tallymark.operators.lookup import eligible_authorizations, with_signatures
+from tallymark.operators.prepare import own_number, statement_of
 from tallymark.operators.reduce import Reduced
 from tallymark.plans.common import file_columns, ledger_texts, metric_rows
 from tallymark.sources.layouts import MERCHANT_ID_V4, TRANSACCIONES
@@ -24,7 +25,7 @@ def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduce
 
 
 def _matched(found: Reduced) -> DataFrame:
-    """Narrow rows of the lines that match, ``_line, _key, _day, _id, _lines``."""
+    """Narrow rows of the lines that match, ``_line, _key, _day, _id, _lines``, and of which statement, if they are of several."""
     days = match.code_days(found.codes)
     same = (F.col("_key") == F.col("codigo_unico_adq")) & (F.col("_day") == F.col("auth_day"))
     return found.profile.keyed.join(days, same, "left_semi")
@@ -38,10 +39,11 @@ def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = Fa
     if the numbers are too many to broadcast, and only those that match and stay go on to the join with the ledger. The ledger
     side has one row per code and day, so it cannot multiply lines.
     """
-    matched = _matched(found).select("_line", "_key", "_day", "_id")
+    of = statement_of(lines)
+    matched = _matched(found).select(*of, "_line", "_key", "_day", "_id")
     shown = found.shown.withColumnRenamed("id", "_authorization_id")
     if found.profile.lines * LINE_BYTES <= match.MAX_BROADCAST_BYTES and found.shown.count() * SHOWN_BYTES <= match.MAX_BROADCAST_BYTES:
-        first = F.min("_line").over(Window.partitionBy("_key", "_id"))
+        first = F.min("_line").over(Window.partitionBy(*of, "_key", "_id"))
         settled = matched.select("_line", F.col("_key").alias("_code"), F.col("_day").alias("_on"), (F.lit(keep_duplicates) | (F.col("_line") == first)).alias("_stays"))
         told = lines.join(F.broadcast(settled), F.col(LINE_ID) == F.col("_line"), "left").filter("_stays is null or _stays")
         return told.join(F.broadcast(shown), (F.col("_code") == F.col("codigo_unico_adq")) & (F.col("_on") == F.col("auth_day")), "left")
@@ -53,7 +55,7 @@ def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = Fa
         return lines.join(F.broadcast(numbers) if few else numbers, F.col(LINE_ID) == F.col("_line"), how)
 
     # A hot code and id is one row per map task before it is shuffled.
-    stay = matched if keep_duplicates else matched.groupBy("_key", "_id").agg(F.min("_line").alias("_line"))
+    stay = matched if keep_duplicates else matched.groupBy(*of, "_key", "_id").agg(F.min("_line").alias("_line"))
     winners = numbered(stay, "left_semi").join(shown, match.same_code_and_day(TRANSACCIONES))
     return winners.unionByName(numbered(matched, "left_anti"), allowMissingColumns=True)
 
@@ -62,7 +64,8 @@ def _export(lines: DataFrame, ledger: Ledger, found: Reduced | None, keep_duplic
     # Lines are settled by the codes and days of what is shown, so that is written even for one output.
     rows = joined_lines(lines, found or reduced(lines, ledger, shared=True), keep_duplicates=keep_duplicates)
     # Here a line without a match has no tier either: its ledger columns are all NULL.
-    return rows.select(*file_columns(TRANSACCIONES), *more, LINE_ID, *ledger_texts(TRANSACCIONES))
+    number = own_number(lines, LINE_ID).alias(LINE_ID)
+    return rows.select(*statement_of(lines), *file_columns(TRANSACCIONES), *more, number, *ledger_texts(TRANSACCIONES))
 
 
 def export(lines: DataFrame, ledger: Ledger, found: Reduced | None = None, *, keep_duplicates: bool = False) -> DataFrame:
@@ -85,9 +88,17 @@ def statistics(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -
     by subtraction.
     """
     found = found or reduced(lines, ledger)
-    groups = _matched(found).groupBy("_key", "_id").agg(F.sum("_lines").alias("lines"))
+    of = statement_of(lines)
+    groups = _matched(found).groupBy(*of, "_key", "_id").agg(F.sum("_lines").alias("lines"))
     total, matched = F.lit(found.profile.lines), F.coalesce(F.sum("lines"), F.lit(0))
-    totals = groups.agg(
-        total.alias("input"), total.alias("output_declared"), (total - matched).alias("not_found"), (total - matched + F.count(F.lit(1))).alias("output_rows")
+    if of:
+        # A row for each statement that tells its lines, since one without a match is in no group.
+        counted = found.profile.rows.groupBy(*of).agg(F.sum("_lines").alias("total"))
+        groups = groups.unionByName(counted, allowMissingColumns=True)
+        total, rows = F.max("total"), F.count("lines")
+    else:
+        rows = F.count(F.lit(1))
+    totals = groups.groupBy(*of).agg(
+        total.alias("input"), total.alias("output_declared"), (total - matched).alias("not_found"), (total - matched + rows).alias("output_rows")
     )
     return metric_rows(totals, ["input", "output_declared", "not_found", "output_rows"])

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import format_line
 
 
+ORDER = ["input", "output_declared", "not_found"]  # metrics as the log has them
+
+
 # Names of the outputs.
 def export_name(file_name: str) -> str:
     return f"OUT_{file_name}"
@@ -21,15 +26,21 @@ def rejected_name(file_name: str) -> str:
     return f"REJ_{file_name}"
 
 
-def write_rejected(rejected: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+def write_rejected(rejected: DataFrame, path: str, *, mode: str = "overwrite", by: Sequence[str] = ()) -> None:
     """Records that are not as their layout says, as JSON lines, since they may hold line ends and quotes."""
-    rejected.write.mode(mode).json(path)
+    _writer(rejected, mode, by).json(path)
+
+
+def _writer(rows: DataFrame, mode: str, by: Sequence[str]) -> DataFrameWriter:
+    """``by`` names columns with a folder for each value. Rows of one value come together, and adaptive execution cuts what is
+    too large for one task, so folders have few parts and no task a whole large one."""
+    return rows.hint("rebalance", *by).write.mode(mode).partitionBy(*by) if by else rows.write.mode(mode)
 
 
-def write_export(export: DataFrame, path: str, *, charset: str = "UTF-8", mode: str = "overwrite") -> None:
+def write_export(export: DataFrame, path: str, *, charset: str = "UTF-8", mode: str = "overwrite", by: Sequence[str] = ()) -> None:
     """Quoted CSV with a header, one part per task. Quotes inside a value are doubled, NULL is an empty text."""
     (
-        export.write.mode(mode)
+        _writer(export, mode, by)
         .option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')
@@ -46,7 +57,13 @@ def write_lines(export: DataFrame, path: str, *, mode: str = "overwrite") -> Non
     export.select(line.alias("value")).write.mode(mode).text(path)
 
 
-def write_statistics(statistics: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+def write_statistics(statistics: DataFrame, path: str, *, mode: str = "overwrite", by: Sequence[str] = ()) -> None:
     """The labelled lines of the log, label and count separated by a tab."""
     rows = statistics.filter(F.col("label").isNotNull())
-    rows.select(F.concat_ws("\t", "label", F.col("value").cast("string")).alias("value")).write.mode(mode).text(path)
+    line = F.concat_ws("\t", "label", F.col("value").cast("string")).alias("value")
+    if by:
+        # The lines of one log are few, and in the order of the log's own.
+        rows = rows.repartition(*by).sortWithinPartitions(*by, F.array_position(F.lit(ORDER), F.col("metric")), F.desc("value"))
+        rows.select(*by, line).write.mode(mode).partitionBy(*by).text(path)
+    else:
+        rows.select(line).write.mode(mode).text(path)

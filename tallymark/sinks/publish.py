@@ -21,24 +21,30 @@ class Outputs:
         self.spark, self.out = spark, out
         self.run = uuid.uuid4().hex
         self.folder = f"{out}/_staged-{self.run}"
-        self.written: list[str] = []
 
     def path(self, name: str) -> str:
         """Where to write the output ``name``."""
-        self.written.append(name)
         return f"{self.folder}/{name}"
 
+    def parts(self, group: str, column: str, name: Mapping[int, str]) -> None:
+        """What was written as ``group``, partitioned by a column of numbers, is the outputs that ``name`` names them."""
+        for number, output in name.items():
+            part = self.path(f"{group}/{column}={number}")
+            if files.exists(self.spark, part):
+                files.move(self.spark, part, self.path(output))
+
     def publish(self, main: str, names: Sequence[str], told: Mapping[str, object]) -> None:
         """Put what was written in the place of all that an earlier run left under ``names``.
 
         ``main`` goes first and comes last, with a manifest in it: while it is there, every output that its manifest lists is
         there too, of the same run. A driver lost in between leaves no ``main``, and the next run of the file mends that.
         """
-        manifest = {**told, "run": self.run, "outputs": sorted(self.written)}
+        written = [name for name in dict.fromkeys((*names, main)) if files.exists(self.spark, self.path(name))]
+        manifest = {**told, "run": self.run, "outputs": sorted(written)}
         files.write_text(self.spark, f"{self.folder}/{main}/{MANIFEST}", json.dumps(manifest, ensure_ascii=False, indent=1))
         for name in (main, *names):
             files.remove(self.spark, f"{self.out}/{name}")
-        for name in sorted(self.written, key=lambda name: name == main):
+        for name in sorted(written, key=lambda name: name == main):
             files.move(self.spark, f"{self.folder}/{name}", f"{self.out}/{name}")
 
 

@@ -27,6 +27,17 @@ def move(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"{path} could not be moved to {to}")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _at(spark, path)
+    return store.exists(place)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its store's name and from its root, as scans tell the paths of their files, but not escaped."""
+    store, place = _at(spark, path)
+    return store.makeQualified(place).toString()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, by the driver."""
     store, place = _at(spark, path)

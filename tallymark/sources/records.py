@@ -16,6 +16,7 @@ from tallymark.sources.scratch import write_through
 
 FILE, BLOCK, PLACE = "_file", "_block", "_place"  # a line's file, where its split starts, and its place in the scan
 MAX_RECORD_BYTES = 1 << 20
+MAX_PATH_BYTES = 4096
 MERGED_BYTES = 64 << 20  # records of several lines: up to here they are broadcast to their places
 # Character sets that Spark decodes; in each of them a line end is one byte.
 CHARSETS = {"ISO-8859-1", "UTF-8", "US-ASCII"}

@@ -114,12 +114,14 @@ def stage(
     escape: str = "\\",
     multi_line: bool = False,
     null_tokens: Sequence[str] = ("\\N",),
+    keep_file: bool = False,
 ) -> Staged:
     """Clean and number the records of one or more files, and write them to the shared folder: the input of the pipelines.
 
     Files are read by all tasks, also where quoted values hold line ends. Blank lines are rows of empty texts in their place, as
     a bulk load makes them. ``strict`` refuses a file in which a line's end is inside quotes, unless ``multi_line`` allows that.
-    In a character set whose lines cannot be cut as bytes, ``multi_line`` lets one task read each file.
+    In a character set whose lines cannot be cut as bytes, ``multi_line`` lets one task read each file. ``keep_file`` keeps the
+    path of each line's file, in character sets whose lines can be cut; numbers run through all files, one file after the other.
     """
     reading = {"charset": charset, "quote": quote, "escape": escape}
     if strict and not multi_line and (broken := broken_lines(spark, paths, quote=quote, escape=escape)):
@@ -145,7 +147,8 @@ def stage(
     wrong = numbered.filter("_fields").select(FILE, BLOCK, PLACE, "_record")
     rejected = _rejected(lines, wrong, lost)
     count = rejected.count() if lost is not None or not wrong.isEmpty() else 0
-    return Staged(numbered.select(*layout.columns, layout.line_id), rejected, count)
+    of = [FILE] if keep_file else []
+    return Staged(numbered.select(*of, *layout.columns, layout.line_id), rejected, count)
 
 
 def _numbered(body: DataFrame, layout: Layout, quote: str, escape: str, null_tokens: Sequence[str]) -> DataFrame:

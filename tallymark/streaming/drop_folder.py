@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallymark.plans.run import reconcile
+from tallymark.plans.run import reconcile, run_files
 from tallymark.sources.ledger import Ledger
 from tallymark.sources.statement import UNKNOWN_LAYOUT, BrokenStatement, route_layout
 
@@ -33,8 +33,8 @@ def reconcile_arrivals(
 ) -> StreamingQuery:
     """Reconcile the files that are new since the last call, then stop.
 
-    The stream carries names only, at most ``files_per_batch`` at a time; the content of a file is read by its run, on
-    the whole cluster. Outputs are named after the file and overwritten, so a batch that is repeated changes nothing.
+    The stream carries names only, at most ``files_per_batch`` at a time; the files of a batch are read by one run, on
+    the whole cluster, and one by one if that fails. Outputs are named after the file and overwritten, so a batch that is repeated changes nothing.
     A file that cannot be read is recorded in ``FAILED_<batch>`` beside the outputs, and the others go on. Any other error is no
     fault of the file: the others go on too, then the query ends with the error, and the next call repeats the batch.
     """
@@ -48,13 +48,18 @@ def reconcile_arrivals(
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        failed, again = [], []
-        for row in batch.toLocalIterator():
+        failed, again, paths = [], [], [row["path"] for row in batch.toLocalIterator()]
+        try:
+            run_files(spark, paths, ledger, out, **run_options)
+            return
+        except Exception:  # noqa: BLE001  which file it was, if any, is found out below
+            pass
+        for path in paths:
             try:
-                reconcile(spark, row["path"], ledger, out, **run_options)
+                reconcile(spark, path, ledger, out, **run_options)
             except Exception as error:  # noqa: BLE001  one bad file must not keep all others waiting
                 if unreadable(error):
-                    failed.append((row["path"], type(error).__name__, str(error)[:1000]))
+                    failed.append((path, type(error).__name__, str(error)[:1000]))
                 else:
                     again.append(error)
         if failed:

@@ -1,0 +1,109 @@
+"""Files of one layout in one run: outputs as of each by itself."""
+
+import random
+
+import pytest
+from conftest import authorization, transaction
+from test_reduced import executions, scans
+from test_sources import line, write
+
+from tallymark.plans.run import run, run_files
+from tallymark.sinks.publish import manifest
+from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES
+from tallymark.sources.ledger import Ledger
+
+
+def contents(folder):
+    """Rows of each output; headers and the order of an export's rows left out."""
+    found = {}
+    for output in folder.iterdir():
+        text = [p.read_text("utf-8").splitlines() for p in sorted(output.glob("part-*"))]
+        if output.name.startswith("OUT_"):
+            assert len({rows[0] for rows in text}) == 1
+            found[output.name] = [text[0][0], *sorted(r for rows in text for r in rows[1:])]
+        else:
+            found[output.name] = sorted(r for rows in text for r in rows)
+    return found
+
+
+@pytest.fixture
+def rng():
+    return random.Random(11)
+
+
+def statements(folder, layout, rng, count):
+    """Files with shared and repeated codes, one without lines, one with a bad record, and a name that has to be escaped."""
+    folder.mkdir(exist_ok=True)
+    paths = []
+    for k in range(count):
+        day = (lambda: {"trx_date": rng.choice(["2024-05-01", "2024-05-02", "n/a"]), layout.duplicate: rng.choice("pq")}) if layout.day else dict
+        rows = [line(layout, **{layout.key: rng.choice(["a", "b", "c", "x", ""]), **day()}) for _ in range(0 if k == 1 else rng.randrange(2, 9))]
+        rows += [line(layout, **{layout.key: "a"}) + layout.delimiter.join(["", "one", "more"])] if k == 2 else []
+        paths.append(write(folder / f"{k} [é%20]_{layout.name.lower()}.csv", layout, *rows))
+    return paths
+
+
+@pytest.mark.parametrize(
+    ("layout", "options"),
+    [(PMC, {"merchant_id": True}), (MPOS, {"collation": "UTF8_LCASE"}), (TRANSACCIONES, {}), (TRANSACCIONES, {"keep_duplicates": True})],
+    ids=["PMC merchant", "MPOS collation", "TRANSACCIONES", "TRANSACCIONES duplicates"],
+)
+def test_outputs_are_those_of_each_file_by_itself(spark, tmp_path, make_ledger, rng, layout, options):
+    ledger = make_ledger(
+        autorizacion=[authorization(i, rng.choice(["", "a", "b", "c", "d"]), ref_id=rng.choice(["r", "s"])) for i in range(30)],
+        transaccion=[transaction(i, history=rng.choice([1, 2, 3])) for i in range(0, 30, 2)],
+    )
+    paths = statements(tmp_path / "in", layout, rng, 4)
+    together = run_files(spark, paths, ledger, str(tmp_path / "together"), **options)
+    alone = {path: run(spark, path, ledger, str(tmp_path / "alone"), **options) for path in paths}
+    assert together == alone and list(together) == paths
+    assert sum(r.rejected for r in together.values()) == 1
+    got, want = contents(tmp_path / "together"), contents(tmp_path / "alone")
+    assert sorted(got) == sorted(want)
+    for name in want:
+        if name.startswith("REJ_"):
+            assert len(got[name]) == len(want[name]) == 1
+        else:
+            assert got[name] == want[name], name
+    for name in (n for n in want if n.startswith("OUT_")):
+        first, second = (manifest(spark, str(tmp_path / d), name) for d in ("together", "alone"))
+        assert {**first, "run": None} == {**second, "run": None}
+
+
+def test_the_number_of_jobs_does_not_grow_with_the_files(spark, tmp_path, rng, make_ledger):
+    ledger = make_ledger(autorizacion=[authorization(i, f"k{i % 9}") for i in range(30)], transaccion=[transaction(i) for i in range(30)])
+    for name, df in vars(ledger).items():
+        if not name.startswith("_") and hasattr(df, "write"):
+            df.write.parquet(str(tmp_path / "ledger" / name))
+    ran = []
+    for count in (2, 40):
+        folder = tmp_path / f"in{count}"
+        folder.mkdir()
+        paths = [write(folder / f"{k}_pmc.csv", PMC, line(PMC, nro_orden=f"k{k % 12}"), line(PMC, nro_orden="k1")) for k in range(count)]
+        before = executions(spark).size()
+        done = run_files(spark, paths, Ledger.from_parquet(spark, str(tmp_path / "ledger")), str(tmp_path / f"out{count}"))
+        ran.append(executions(spark).size() - before)
+        assert all(r.lines == 2 for r in done.values())
+        assert len(scans(spark, "/ledger/autorizacion", before)) == 1
+        assert len(list((tmp_path / f"out{count}").glob("OUT_*"))) == count
+    assert ran[0] == ran[1]
+
+
+def test_layouts_folders_and_other_names(spark, tmp_path, make_ledger):
+    """Files of all layouts, a statement that is a folder, and one without a layout; equal names are refused."""
+    (tmp_path / "c_pmc").mkdir()
+    for k in range(3):
+        write(tmp_path / "c_pmc" / f"part{k}.csv", PMC, line(PMC, nro_orden="k"))
+    paths = [
+        write(tmp_path / "a_pmc.csv", PMC, line(PMC, nro_orden="k")),
+        write(tmp_path / "b_mpos.csv", MPOS, line(MPOS, id_operacion="k")),
+        write(tmp_path / "other.csv", PMC, line(PMC)),
+        str(tmp_path / "c_pmc"),
+    ]
+    done = run_files(spark, paths, make_ledger(autorizacion=[authorization(1, "k")]), str(tmp_path / "out"))
+    assert [r and (r.layout.name, r.lines) for r in done.values()] == [("PMC", 1), ("MPOS", 1), None, ("PMC", 3)]
+    rows = spark.read.option("header", True).csv(str(tmp_path / "out" / "OUT_c_pmc"))
+    assert sorted(r["id"] for r in rows.collect()) == ["1", "2", "3"]
+    (tmp_path / "again").mkdir()
+    with pytest.raises(ValueError, match="one name"):
+        run_files(spark, [paths[0], write(tmp_path / "again" / "a_pmc.csv", PMC)], make_ledger(), str(tmp_path / "out"))

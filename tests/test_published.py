@@ -92,7 +92,11 @@ def test_an_error_that_is_not_the_files_is_tried_again(spark, tmp_path, make_led
             raise ConnectionError("the cluster is gone")
         return reconcile(session, path, *args, **options)
 
+    def together(*_, **__):
+        raise ConnectionError("the cluster is gone")
+
     monkeypatch.setattr(drop_folder, "reconcile", sometimes)
+    monkeypatch.setattr(drop_folder, "run_files", together)
 
     def arrivals():
         drop_folder.reconcile_arrivals(spark, str(tmp_path / "in"), make_ledger(), str(out), str(tmp_path / "state")).awaitTermination()
