@@ -20,15 +20,21 @@ EDGES = ".,;:!?\"'()[]{}<>«»“”‘’…*#%&$@-–—_/\\|~^+="
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, at_most: int) -> DataFrame:
-    """Rows ``doc_id, text, label`` to learn from: at most ``at_most`` labelled ids outside the held-out fold.
+    """Rows ``doc_id, text, label`` to learn from: at most ``at_most`` different ones outside the held-out fold.
 
-    Which ids are taken depends on a hash of the id alone. An id with several labels counts as 1 if any is 1; NULL ids
-    and labels are left out. The sample is small by construction, so it is broadcast to the scan of the documents.
+    Which rows are taken depends on hashes of the id and the text alone. An id with several labels counts as 1 if any is 1;
+    NULL ids and labels are left out. Rows are chosen as ids and hashes, of an id with any number of rows too, so only the
+    texts of chosen rows move; rows that repeat an id and a text are one. What is broadcast to the scans of the documents is
+    at most ``at_most`` ids or hashes. Empty tables give an empty sample.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).where(~held_out(F.col("doc_id")))
     one = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(at_most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", "text")
+    hashed = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.xxhash64("text").alias("_hash")).distinct()
+    rows = hashed.orderBy(F.xxhash64("doc_id"), "doc_id", "_hash").limit(at_most)
+    taken = texts.withColumn("_hash", F.xxhash64("text")).join(F.broadcast(rows), ["doc_id", "_hash"])
+    return taken.select("doc_id", "text", "label").distinct()
 
 
 def uncollected(function):
@@ -90,18 +96,19 @@ def bucket(text: str, size: int, seed: int = 0) -> int:
 
 
 def shape(piece: str) -> str:
-    """Letters as a or A, digits as 0, other characters as they are; runs of one kind become one or, from three on, two.
+    """Letters as a or A, digits as 0, other characters as they are; runs of three or more of one kind become two.
 
-    A word of small letters, or with a capital first, is told at once, whatever its length; marks behind it stay.
+    The whole piece is looked at, whatever its length. A word of small letters, or with a capital first, is told at once;
+    marks behind it stay.
     """
     core = piece.rstrip(".,;:!?")
-    marks = piece[len(core) :][:8]
+    marks = piece[len(core) :]
     if core.isalpha():
         if core.islower():
             return "aa" + marks
         if core[1:].islower():
             return "Aaa" + marks
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in piece[:32])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in piece)
     return re.sub(r"(.)\1{2,}", r"\1\1", kinds)
 
 

@@ -21,8 +21,8 @@ from tallymark.llm.features import EDGES, Remembered, bucket, labelled_sample, l
 
 MAX_MINED = 16_000  # labelled rows that lexicons are mined from, on the executors
 MAX_LABELLED = 6_000  # labelled rows whose features the classifier is trained on, on the driver
-MAX_TERMS = 4_000  # mined terms with the highest odds
-SKETCH = 4  # least hashes that are equal in copies
+SKETCH = 4  # least hashes by which labelled rows are looked for that may be copies
+COPY = 0.75  # similarity of copies
 LEAST_DOCUMENTS = 6  # labelled toxic documents a mined term stands in
 LEAST_LOG_ODDS = 4.0
 MOST_OTHERS = 0.02  # other documents with a mined term, as a share of the toxic ones
@@ -144,25 +144,40 @@ def _memory(model: Toxicity) -> _Memory:
     return _MEMORY[0]
 
 
-def sketch(text: str | None) -> str:
-    """The ``SKETCH`` least hashes of two neighbouring words; of documents with fewer, all, and of a single word its own."""
+def word_pairs(text: str | None) -> set[str]:
+    """Two neighbouring words each; of a single word the word."""
     pieces = (text or "").split()
-    pairs = {f"{a} {b}" for a, b in zip(pieces, pieces[1:])} or set(pieces)
-    return ",".join(map(str, sorted({bucket(pair, 1 << 32) for pair in pairs})[:SKETCH]))
+    return {f"{a} {b}" for a, b in zip(pieces, pieces[1:])} or set(pieces)
+
+
+def sketch(text: str | None) -> str:
+    """The ``SKETCH`` least hashes of word pairs; of documents with fewer, all."""
+    return ",".join(map(str, sorted({bucket(pair, 1 << 32) for pair in word_pairs(text)})[:SKETCH]))
+
+
+def alike(text: str | None, other: str | None) -> bool:
+    """Whether word pairs are shared as between copies; texts without words are."""
+    a, b = word_pairs(text), word_pairs(other)
+    return len(a & b) >= COPY * len(a | b)
 
 
 def distinct_sample(sample: DataFrame) -> DataFrame:
-    """``text, label`` of one row of all with the same sketch and label: the least by id and text."""
+    """``text, label`` of the rows that are no copies: of those with one label and one sketch the least by id and text, and
+    all others that are not :func:`alike` to it. The sketch proposes copies, and whole texts confirm them."""
     sketched = F.pandas_udf(lambda texts: texts.map(sketch), "string")
-    one = sample.groupBy(sketched(F.coalesce("text", F.lit(""))).alias("sketch"), "label").agg(F.min(F.struct("doc_id", "text")).alias("one"))
-    return one.select("one.text", "label")
+    copies = F.pandas_udf(lambda texts, others: pd.Series([alike(*pair) for pair in zip(texts, others)], dtype=bool), "boolean")
+    told = write_through(sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label").withColumn("sketch", sketched("text")), "toxic-sketches")
+    first = told.groupBy("sketch", "label").agg(F.min(F.struct("doc_id", "text")).alias("first"))
+    pairs = told.join(first, ["sketch", "label"])
+    others = pairs.where(F.struct("doc_id", "text") != F.col("first")).where(~copies("text", "first.text"))
+    return first.select("first.text", "label").unionByName(others.select("text", "label"))
 
 
 def mined_lexicon(sample: DataFrame) -> dict[str, int]:
     """Terms far more frequent in toxic than in other labelled documents, dealt to voters by hash.
 
-    Copies of a document would turn all of its words into signs of its label, so of labelled documents with one label and
-    the same ``sketch`` the first by id counts. They are dropped before anything is counted, wherever they are read.
+    Copies of a document would turn all of its words into signs of its label, so they are dropped before anything is counted,
+    see :func:`distinct_sample`. All terms that are strong enough are kept; the sample bounds how many there can be.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,7 +199,7 @@ def mined_lexicon(sample: DataFrame) -> dict[str, int]:
         return {}
     odds = F.log((F.col("toxic") + 0.5) / (totals["toxic"] + 1)) - F.log((F.col("other") + 0.5) / (totals["other"] + 1))
     strong = summed.where("term <> ''").withColumn("odds", odds).where((F.col("toxic") >= LEAST_DOCUMENTS) & (F.col("odds") >= LEAST_LOG_ODDS) & (F.col("other") <= MOST_OTHERS * F.col("toxic")))
-    terms = [row["term"] for row in strong.orderBy(F.desc("odds"), F.desc("toxic"), "term").limit(MAX_TERMS).collect()]
+    terms = [row["term"] for row in strong.orderBy("term").collect()]
     return {t: WORD_VOTERS + bucket(t, PREFIX_VOTERS) if t.endswith("~") else bucket(t, WORD_VOTERS) for t in terms}
 
 
