@@ -17,6 +17,7 @@ from tallymark.sources.scratch import write_through
 FILE, BLOCK, PLACE = "_file", "_block", "_place"  # a line's file, where its split starts, and its place in the scan
 MAX_RECORD_BYTES = 1 << 20
 MAX_PATH_BYTES = 4096
+TURN = "\x01"  # stands for a quote behind a delimiter
 MERGED_BYTES = 64 << 20  # records of several lines: up to here they are broadcast to their places
 # Character sets that Spark decodes; in each of them a line end is one byte.
 CHARSETS = {"ISO-8859-1", "UTF-8", "US-ASCII"}
@@ -35,11 +36,12 @@ def physical_lines(spark: SparkSession, paths: str | Sequence[str], *, charset:
     """
     raw = spark.read.option("lineSep", "\n").text(paths)
     value = F.col("value").cast("binary")
+    text = F.decode(value, charset.upper())
     read = raw.select(
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(PLACE),
-        F.regexp_replace(F.decode(value, charset.upper()), "\r$", "").alias("_text"),
+        F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r$", "")).otherwise(text).alias("_text"),
         (F.octet_length(value) + 1).cast("long").alias("_bytes"),
     )
     told = read.select("*", *(_state_after(F.col("_text"), state, delimiter, quote, escape).alias(name) for name, state in (("_outside", False), ("_inside", True))))
@@ -47,17 +49,20 @@ def physical_lines(spark: SparkSession, paths: str | Sequence[str], *, charset:
 
 
 def _state_after(text: Column, inside: bool, delimiter: str, quote: str, escape: str) -> Column:
-    """A quote opens a value at its first character, and the next quote closes it; anywhere else a quote is a character."""
+    """A quote opens a value at its first character, and the next quote closes it; anywhere else a quote is a character.
+
+    So a quote behind a delimiter turns the state round, and any other leaves it outside: only the quotes behind delimiters that
+    follow the last other one count. No step depends on the number of fields.
+    """
     plain = F.replace(text, F.lit(escape * 2), F.lit("")) if escape != quote else text
     plain = F.replace(plain, F.lit(escape + quote), F.lit(""))
-    one = F.lit(quote)
-
-    def field(state: Column, value: Column) -> Column:
-        opens = F.startswith(value, one) & (F.instr(F.substring(value, 2, 1 << 30), quote) == 0)
-        return F.when(state, F.instr(value, quote) == 0).otherwise(opens)
-
-    changed = F.aggregate(F.split(plain, f"\\Q{delimiter}\\E"), F.lit(inside), field)
-    return F.when(F.instr(text, quote) > 0, changed).otherwise(F.lit(inside))
+    plain = F.when(F.contains(text, F.lit(escape)), plain).otherwise(text)
+    plain = F.when(F.contains(text, F.lit(TURN)), F.replace(plain, F.lit(TURN), F.lit(" "))).otherwise(plain)
+    told = F.replace(F.concat(F.lit(delimiter), plain), F.lit(delimiter + quote), F.lit(TURN))
+    last = F.substring_index(told, quote, -1)
+    odd = (F.octet_length(last) - F.octet_length(F.replace(last, F.lit(TURN), F.lit("")))) % 2 == 1
+    changed = odd != (F.lit(inside) & ~F.contains(told, F.lit(quote)))
+    return F.when(F.contains(text, F.lit(quote)), changed).otherwise(F.lit(inside))
 
 
 def _after(rows: DataFrame, window: Window) -> DataFrame:

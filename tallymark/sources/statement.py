@@ -62,21 +62,20 @@ def read_statement(
         .csv(paths)
     )
 
-    return raw.select(
-        *_texts(layout, lambda c: F.col(c), null_tokens),
-        F.col("_metadata.file_path").alias(SPLIT[0]),
-        F.col("_metadata.file_block_start").alias(SPLIT[1]),
-    )
-
+    split = F.col("_metadata.file_path").alias(SPLIT[0]), F.col("_metadata.file_block_start").alias(SPLIT[1])
+    return _texts(raw, layout, lambda c: F.col(c), null_tokens, *split)
 
-def _texts(layout: Layout, field: Callable[[str], Column], null_tokens: Sequence[str]) -> list[Column]:
-    """The layout's columns; an empty or missing field is an empty text, and a null token is NULL."""
 
-    def text(name: str) -> Column:
-        value = F.coalesce(field(name), F.lit(""))
-        return F.when(~value.isin(*null_tokens), value) if null_tokens else value
+def _texts(rows: DataFrame, layout: Layout, field: Callable[[str], Column], null_tokens: Sequence[str], *more: Column | str) -> DataFrame:
+    """The layout's columns, and ``more``; an empty or missing field is an empty text, and a null token is NULL.
 
-    return [text(c).alias(c) for c in layout.columns]
+    In two steps: one expression of both for each of so many columns is a method that Java does not compile.
+    """
+    rows = rows.select(*(F.coalesce(field(c), F.lit("")).alias(c) for c in layout.columns), *more)
+    if not null_tokens:
+        return rows
+    others = [c for c in rows.columns if c not in layout.columns]
+    return rows.select(*(F.when(~F.col(c).isin(*null_tokens), F.col(c)).alias(c) for c in layout.columns), *others)
 
 
 def broken_lines(spark: SparkSession, paths: str | Sequence[str], *, quote: str = '"', escape: str = "\\") -> int:
@@ -157,9 +156,8 @@ def _numbered(body: DataFrame, layout: Layout, quote: str, escape: str, null_tok
     options = {"sep": layout.delimiter, "quote": quote, "escape": escape, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_wrong"}
     parsed = body.withColumn("_csv", F.from_csv("_text", schema, options))
     wrong = F.col("_csv._wrong").isNotNull()
-    rows = parsed.select(
-        *_texts(layout, lambda c: F.col("_csv").getField(c), null_tokens), FILE, BLOCK, PLACE, wrong.alias("_fields"), F.when(wrong, F.col("_text")).alias("_record")
-    )
+    more = FILE, BLOCK, PLACE, wrong.alias("_fields"), F.when(wrong, F.col("_text")).alias("_record")
+    rows = _texts(parsed, layout, lambda c: F.col("_csv").getField(c), null_tokens, *more)
     if layout.drop_empty_key:
         rows = drop_empty_key(rows, layout.key)
     return assign_row_id(rows, layout.line_id, segment=SPLIT, place=PLACE)
