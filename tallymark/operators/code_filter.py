@@ -11,6 +11,8 @@ MAX_FILTER_BYTES = 128 << 20
 BITS_PER_CODE, PROBES = 12, 3  # one row in a hundred of other codes gets through
 WORD, WORDS = 64, 512  # a block is 512 words of 64 bits; all bits of a code are in one block
 BLOCK_BITS = WORD * WORDS
+BLOCK_BYTES = BLOCK_BITS // 8
+BLOCK_SHIFT = BLOCK_BITS.bit_length() - 1
 
 
 def _places(key: Sequence[Column], blocks: int) -> tuple[Column, list[Column]]:
@@ -24,18 +26,24 @@ def _blocks(codes: int) -> int:
 
 def filter_fits(codes: int) -> bool:
     """Whether the filter of so many codes stays within ``MAX_FILTER_BYTES``: the size is known before it is made."""
-    return _blocks(codes) * (BLOCK_BITS // 8) <= MAX_FILTER_BYTES
+    return _blocks(codes) * BLOCK_BYTES <= MAX_FILTER_BYTES
 
 
 def code_filter(keys: DataFrame, count: int) -> DataFrame:
     """A row for each block, ``_block, _words``, of keys in all columns. Bits are or-ed in the map tasks before they are shuffled."""
     block, bits = _places([F.col(c) for c in keys.columns], _blocks(count))
-    placed = keys.select(block.alias("_block"), F.explode(F.array(*bits)).alias("_bit"))
+    return _filled(keys.select(block.alias("_block"), F.explode(F.array(*bits)).alias("_bit")))
+
+
+def _filled(placed: DataFrame) -> DataFrame:
+    """A row for each block with its bits, ``_block, _words``, of rows ``_block, _bit``."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit") % WORD)
     words = placed.groupBy("_block", F.floor(F.col("_bit") / WORD).cast("int").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    found = words.groupBy("_block").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_found"))
-    none = F.lit(0).cast("long")
-    return found.select("_block", F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda k: F.coalesce(F.try_element_at("_found", k), none)).alias("_words"))
+    found = words.groupBy("_block").agg(F.collect_list(F.struct("_word", "_bits")).alias("_found"))
+    # Both maps are read once; a look into one for each word would read it, or make it, as often as a block has words.
+    none = F.map_from_arrays(F.sequence(F.lit(0), F.lit(WORDS - 1)), F.array_repeat(F.lit(0).cast("long"), WORDS))
+    filled = F.map_zip_with(none, F.map_from_entries("_found"), lambda _, zero, bits: F.coalesce(bits, zero))
+    return found.select("_block", F.map_values(filled).alias("_words"))
 
 
 def may_match(rows: DataFrame, key: Sequence[Column], found: DataFrame, count: int) -> DataFrame:
@@ -45,3 +53,23 @@ def may_match(rows: DataFrame, key: Sequence[Column], found: DataFrame, count: i
     for bit in bits:
         tested = tested.filter(F.getbit(F.get("_words", F.floor(bit / WORD).cast("int")), bit % WORD) == 1)
     return tested.drop("_block", "_words")
+
+
+def number_set(numbers: DataFrame) -> DataFrame:
+    """The numbers of the only column as ``_block, _words``: a bit for each, in blocks of neighbours, so dense ones are small."""
+    number = F.col(numbers.columns[0])
+    block, bit = _number_places(number)
+    return _filled(numbers.where(number.isNotNull()).select(block.alias("_block"), bit.alias("_bit")))
+
+
+def _number_places(number: Column) -> tuple[Column, Column]:
+    return F.call_function("shiftright", number, F.lit(BLOCK_SHIFT)), number.bitwiseAND(BLOCK_BITS - 1).cast("int")
+
+
+def with_membership(rows: DataFrame, number: Column, numbers: DataFrame, name: str) -> DataFrame:
+    """Whether each row's number is in a set of :func:`number_set`, which is broadcast, as the column ``name``; NULL is in none."""
+    block, bit = _number_places(number)
+    found = numbers.select(F.col("_block").alias("_of"), F.col("_words").alias("_bits"))
+    told = rows.withColumn("_block", block).join(F.broadcast(found), F.col("_block") == F.col("_of"), "left")
+    held = F.getbit(F.get("_bits", F.floor(bit / WORD).cast("int")), bit % WORD) == 1
+    return told.withColumn(name, F.coalesce(held, F.lit(False))).drop("_block", "_of", "_bits")

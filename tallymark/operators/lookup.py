@@ -9,7 +9,7 @@ from tallymark.functions.columns import CORE, product_tier
 from tallymark.operators.grouping import distinct_keys, first_per_group, salted_lookup
 from tallymark.sources.layouts import TIER
 from tallymark.sources.ledger import Ledger
-from tallymark.sources.scratch import write_through
+from tallymark.sources.scratch import write_packed
 
 # The ledger's codes for the flag, the acquirer and the contract type.
 LEDGER_FLAG = 11
@@ -135,10 +135,10 @@ def narrow_ledger(ledger: Ledger, authorizations: DataFrame) -> tuple[DataFrame,
     """
     if ledger.transaction_count < LARGE_TABLE_ROWS:
         return authorizations, ledger
-    authorizations = write_through(authorizations, "authorizations")
+    authorizations = write_packed(authorizations, "authorizations")
     if authorizations.count() * ID_BYTES > MAX_BROADCAST_BYTES:
         return authorizations, ledger.with_tables()
-    transactions = write_through(
+    transactions = write_packed(
         referenced(ledger.transaccion, "autorizacion_id", authorizations, "id"), "transactions"
     )
     return authorizations, ledger.with_tables(

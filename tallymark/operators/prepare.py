@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from tallymark.sources.layouts import Layout
 from tallymark.sources.ledger import Ledger
-from tallymark.sources.scratch import write_through
+from tallymark.sources.scratch import write_packed
 
 # Lines of several statements in one DataFrame: which statement a line is of, and how many lines stand before that one. Line
 # numbers run through all of them there.
@@ -64,7 +64,7 @@ def assign_row_id(
     keep = [c for c in df.columns if place or c not in segment]
     if place:
         df, segment = df.withColumn("_run", F.spark_partition_id()), [*segment, "_run"]
-    written = write_through(
+    written = write_packed(
         df.withColumn("_position", F.monotonically_increasing_id()).withColumn("_segment", F.xxhash64(*segment)),
         "numbered",
     )
@@ -73,7 +73,7 @@ def assign_row_id(
     order = [*segment[:-1], "_least"] if place else segment
     # One row per input split or partition, so this window is small whatever the rows weigh.
     before = F.sum("_rows").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = write_through(
+    offsets = write_packed(
         sizes.select("_segment", *segment, "_first", F.coalesce(before, F.lit(0)).alias("_before")), "offsets"
     )
     check = offsets.agg(F.count("_segment").alias("segments"), F.countDistinct("_segment").alias("hashes")).first()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.columns import text_date
 from tallymark.operators.prepare import nonempty, statement_of
 from tallymark.sources.layouts import Layout
-from tallymark.sources.scratch import write_through
+from tallymark.sources.scratch import write_packed
 
 ROW_BYTES = 32
 MAX_DAY_RANGES = 32
@@ -56,7 +56,7 @@ def profile(lines: DataFrame, layout: Layout) -> Profile:
         rows = lines.select(*of, *narrow, F.lit(1).cast("long").alias("_lines"))
     else:
         rows = lines.groupBy(*of, key).agg(F.count(F.lit(1)).alias("_lines"))
-    rows = write_through(rows, "profile")
+    rows = write_packed(rows, "profile")
     size = F.sum(F.octet_length("_key") + ROW_BYTES)
     total = rows.agg(F.sum("_lines").alias("lines"), F.count("_key").alias("codes"), size.alias("bytes")).first()
     days = day_ranges(rows.filter(nonempty("_key"))) if layout.day else None

@@ -18,8 +18,10 @@ from tallymark.operators.prepare import nonempty
 from tallymark.operators.profile import Profile, profile, within_days
 from tallymark.sources.layouts import Layout
 from tallymark.sources.ledger import Ledger
-from tallymark.sources.scratch import write_through
+from tallymark.sources.scratch import write_packed
 
+# Statements with more codes ask for more authorizations than are shuffled whole by transaction, state and merchant.
+MANY_BYTES = 10 << 20
 Lookup = Callable[[DataFrame, Ledger], DataFrame]
 
 
@@ -72,11 +74,11 @@ class Reduced:
             same = reduce(and_, (k == F.col(c) for k, c in zip(key, self.profile.by)))
             rows = rows.join(F.broadcast(self.profile.keys), same, "left_semi")
         elif self.filtered:
-            found = write_through(code_filter.code_filter(self.profile.keys, self.profile.codes), "code-filter")
+            found = write_packed(code_filter.code_filter(self.profile.keys, self.profile.codes), "code-filter")
             rows = code_filter.may_match(rows, key, found, self.profile.codes)
         if self.eligible:
             rows = self.eligible(rows, self.source)
-        return write_through(rows, "matching") if self.write_matching else rows
+        return write_packed(rows, "matching") if self.write_matching else rows
 
     @cached_property
     def _picked(self) -> tuple[DataFrame, Ledger]:
@@ -111,5 +113,5 @@ class Reduced:
         """``picked`` with all lookups: what export rows show. Their chain is walked by ids alone where much is shuffled."""
         picked, ledger = self._picked
         rows = self.extra(picked, ledger) if self.extra else picked
-        rows = enrich(rows, ledger, by_id=not self.small)
-        return write_through(rows, "shown") if self.write_shown else rows
+        rows = enrich(rows, ledger, by_id=not self.small or self.profile.code_bytes > MANY_BYTES)
+        return write_packed(rows, "shown") if self.write_shown else rows

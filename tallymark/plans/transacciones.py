@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.columns import null_default
-from tallymark.operators import match
+from tallymark.operators import code_filter, match
 from tallymark.operators.lookup import eligible_authorizations, with_signatures
 from tallymark.operators.prepare import own_number, statement_of
 from tallymark.operators.reduce import Reduced
 from tallymark.plans.common import file_columns, ledger_texts, metric_rows
 from tallymark.sources.layouts import MERCHANT_ID_V4, TRANSACCIONES
 from tallymark.sources.ledger import Ledger
-from tallymark.sources.scratch import write_through
+from tallymark.sources.scratch import write_packed
 
 LINE_ID = TRANSACCIONES.line_id
 LINE_BYTES, SHOWN_BYTES = 64, 512
@@ -35,9 +35,9 @@ def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = Fa
     """Lines that match, of each code and acquirer id the first, with what the ledger shows for them; and lines that do not match, with NULLs.
 
     Which lines stay is settled on narrow rows, and wide lines are fetched last. If the narrow rows of a statement and what is
-    shown fit a broadcast, lines are read once and not shuffled at all. Else they are filtered by number, shuffled by it once
-    if the numbers are too many to broadcast, and only those that match and stay go on to the join with the ledger. The ledger
-    side has one row per code and day, so it cannot multiply lines.
+    shown fit a broadcast, lines are read once and not shuffled at all. Else they are filtered by number, with the numbers
+    broadcast, or a bit for each, or shuffled by it if both are too large, and only those that match and stay go on to the join
+    with the ledger. The ledger side has one row per code and day, so it cannot multiply lines.
     """
     of = statement_of(lines)
     matched = _matched(found).select(*of, "_line", "_key", "_day", "_id")
@@ -47,7 +47,7 @@ def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = Fa
         settled = matched.select("_line", F.col("_key").alias("_code"), F.col("_day").alias("_on"), (F.lit(keep_duplicates) | (F.col("_line") == first)).alias("_stays"))
         told = lines.join(F.broadcast(settled), F.col(LINE_ID) == F.col("_line"), "left").filter("_stays is null or _stays")
         return told.join(F.broadcast(shown), (F.col("_code") == F.col("codigo_unico_adq")) & (F.col("_on") == F.col("auth_day")), "left")
-    matched = write_through(matched, "matched-lines")
+    matched = write_packed(matched, "matched-lines")
     few = matched.count() * LINE_BYTES <= match.MAX_BROADCAST_BYTES
 
     def numbered(rows: DataFrame, how: str) -> DataFrame:
@@ -56,6 +56,13 @@ def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = Fa
 
     # A hot code and id is one row per map task before it is shuffled.
     stay = matched if keep_duplicates else matched.groupBy(*of, "_key", "_id").agg(F.min("_line").alias("_line"))
+    if not few:
+        sets = [write_packed(code_filter.number_set(rows.select("_line")), "line-set") for rows in (matched, stay)]
+        if sum(numbers.count() for numbers in sets) * code_filter.BLOCK_BYTES <= match.MAX_BROADCAST_BYTES:
+            told = code_filter.with_membership(lines, F.col(LINE_ID), sets[0], "_matches")
+            told = code_filter.with_membership(told, F.col(LINE_ID), sets[1], "_stays")
+            winners = told.filter("_stays").join(shown, match.same_code_and_day(TRANSACCIONES))
+            return winners.unionByName(told.filter("not _matches"), allowMissingColumns=True)
     winners = numbered(stay, "left_semi").join(shown, match.same_code_and_day(TRANSACCIONES))
     return winners.unionByName(numbered(matched, "left_anti"), allowMissingColumns=True)
 

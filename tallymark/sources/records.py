@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymark.sources.scratch import write_through
+from tallymark.sources.scratch import write_packed
 
 FILE, BLOCK, PLACE = "_file", "_block", "_place"  # a line's file, where its split starts, and its place in the scan
 MAX_RECORD_BYTES = 1 << 20
@@ -44,25 +44,33 @@ def physical_lines(spark: SparkSession, paths: str | Sequence[str], *, charset:
         F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r$", "")).otherwise(text).alias("_text"),
         (F.octet_length(value) + 1).cast("long").alias("_bytes"),
     )
-    told = read.select("*", *(_state_after(F.col("_text"), state, delimiter, quote, escape).alias(name) for name, state in (("_outside", False), ("_inside", True))))
-    return write_through(told, "physical-lines")
+    read = read.withColumn("_plain", _plain(F.col("_text"), quote, escape))
+    states = (_state_after(F.col("_plain"), state, delimiter, quote).alias(name) for name, state in (("_outside", False), ("_inside", True)))
+    told = read.select("*", *states).drop("_plain")
+    return write_packed(told, "physical-lines")
 
 
-def _state_after(text: Column, inside: bool, delimiter: str, quote: str, escape: str) -> Column:
+def _plain(text: Column, quote: str, escape: str) -> Column:
+    """The text without escaped quotes."""
+    plain = F.replace(text, F.lit(escape * 2), F.lit("")) if escape != quote else text
+    plain = F.replace(plain, F.lit(escape + quote), F.lit(""))
+    plain = F.when(F.contains(text, F.lit(escape)), plain).otherwise(text)
+    return F.when(F.contains(text, F.lit(TURN)), F.replace(plain, F.lit(TURN), F.lit(" "))).otherwise(plain)
+
+
+def _state_after(plain: Column, inside: bool, delimiter: str, quote: str) -> Column:
     """A quote opens a value at its first character, and the next quote closes it; anywhere else a quote is a character.
 
     So a quote behind a delimiter turns the state round, and any other leaves it outside: only the quotes behind delimiters that
-    follow the last other one count. No step depends on the number of fields.
+    follow the last other one count. No step depends on the number of fields, and mostly the line's last quote decides.
     """
-    plain = F.replace(text, F.lit(escape * 2), F.lit("")) if escape != quote else text
-    plain = F.replace(plain, F.lit(escape + quote), F.lit(""))
-    plain = F.when(F.contains(text, F.lit(escape)), plain).otherwise(text)
-    plain = F.when(F.contains(text, F.lit(TURN)), F.replace(plain, F.lit(TURN), F.lit(" "))).otherwise(plain)
-    told = F.replace(F.concat(F.lit(delimiter), plain), F.lit(delimiter + quote), F.lit(TURN))
+    line, behind = F.concat(F.lit(delimiter), plain), F.lit(delimiter + quote)
+    other_last = ~F.endswith(line, F.concat(behind, F.substring_index(plain, quote, -1)))
+    told = F.replace(line, behind, F.lit(TURN))
     last = F.substring_index(told, quote, -1)
     odd = (F.octet_length(last) - F.octet_length(F.replace(last, F.lit(TURN), F.lit("")))) % 2 == 1
     changed = odd != (F.lit(inside) & ~F.contains(told, F.lit(quote)))
-    return F.when(F.contains(text, F.lit(quote)), changed).otherwise(F.lit(inside))
+    return F.when(~F.contains(plain, F.lit(quote)), F.lit(inside)).when(other_last, F.lit(False)).otherwise(changed)
 
 
 def _after(rows: DataFrame, window: Window) -> DataFrame:
@@ -90,7 +98,7 @@ def located(lines: DataFrame) -> DataFrame:
     and ``_record``, the offset of the record's first line; ``_ends``: no value is open behind the line."""
     inside = Window.partitionBy(FILE, BLOCK).orderBy(PLACE)
     after = _after(lines.select(FILE, BLOCK, PLACE, "_bytes", "_outside", "_inside"), inside).withColumn("_upto", F.sum("_bytes").over(inside))
-    after = write_through(after, "line-states")
+    after = write_packed(after, "line-states")
     whole = after.groupBy(FILE, BLOCK).agg(F.max_by(F.struct("_from_outside", "_from_inside", "_upto"), PLACE).alias("s"))
     whole = whole.select(FILE, BLOCK, F.col("s._from_outside").alias("_outside"), F.col("s._from_inside").alias("_inside"), F.col("s._upto").alias("_size"))
     # One row for each split of a file, in order.
@@ -121,16 +129,16 @@ def merged(lines: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, D
     """
     max_bytes = MAX_RECORD_BYTES if max_bytes is None else max_bytes
     places = located(lines)
-    several = write_through(places.filter(~(F.col("_start") & F.col("_ends"))), "record-lines")
+    several = write_packed(places.filter(~(F.col("_start") & F.col("_ends"))), "record-lines")
     records = several.groupBy(FILE, "_record").agg(F.sum("_bytes").alias("_size"), F.max_by("_ends", "_offset").alias("_closed"))
     good = records.filter(F.col("_closed") & (F.col("_size") <= max_bytes)).select(FILE, "_record")
     told = several.join(good.withColumn("_good", F.lit(True)), [FILE, "_record"], "left").select(FILE, PLACE, "_record", "_offset", "_start", "_bytes", F.coalesce("_good", F.lit(False)).alias("_good"))
-    told = write_through(told, "record-parts")
+    told = write_packed(told, "record-parts")
     small = (told.agg(F.sum("_bytes")).first()[0] or 0) <= MERGED_BYTES
     hint = F.broadcast if small else (lambda df: df)
     parts = lines.select(FILE, PLACE, "_text").join(hint(told.filter("_good")), [FILE, PLACE])
     whole = parts.groupBy(FILE, "_record").agg(F.array_sort(F.collect_list(F.struct("_offset", "_text"))).alias("_parts"), F.min_by(PLACE, "_offset").alias(PLACE))
-    whole = write_through(whole.select(FILE, PLACE, F.array_join(F.col("_parts._text"), "\n").alias("_whole")), "records")
+    whole = write_packed(whole.select(FILE, PLACE, F.array_join(F.col("_parts._text"), "\n").alias("_whole")), "records")
     rest = told.filter("not (_good and _start)").select(FILE, PLACE, "_good", "_offset")
     joined = lines.join(hint(whole), [FILE, PLACE], "left").join(hint(rest), [FILE, PLACE], "left")
     # Not started by themselves, and not lines that a record could not be made of.

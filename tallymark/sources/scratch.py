@@ -55,11 +55,16 @@ def run_scratch(spark: SparkSession) -> Iterator[str]:
         files.remove(spark, folder)
 
 
-def write_through(df: DataFrame, name: str) -> DataFrame:
+def write_through(df: DataFrame, name: str, *, compression: str | None = None) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
     Unlike a cached DataFrame the table outlives lost executors, is read by column, and gives the planner its true size.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_packed(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`write_through`, for tables of texts that cost more to move than to compress."""
+    return write_through(df, name, compression="zstd")

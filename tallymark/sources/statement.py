@@ -12,7 +12,7 @@ from tallymark.operators.prepare import assign_row_id, drop_empty_key
 from tallymark.sources import records
 from tallymark.sources.layouts import LAYOUTS, Layout
 from tallymark.sources.records import BLOCK, FILE, PLACE
-from tallymark.sources.scratch import write_through
+from tallymark.sources.scratch import write_packed
 
 UNKNOWN_LAYOUT = "none"
 SPLIT = (FILE, BLOCK)  # one input split of one file; the order of splits is the order of the file
@@ -130,7 +130,7 @@ def stage(
         lines = drop_empty_key(lines, layout.key) if layout.drop_empty_key else lines
         return Staged(assign_row_id(lines, layout.line_id, segment=SPLIT), spark.createDataFrame([], REJECTED), 0)
     lines = records.physical_lines(spark, paths, delimiter=layout.delimiter, **reading)
-    parts = write_through(records.splits(lines), "splits")
+    parts = write_packed(records.splits(lines), "splits")
     total = parts.agg(F.sum("_opens").alias("opens"), F.countDistinct(FILE).alias("files")).first()
     # The first line of each file is its header, whatever it holds.
     header = parts.groupBy(FILE).agg(F.min_by("_first", BLOCK).alias(PLACE))

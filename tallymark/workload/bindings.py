@@ -5,7 +5,7 @@ Each relation is one SELECT that Spark and DuckDB both understand. ``{name}`` st
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -178,9 +178,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _once(spark, path, make=lambda: spark.read.parquet(path))
 
 
-def bind(spark: SparkSession, sf_dir: str, select: str) -> DataFrame:
-    """A relation over the parquet tables it names."""
-    return spark.sql(select, **{t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in select})
+def bind(spark: SparkSession, sf_dir: str, select: str, order: Sequence[str] = ()) -> DataFrame:
+    """A relation over the parquet tables it names. ``order``, of a single table's columns: its rows are sorted while they are narrow."""
+    tables = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in select}
+    return spark.sql(select, **{t: rows.orderBy(*order) if order else rows for t, rows in tables.items()})
 
 
 def ledger(spark: SparkSession, sf_dir: str, layout: Layout, authorizations: str | None = None) -> Ledger:
@@ -193,17 +194,17 @@ def ledger(spark: SparkSession, sf_dir: str, layout: Layout, authorizations: str
     return _once(spark, sf_dir, "ledger", kind, make=make)
 
 
-def numbered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_lineitem(spark: SparkSession, sf_dir: str, *, ordered: bool = False) -> DataFrame:
     """The lines of the day-matched layout, numbered over the whole table.
 
     The rows are numbered and written once per application, as a statement is staged once and then read by export and
-    statistics. The layout's texts are made when they are read.
+    statistics. The layout's texts are made when they are read, and behind the sort of ``ordered`` lines.
     """
 
     def make() -> DataFrame:
         rows = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
-        numbered = assign_row_id(rows, TRANSACCIONES.line_id, order_by=LINEITEM_COLUMNS)
-        line_id = {TRANSACCIONES.line_id: TRANSACCIONES.line_id}
-        return spark.sql(_select(TRANSACCIONES_VALUES, "rows", **line_id), rows=numbered)
+        return assign_row_id(rows, TRANSACCIONES.line_id, order_by=LINEITEM_COLUMNS)
 
-    return _once(spark, sf_dir, "numbered", make=make)
+    numbered = _once(spark, sf_dir, "numbered", make=make)
+    line_id = {TRANSACCIONES.line_id: TRANSACCIONES.line_id}
+    return spark.sql(_select(TRANSACCIONES_VALUES, "rows", **line_id), rows=numbered.orderBy(TRANSACCIONES.line_id) if ordered else numbered)

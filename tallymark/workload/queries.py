@@ -52,12 +52,11 @@ def route_layout_(spark, sf_dir):
     return names.select("event_id", "file_name", route_layout(F.col("file_name")).alias("layout"))
 
 
-def _write(spark: SparkSession, rows: DataFrame, order: list[str], layout: Layout) -> str:
-    """Write a statement in the layout's file format, in order and in several files; its folder."""
+def _write(spark: SparkSession, rows: DataFrame, layout: Layout) -> str:
+    """Write a statement, whose rows are in order, in the layout's file format and in several files; its folder."""
     path = scratch_path(spark, f"statement-{layout.name}")
     (
-        rows.orderBy(*order)
-        .select(*layout.columns)
+        rows.select(*layout.columns)
         .write.option("header", True)
         .option("sep", layout.delimiter)
         .option("encoding", "ISO-8859-1")
@@ -68,23 +67,23 @@ def _write(spark: SparkSession, rows: DataFrame, order: list[str], layout: Layou
     return path
 
 
-def _write_and_load(spark: SparkSession, rows: DataFrame, order: list[str], layout: Layout) -> DataFrame:
-    return stage_statement(spark, _write(spark, rows, order, layout), layout)
+def _write_and_load(spark: SparkSession, rows: DataFrame, layout: Layout) -> DataFrame:
+    return stage_statement(spark, _write(spark, rows, layout), layout)
 
 
 @query
 def load_statement_pmc(spark, sf_dir):
-    return _write_and_load(spark, b.bind(spark, sf_dir, b.PMC_LINES), ["id"], PMC)
+    return _write_and_load(spark, b.bind(spark, sf_dir, b.PMC_LINES, ["event_id"]), PMC)
 
 
 @query
 def load_statement_mpos(spark, sf_dir):
-    return _write_and_load(spark, b.bind(spark, sf_dir, b.MPOS_LINES), ["id"], MPOS)
+    return _write_and_load(spark, b.bind(spark, sf_dir, b.MPOS_LINES, ["event_id"]), MPOS)
 
 
 @query
 def load_statement_transacciones(spark, sf_dir):
-    return _write_and_load(spark, b.numbered_lineitem(spark, sf_dir), [TRANSACCIONES.line_id], TRANSACCIONES)
+    return _write_and_load(spark, b.numbered_lineitem(spark, sf_dir, ordered=True), TRANSACCIONES)
 
 
 def _write_odd(spark: SparkSession, rows: DataFrame, layout: Layout) -> str:
@@ -97,27 +96,26 @@ def _write_odd(spark: SparkSession, rows: DataFrame, layout: Layout) -> str:
     # The first row of each file stands behind the file's header.
     first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
     text = F.concat(F.when(first, F.lit(layout.delimiter.join(layout.columns) + "\n")).otherwise(F.lit("")), "line")
-    ordered = rows.select("id", line.alias("line")).orderBy("id")
-    ordered.select(F.encode(text, "ISO-8859-1").cast("string").alias("value")).write.text(path)
+    rows.select(line.alias("line")).select(F.encode(text, "ISO-8859-1").cast("string").alias("value")).write.text(path)
     return path
 
 
 @query
 def load_odd_pmc(spark, sf_dir):
-    rows = b.bind(spark, sf_dir, b.PMC_ODD_LINES)
+    rows = b.bind(spark, sf_dir, b.PMC_ODD_LINES, ["event_id"])
     return stage_statement(spark, _write_odd(spark, rows, PMC), PMC)
 
 
 @query
 def load_odd_mpos(spark, sf_dir):
-    rows = b.bind(spark, sf_dir, b.MPOS_ODD_LINES)
+    rows = b.bind(spark, sf_dir, b.MPOS_ODD_LINES, ["event_id"])
     return stage_statement(spark, _write_odd(spark, rows, MPOS), MPOS)
 
 
 @query
 def rejected_records(spark, sf_dir):
     """Records with another number of fields than their layout has; where they are in their files depends on how these were written."""
-    staged = stage(spark, _write_odd(spark, b.bind(spark, sf_dir, b.MPOS_ODD_LINES), MPOS), MPOS)
+    staged = stage(spark, _write_odd(spark, b.bind(spark, sf_dir, b.MPOS_ODD_LINES, ["event_id"]), MPOS), MPOS)
     return staged.rejected.select("reason", "loaded", F.element_at(F.split("record", ","), -1).alias("last_field"), F.substring_index("record", ",", 1).alias("RUC"))
 
 
@@ -298,7 +296,7 @@ def unmatched_padding(spark, sf_dir):
 @query
 def null_default_export(spark, sf_dir):
     ledger = b.ledger(spark, sf_dir, MPOS)
-    return lookup.enrich(ledger.autorizacion, ledger).select("id", *common.ledger_texts(MPOS))
+    return lookup.enrich(ledger.autorizacion, ledger, by_id=True).select("id", *common.ledger_texts(MPOS))
 
 
 @query
@@ -374,10 +372,10 @@ def export_trx_merchant_id(spark, sf_dir):
 def _run(spark: SparkSession, sf_dir: str, layout: Layout) -> tuple[DataFrame, DataFrame]:
     """Export and log of a run; the statement's folder has the layout's name in its own."""
     if layout is TRANSACCIONES:
-        rows, order = b.numbered_lineitem(spark, sf_dir), [TRANSACCIONES.line_id]
+        rows = b.numbered_lineitem(spark, sf_dir, ordered=True)
     else:
-        rows, order = b.bind(spark, sf_dir, b.PMC_LINES if layout is PMC else b.MPOS_LINES), ["id"]
-    path, out = _write(spark, rows, order, layout), scratch_path(spark, f"run-{layout.name}")
+        rows = b.bind(spark, sf_dir, b.PMC_LINES if layout is PMC else b.MPOS_LINES, ["event_id"])
+    path, out = _write(spark, rows, layout), scratch_path(spark, f"run-{layout.name}")
     name = path.rsplit("/", 1)[-1]
     reconcile(spark, path, b.ledger(spark, sf_dir, layout), out)
     header = ", ".join(f"`{c}` string" for c in layout.header)
