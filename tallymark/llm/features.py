@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import held_out
 
 REMEMBERED, ALL_REMEMBERED = 300_000, 600_000
+LEFT_BEHIND = 100_000  # so much of other memories goes when one is begun
 EDGES = ".,;:!?\"'()[]{}<>«»“”‘’…*#%&$@-–—_/\\|~^+="
 
 
@@ -55,7 +56,7 @@ def uncollected(function):
 
 class Memory(dict):
     """What a Python worker remembers across tasks. All memories of a worker together have a bound: one that needs room
-    empties the others, which belong to other steps of a job."""
+    empties the others, which belong to other steps of a job. So does one that is begun, of what a step before it left behind."""
 
     _all: list[weakref.ref] = []
 
@@ -66,7 +67,7 @@ class Memory(dict):
     def make_room(self) -> None:
         Memory._all[:] = [r for r in Memory._all if r() is not None]
         memories = [r() for r in Memory._all]
-        if sum(map(len, memories)) > ALL_REMEMBERED:
+        if sum(map(len, memories)) > (ALL_REMEMBERED if self else LEFT_BEHIND):
             for other in memories:
                 if other is not self:
                     other.clear()
@@ -82,7 +83,7 @@ class Remembered(Memory):
     def __missing__(self, key):
         value = self.function(key)
         self.made += 1
-        if self.made % 10_000 == 0:
+        if self.made % 10_000 == 0 or not self:
             self.make_room()
         if len(self) >= REMEMBERED:
             self.clear()
