@@ -7,11 +7,12 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,12 +23,11 @@ from tallymark.sources.scratch import scratch_path
 
 END_ID = 1
 SHARD_IDS = 4 << 20  # a shard is closed at the first document end from here on
-CACHED_PIECES = 500_000
-LONGEST_CACHED = 48
 WORD_END = "</w>"  # how the vocabulary marks a word's last token
-BEYOND_LATIN = re.compile("[^\x00-\u024f]")  # up to there lower case is the same in every library
+BEYOND_LATIN = "[^\x01-\u012f\u0131-\u024f]"  # up to there lower case is the same in every library, but that of one letter
 ADDED = "<|"  # how tokens begin that are looked for before anything is lower-cased
-PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
+PLAIN, MARKS = "^[a-zß-öø-ÿ]+$", ".,;:!?"
+LETTERS = "".join(c for c in map(chr, range(256)) if re.match(PLAIN, c))
 TOTAL_ROW_BYTES = 32
 MAGIC = b"TMEF"
 HEADER = struct.Struct("<4sBBHQQQQ")  # magic, version, bytes of an id, low bits, documents, ids, bytes of upper bits, select samples
@@ -115,14 +115,22 @@ class Shard:
         return self.bounds.values()
 
 
+def gathered(values: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """``values`` holds runs of ``lengths`` side by side; the runs ``which`` in a row."""
+    starts, taken = np.cumsum(lengths) - lengths, lengths[which]
+    places = np.repeat(starts[which] - (np.cumsum(taken) - taken), taken)
+    places += np.arange(len(places))
+    return values[places]
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, piece by piece between blanks and line ends.
 
     The vocabulary drops white space and lower-cases, and no token, normalisation or special token reaches across a blank,
     so the pieces' ids in a row are the text's ids. A plain word (small Latin letters) and the sentence marks behind it
     are pieces of their own; normalising and splitting change nothing about plain words, so a copy of the tokenizer that
-    leaves these steps out encodes them, many at once: each word's last token says that it ends a word. Frequent pieces are
-    remembered.
+    leaves these steps out encodes them, many at once: each word's last token says that it ends a word. Texts are taken many
+    at once: each piece of theirs is encoded once, and nothing is remembered beyond them.
     """
 
     def __init__(self, definition: str):
@@ -136,57 +144,63 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith(WORD_END)
-        self.known: dict[str, bytes] = Memory()
-        self.end = np.array([END_ID], self.dtype).tobytes()
 
-    @uncollected
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        lowered = [text if ADDED in text or BEYOND_LATIN.search(text) else text.lower() for text in (text or "" for text in texts)]
-        split = [text.replace("\n", " ").split(" ") for text in lowered]
-        known = self.known
-        every = set().union(*split)
-        new = [piece for piece in every if piece not in known]
-        if len(known) + 2 * len(new) > CACHED_PIECES:
-            known.clear()
-            new = list(every)
-        known.make_room()
-        self._learn(new)
-        packed = [b"".join([*map(known.__getitem__, pieces), self.end]) for pieces in split]
-        for piece in new:
-            if len(piece) > LONGEST_CACHED:
-                del known[piece]
-        return packed
-
-    def _learn(self, pieces: list[str]) -> None:
-        known, parts, others, words = self.known, [], [], set()
-        for piece in pieces:
-            m = PLAIN.fullmatch(piece)
-            if m is None:
-                others.append(piece)
-            else:
-                words.add(m[1])
-                if m[2]:
-                    parts.append((piece, m[1], m[2]))
-        words = [word for word in words if word not in known]
-        others += {marks for _, _, marks in parts if marks not in known}
-        known.update((o, np.array(e.ids, self.dtype).tobytes()) for o, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)))
+        ids, bounds = self.encode_all(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+
+    @uncollected
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, each text with its ``END_ID``, and where each begins, with one more entry than there are texts."""
+        texts = pc.fill_null(texts, "")
+        as_it_is = pc.or_(pc.match_substring(texts, ADDED), pc.match_substring_regex(texts, BEYOND_LATIN))
+        lowered = pc.if_else(as_it_is, texts, pc.utf8_lower(texts))
+        split = pc.split_pattern(pc.replace_substring(lowered, "\n", " "), " ")
+        found = split.flatten().dictionary_encode()
+        ids, lengths = self._pieces(found.dictionary)
+        ids, lengths = np.append(ids, self.dtype.type(END_ID)), np.append(lengths, 1)
+        ends = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))
+        pieces = np.insert(found.indices.to_numpy(), ends, len(lengths) - 1)
+        bounds = np.cumsum(lengths[pieces])[ends + np.arange(len(ends))]
+        return gathered(ids, lengths, pieces), np.concatenate([np.zeros(1, np.int64), bounds])
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different pieces side by side, and how many each has. A piece is a word and the marks behind it, or something else and nothing."""
+        cores = pc.utf8_rtrim(pieces, characters=MARKS)
+        plain = pc.match_substring_regex(cores, PLAIN)
+        words = pc.filter(cores, plain).dictionary_encode()
+        marks = pc.utf8_ltrim(pc.filter(pieces, plain), characters=LETTERS).dictionary_encode()
+        others = pc.filter(pieces, pc.invert(plain)).to_pylist()
+        word_ids, word_lengths = self._words(words.dictionary.to_pylist())
+        encoded = self._ids(self.tokenizer, ["", *others, *marks.dictionary.to_pylist()], 10_000)
+        lengths = np.concatenate([word_lengths, np.fromiter(map(len, encoded), np.int64, len(encoded))])
+        nothing = len(words.dictionary)
+        parts, is_word = np.full((len(pieces), 2), nothing), plain.to_numpy(zero_copy_only=False)
+        parts[is_word, 0] = words.indices.to_numpy()
+        parts[is_word, 1] = nothing + 1 + len(others) + marks.indices.to_numpy()
+        parts[~is_word, 0] = nothing + 1 + np.arange(len(others))
+        ids = np.concatenate([word_ids, *encoded])
+        return gathered(ids, lengths, parts.ravel()), lengths[parts].sum(1)
+
+    def _ids(self, tokenizer, texts: list[str], at_once: int) -> list[np.ndarray]:
+        """What the library tells of a token besides its id takes more than the texts do, so it is dropped soon."""
+        parts = (texts[at : at + at_once] for at in range(0, len(texts), at_once))
+        return [np.array(e.ids, self.dtype) for part in parts for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lines = [" ".join(words[at : at + 100]) for at in range(0, len(words), 100)]
-        ids = [e.ids for e in self.plain.encode_batch_fast(lines, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), self.dtype)
-        bounds = ((np.flatnonzero(self.ends[flat]) + 1) * self.dtype.itemsize).tolist()
+        flat = np.concatenate([np.zeros(0, self.dtype), *self._ids(self.plain, lines, 100)])
+        bounds = np.flatnonzero(self.ends[flat]) + 1
         if len(bounds) != len(words):
             raise ValueError("a plain word is not one piece of the tokenizer")
-        data = flat.tobytes()
-        known.update((word, data[a:b]) for word, a, b in zip(words, [0, *bounds], bounds))
-        for piece, word, marks in parts:
-            known[piece] = known[word] + known[marks]
+        return flat, np.diff(bounds, prepend=0)
 
 
 _ENCODERS: dict[int, Encoder] = {}
 
 
 def encoder(definition: str) -> Encoder:
-    """One per Python worker, so what it remembers serves all its tasks."""
+    """One per Python worker, as it takes a while to build."""
     key = zlib.crc32(definition.encode())
     if key not in _ENCODERS:
         _ENCODERS.clear()
@@ -195,7 +209,20 @@ def encoder(definition: str) -> Encoder:
 
 
 SHARD_SCHEMA = "part int, shard int, first_id long, documents long, ids long, doc_ids array<long>, blob binary"
+SHARD_ARROW = pa.schema(
+    [("part", pa.int32()), ("shard", pa.int32()), ("first_id", pa.int64()), ("documents", pa.int64()), ("ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("blob", pa.binary())]
+)
 TEXTS_AT_ONCE = 512
+TEXT_BYTES = 4 << 20  # about so much text is encoded at once, by one text over it at most
+
+
+def runs_of_texts(keys: pa.Array, texts: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """All rows, in runs of about ``TEXT_BYTES``."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // TEXT_BYTES)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield keys.slice(a, b - a), texts.slice(a, b - a)
 
 
 def write_tokens(docs: DataFrame, path: str, definition: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -209,33 +236,32 @@ def write_tokens(docs: DataFrame, path: str, definition: str, id_col: str = "doc
     ship(spark)
     shared = spark.sparkContext.broadcast(definition)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memory().make_room()
         encode, part = encoder(shared.value), TaskContext.get().partitionId()
         shard, first = 0, 0
         doc_ids: list[int | None] = []
-        packed: list[bytes] = []
+        packed: list[np.ndarray] = []
         held = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal shard, first, held
-            ids = np.frombuffer(b"".join(packed), encode.dtype)
-            offsets = np.cumsum([0, *(len(p) // encode.dtype.itemsize for p in packed)])
-            row = pd.DataFrame(
-                {"part": [part], "shard": [shard], "first_id": [first], "documents": [len(packed)], "ids": [len(ids)], "doc_ids": [list(doc_ids)], "blob": [pack_shard(ids, offsets)]}
-            )
+            ids = np.concatenate(packed)
+            offsets = np.cumsum([0, *map(len, packed)])
+            row = {"part": part, "shard": shard, "first_id": first, "documents": len(packed), "ids": len(ids), "doc_ids": doc_ids, "blob": pack_shard(ids, offsets)}
+            row = pa.RecordBatch.from_pylist([row], SHARD_ARROW)
             shard, first, held = shard + 1, first + len(ids), 0
             doc_ids.clear()
             packed.clear()
             return row
 
         for batch in batches:
-            keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
-            texts = batch["text"].tolist()
-            for at in range(0, len(texts), TEXTS_AT_ONCE):
-                for key, ids in zip(keys[at : at + TEXTS_AT_ONCE], encode.encode(texts[at : at + TEXTS_AT_ONCE])):
+            for keys, texts in runs_of_texts(batch.column("doc_id"), batch.column("text")):
+                ids, bounds = encode.encode_all(texts)
+                for key, a, b in zip(keys.to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
                     doc_ids.append(key)
-                    packed.append(ids)
-                    held += len(ids) // encode.dtype.itemsize
+                    packed.append(ids[a:b])
+                    held += b - a
                     if held >= SHARD_IDS:
                         yield flush()
         if packed:
@@ -244,7 +270,7 @@ def write_tokens(docs: DataFrame, path: str, definition: str, id_col: str = "doc
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ranged = ordered.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    ranged.mapInPandas(pack, SHARD_SCHEMA).write.mode("overwrite").parquet(path)
+    ranged.mapInArrow(pack, SHARD_SCHEMA).write.mode("overwrite").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
