@@ -7,9 +7,10 @@ import gc
 import re
 import weakref
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from tallymark.llm.common import held_out
 
 REMEMBERED, ALL_REMEMBERED = 300_000, 600_000
 LEFT_BEHIND = 100_000  # so much of other memories goes when one is begun
+PART_ROWS = 256  # rows of an Arrow batch whose texts are Python strings at once
 EDGES = ".,;:!?\"'()[]{}<>«»“”‘’…*#%&$@-–—_/\\|~^+="
 
 
@@ -54,6 +56,16 @@ def uncollected(function):
     return run
 
 
+def in_parts(batches: Iterable[pa.RecordBatch | pa.Array]) -> Iterator[pa.RecordBatch | pa.Array]:
+    """All rows of Arrow batches in order, ``PART_ROWS`` at a time: a task's texts are often one batch, and as Python strings they would
+    stand beside it. When the batches end, the worker, which outlives the task, gives back what Arrow holds free."""
+    for batch in batches:
+        for at in range(0, len(batch), PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+    batch = None
+    pa.default_memory_pool().release_unused()
+
+
 class Memory(dict):
     """What a Python worker remembers across tasks. All memories of a worker together have a bound: one that needs room
     empties the others, which belong to other steps of a job. So does one that is begun, of what a step before it left behind."""

@@ -7,13 +7,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import bounded, components, ship, table
-from tallymark.llm.features import Remembered
+from tallymark.llm.features import Remembered, in_parts
 from tallymark.sources.scratch import write_through
 
 SHINGLE = 5
@@ -144,16 +144,20 @@ def links_within(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, in
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, _hash, n_shingles, key_a, key_b, bands`` of every row of ``docs``; texts without words have no bands."""
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_parts(batches):
+            sizes, keys, found_bands = [], [], []
+            for text in part["text"].to_pylist():
                 found = shingles(text)
-                rows.append((len(found), *set_key(found), bands(signature(found)) if len(found) else []))
-            yield pd.DataFrame(rows, columns=["n_shingles", "key_a", "key_b", "bands"]).assign(doc_id=batch["doc_id"].to_numpy(), _hash=batch["_hash"].to_numpy())
+                sizes.append(len(found))
+                keys.append(set_key(found))
+                found_bands.append(bands(signature(found)) if len(found) else [])
+            columns = [sizes, [a for a, _ in keys], [b for _, b in keys]]
+            made = [*(pa.array(c, pa.int64()) for c in columns), pa.array(found_bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*made, part["doc_id"], part["_hash"]], ["n_shingles", "key_a", "key_b", "bands", "doc_id", "_hash"])
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "text")
-    return rows.mapInPandas(of, "n_shingles long, key_a long, key_b long, bands array<long>, doc_id long, _hash long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_hash"), "text")
+    return rows.mapInArrow(of, "n_shingles long, key_a long, key_b long, bands array<long>, doc_id long, _hash long")
 
 
 def candidate_groups(classes: DataFrame) -> DataFrame:
@@ -183,30 +187,31 @@ def blocks(groups: DataFrame, classes: DataFrame) -> DataFrame:
 def verified_links(docs: DataFrame, members: DataFrame) -> DataFrame:
     """Links (a, b) between classes, found block by block from the classes' whole texts."""
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, sides, sets = None, [], [], []
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             found = links_within(sets, np.array(sides)) if len(ids) > 1 and (key[1] == key[2] or len(set(sides)) > 1) else []
-            return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
+            ends = [ids[i] for i, _ in found], [ids[j] for _, j in found]
+            return pa.RecordBatch.from_arrays([pa.array(end, pa.int64()) for end in ends], ["a", "b"])
 
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                if (here := (row.component, row.first, row.second)) != key:
+        for part in in_parts(batches):
+            for component, first, second, side, key_a, text in zip(*(column.to_pylist() for column in part.columns)):
+                if (here := (component, first, second)) != key:
                     if key is not None:
                         yield close()
                     key, ids, sides, sets = here, [], [], []
-                found = shingles(row.text)
-                if set_key(found)[0] == row.key_a:  # not another row that repeats the id
-                    ids.append(row.key_a)
-                    sides.append(row.side)
+                found = shingles(text)
+                if set_key(found)[0] == key_a:  # not another row that repeats the id
+                    ids.append(key_a)
+                    sides.append(side)
                     sets.append(found)
         if key is not None:
             yield close()
 
     texts = docs.select(F.col("doc_id").alias("class_id"), "text").join(bounded(members, MEMBER_BYTES), "class_id")
     dealt = texts.repartition("component", "first", "second").sortWithinPartitions("component", "first", "second", "class_id")
-    return dealt.select("component", "first", "second", "side", "class_id", "key_a", "text").mapInPandas(compare, "a long, b long")
+    return dealt.select("component", "first", "second", "side", "key_a", "text").mapInArrow(compare, "a long, b long")
 
 
 def _linked(docs: DataFrame) -> DataFrame:

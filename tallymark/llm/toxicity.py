@@ -12,12 +12,13 @@ from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import held_out, ship, table
 from tallymark.sources.scratch import write_through
-from tallymark.llm.features import EDGES, Remembered, bucket, labelled_sample, logistic, rows_of, uncollected
+from tallymark.llm.features import EDGES, Remembered, bucket, in_parts, labelled_sample, logistic, rows_of, uncollected
 
 MAX_MINED = 16_000  # labelled rows that lexicons are mined from, on the executors
 MAX_LABELLED = 6_000  # labelled rows whose features the classifier is trained on, on the driver
@@ -251,12 +252,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_mined: int = MAX_MINED, max_labe
     model = Toxicity(mined_lexicon(sample))
     shared = spark.sparkContext.broadcast(model)
 
-    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            counted = Counter(shared.value.votes(text) for text in batch["text"])
-            yield pd.DataFrame({"votes": list(counted), "documents": list(counted.values())})
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted = Counter(shared.value.votes(text) for part in in_parts(batches) for text in part["text"].to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(counted, pa.int32()), pa.array(counted.values(), pa.int64())], ["votes", "documents"])
 
-    counted = docs.select("text").mapInPandas(vote, "votes int, documents long").groupBy("votes").agg(F.sum("documents").alias("documents")).toPandas().sort_values("votes")
+    counted = docs.select("text").mapInArrow(vote, "votes int, documents long").groupBy("votes").agg(F.sum("documents").alias("documents")).toPandas().sort_values("votes")
     prior = sample.agg(F.avg("label")).first()[0]
     model.posterior, model.accuracies, model.correlations = label_model(
         counted["votes"].to_numpy(np.int64), counted["documents"].to_numpy(float), min(0.5, max(0.01, prior if prior is not None else 0.1))
@@ -302,11 +302,10 @@ def _scored(docs: DataFrame, model: Toxicity, kept: list[str]) -> DataFrame:
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        every = texts.tolist()
-        parts = [shared.value.score(every[at : at + 256]) for at in range(0, len(every), 256)]
-        return pd.Series(np.concatenate(parts) if parts else [], dtype=float)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [shared.value.score(part.to_pylist()) for part in in_parts([texts])]
+        return pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
     return docs.select(*kept, score("text").alias("_score"))
 
