@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 MAX_FILTER_BYTES = 128 << 20
 BITS_PER_CODE, PROBES = 12, 3  # one row in a hundred of other codes gets through
+LEAST_BITS = 4  # in a filter that is as large as it may be: one row in seven
 WORD, WORDS = 64, 512  # a block is 512 words of 64 bits; all bits of a code are in one block
 BLOCK_BITS = WORD * WORDS
 BLOCK_BYTES = BLOCK_BITS // 8
@@ -20,17 +21,29 @@ def _places(key: Sequence[Column], blocks: int) -> tuple[Column, list[Column]]:
     return block, [F.pmod(F.xxhash64(F.lit(k), *key), F.lit(BLOCK_BITS)).cast("int") for k in range(PROBES)]
 
 
+def _wanted(codes: int, bits: int = BITS_PER_CODE) -> int:
+    return -(-max(1, codes) * bits // BLOCK_BITS)
+
+
 def _blocks(codes: int) -> int:
-    return -(-max(1, codes) * BITS_PER_CODE // BLOCK_BITS)
+    return max(1, min(_wanted(codes), MAX_FILTER_BYTES // BLOCK_BYTES))
 
 
 def filter_fits(codes: int) -> bool:
     """Whether the filter of so many codes stays within ``MAX_FILTER_BYTES``: the size is known before it is made."""
-    return _blocks(codes) * BLOCK_BYTES <= MAX_FILTER_BYTES
+    return _wanted(codes) * BLOCK_BYTES <= MAX_FILTER_BYTES
+
+
+def filter_helps(codes: int) -> bool:
+    """Whether a filter of ``MAX_FILTER_BYTES`` still drops most rows of other codes."""
+    return _wanted(codes, LEAST_BITS) * BLOCK_BYTES <= MAX_FILTER_BYTES
 
 
 def code_filter(keys: DataFrame, count: int) -> DataFrame:
-    """A row for each block, ``_block, _words``, of keys in all columns. Bits are or-ed in the map tasks before they are shuffled."""
+    """A row for each block, ``_block, _words``, of keys in all columns. Bits are or-ed in the map tasks before they are shuffled.
+
+    Of so many codes that ``BITS_PER_CODE`` would make it larger than it may be, each has fewer.
+    """
     block, bits = _places([F.col(c) for c in keys.columns], _blocks(count))
     return _filled(keys.select(block.alias("_block"), F.explode(F.array(*bits)).alias("_bit")))
 

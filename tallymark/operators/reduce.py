@@ -22,6 +22,7 @@ from tallymark.sources.scratch import write_packed
 
 # Statements with more codes ask for more authorizations than are shuffled whole by transaction, state and merchant.
 MANY_BYTES = 10 << 20
+LINE_BYTES = 64
 Lookup = Callable[[DataFrame, Ledger], DataFrame]
 
 
@@ -30,7 +31,7 @@ class Reduced:
     """Ledger side of a statement. Everything is made when it is first asked for, and then once.
 
     How the ledger is reduced depends on the statement's measured codes. Codes that fit a broadcast filter it while it is
-    scanned, and lookup tables are narrowed to what is left. Up to some ten times as many are a filter of a few bits for
+    scanned, and lookup tables are narrowed to what is left. Up to some thirty times as many are a filter of a few bits for
     each code, and what gets through it by chance meets no line. Beyond that the ledger is grouped before it is reduced,
     which keeps the grouping free to split a hot code.
     """
@@ -59,7 +60,7 @@ class Reduced:
     def filtered(self) -> bool:
         """The codes do not, but a filter of them does. Codes under a collation are hashed by no function that Spark offers."""
         plain = self.lines.schema[self.layout.key].dataType == T.StringType()
-        return not self.small and plain and code_filter.filter_fits(self.profile.codes)
+        return not self.small and plain and code_filter.filter_helps(self.profile.codes)
 
     @cached_property
     def matching(self) -> DataFrame:
@@ -108,6 +109,21 @@ class Reduced:
             return self.shown
         return self.picked if self.small and self.ledger is not self.source else self.matching
 
+    @cached_property
+    def matched(self) -> DataFrame:
+        """Of a statement matched by code and day, the narrow rows of the lines that match; a table read by the export and the
+        statistics of a run, unless they are few."""
+        # What is shown has one row per code and day, and copies would do a semi join no good.
+        days = self.shown.select("codigo_unico_adq", "auth_day") if self.write_shown else match.code_days(self.codes)
+        same = (F.col("_key") == F.col("codigo_unico_adq")) & (F.col("_day") == F.col("auth_day"))
+        rows = self.profile.keyed.join(days, same, "left_semi")
+        return rows if self.few_lines or not self.write_shown else write_packed(rows, "matched-lines")
+
+    @property
+    def few_lines(self) -> bool:
+        """A narrow row of every line fits a broadcast."""
+        return self.profile.lines * LINE_BYTES <= match.MAX_BROADCAST_BYTES
+
     @cached_property
     def shown(self) -> DataFrame:
         """``picked`` with all lookups: what export rows show. Their chain is walked by ids alone where much is shuffled."""

@@ -9,14 +9,14 @@ from tallymark.functions.columns import null_default
 from tallymark.operators import code_filter, match
 from tallymark.operators.lookup import eligible_authorizations, with_signatures
 from tallymark.operators.prepare import own_number, statement_of
-from tallymark.operators.reduce import Reduced
+from tallymark.operators.reduce import LINE_BYTES, Reduced
 from tallymark.plans.common import file_columns, ledger_texts, metric_rows
 from tallymark.sources.layouts import MERCHANT_ID_V4, TRANSACCIONES
 from tallymark.sources.ledger import Ledger
 from tallymark.sources.scratch import write_packed
 
 LINE_ID = TRANSACCIONES.line_id
-LINE_BYTES, SHOWN_BYTES = 64, 512
+SHOWN_BYTES = 512
 
 
 def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduced:
@@ -24,13 +24,6 @@ def reduced(lines: DataFrame, ledger: Ledger, *, shared: bool = False) -> Reduce
     return Reduced(lines, ledger, TRANSACCIONES, eligible=eligible_authorizations, extra=with_signatures, write_shown=shared)
 
 
-def _matched(found: Reduced) -> DataFrame:
-    """Narrow rows of the lines that match, ``_line, _key, _day, _id, _lines``, and of which statement, if they are of several."""
-    days = match.code_days(found.codes)
-    same = (F.col("_key") == F.col("codigo_unico_adq")) & (F.col("_day") == F.col("auth_day"))
-    return found.profile.keyed.join(days, same, "left_semi")
-
-
 def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = False) -> DataFrame:
     """Lines that match, of each code and acquirer id the first, with what the ledger shows for them; and lines that do not match, with NULLs.
 
@@ -40,14 +33,15 @@ def joined_lines(lines: DataFrame, found: Reduced, *, keep_duplicates: bool = Fa
     with the ledger. The ledger side has one row per code and day, so it cannot multiply lines.
     """
     of = statement_of(lines)
-    matched = _matched(found).select(*of, "_line", "_key", "_day", "_id")
+    matched = found.matched.select(*of, "_line", "_key", "_day", "_id")
     shown = found.shown.withColumnRenamed("id", "_authorization_id")
-    if found.profile.lines * LINE_BYTES <= match.MAX_BROADCAST_BYTES and found.shown.count() * SHOWN_BYTES <= match.MAX_BROADCAST_BYTES:
+    if found.few_lines and found.shown.count() * SHOWN_BYTES <= match.MAX_BROADCAST_BYTES:
         first = F.min("_line").over(Window.partitionBy(*of, "_key", "_id"))
         settled = matched.select("_line", F.col("_key").alias("_code"), F.col("_day").alias("_on"), (F.lit(keep_duplicates) | (F.col("_line") == first)).alias("_stays"))
         told = lines.join(F.broadcast(settled), F.col(LINE_ID) == F.col("_line"), "left").filter("_stays is null or _stays")
         return told.join(F.broadcast(shown), (F.col("_code") == F.col("codigo_unico_adq")) & (F.col("_on") == F.col("auth_day")), "left")
-    matched = write_packed(matched, "matched-lines")
+    if found.few_lines or not found.write_shown:
+        matched = write_packed(matched, "matched-lines")
     few = matched.count() * LINE_BYTES <= match.MAX_BROADCAST_BYTES
 
     def numbered(rows: DataFrame, how: str) -> DataFrame:
@@ -96,7 +90,7 @@ def statistics(lines: DataFrame, ledger: Ledger, found: Reduced | None = None) -
     """
     found = found or reduced(lines, ledger)
     of = statement_of(lines)
-    groups = _matched(found).groupBy(*of, "_key", "_id").agg(F.sum("_lines").alias("lines"))
+    groups = found.matched.groupBy(*of, "_key", "_id").agg(F.sum("_lines").alias("lines"))
     total, matched = F.lit(found.profile.lines), F.coalesce(F.sum("lines"), F.lit(0))
     if of:
         # A row for each statement that tells its lines, since one without a match is in no group.

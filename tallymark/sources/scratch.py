@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -14,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallymark.sources import files
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+_writing = threading.Lock()
+_writers: dict[object, tuple[int, str]] = {}  # of a session: threads that write just now, and its setting before
 
 
 @functools.cache
@@ -55,13 +59,47 @@ def run_scratch(spark: SparkSession) -> Iterator[str]:
         files.remove(spark, folder)
 
 
+@contextmanager
+def outside_run(folder: str) -> Iterator[None]:
+    """Inside a :func:`run_scratch`, whose folder this is: what is written here goes to where that folder is, and stays."""
+    token = _run_folder.set(folder.rpartition("/")[0])
+    try:
+        yield
+    finally:
+        _run_folder.reset(token)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a table or output that is written here go when it is written. Else they fill the executors' disks until
+    the driver happens to collect its memory; nobody reads them again, since any other use of the rows is a plan of its own.
+
+    The setting is the session's, which other threads may write with.
+    """
+    session = spark._jsparkSession
+    with _writing:
+        count, before = _writers.get(session) or (0, spark.conf.get(CLEAN_SHUFFLES, "false"))
+        _writers[session] = count + 1, before
+        spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _writing:
+            count, before = _writers.pop(session)
+            if count > 1:
+                _writers[session] = count - 1, before
+            else:
+                spark.conf.set(CLEAN_SHUFFLES, before)
+
+
 def write_through(df: DataFrame, name: str, *, compression: str | None = None) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
     Unlike a cached DataFrame the table outlives lost executors, is read by column, and gives the planner its true size.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
