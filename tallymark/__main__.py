@@ -26,6 +26,7 @@ def main() -> None:
     parser.add_argument("--jdbc", action="store_true", help="read the ledger over JDBC; url, user, password and driver are spark.tallymark.jdbc.*")
     parser.add_argument("--keep-duplicates", action="store_true", help="keep matched lines that repeat a code and id")
     parser.add_argument("--collation", help="compare codes by a collation, such as UTF8_LCASE_RTRIM")
+    parser.add_argument("--compression", choices=["gzip"], help="pack the parts of exports")
     parser.add_argument("--charset", default="ISO-8859-1")
     parser.add_argument("--escape", default="\\", help="character that escapes a quote; a quote for doubled ones")
     parser.add_argument("--null", action="append", help="a word that stands for NULL; may be repeated")
@@ -41,6 +42,7 @@ def main() -> None:
         "merchant_id": args.merchant_id,
         "keep_duplicates": args.keep_duplicates,
         "collation": args.collation,
+        "compression": args.compression,
         "charset": args.charset,
         "escape": args.escape,
         "null_tokens": tuple(args.null or ("\\N",)),

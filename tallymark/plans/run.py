@@ -48,6 +48,7 @@ def run(
     merchant_id: bool = False,
     keep_duplicates: bool = False,
     collation: str | None = None,
+    compression: str | None = None,
     **read_options,
 ) -> Run | None:
     """Read, number, match and write one file. A name without a layout is left alone and gives None.
@@ -56,7 +57,8 @@ def run(
     statistics both start from there. Records that are not as the layout says are listed beside the outputs, if there are any.
     Outputs appear together, when all of them are written, the export last and with a manifest; a run that fails leaves those of
     the run before as they are. Tables of the run in the shared folder are removed at its end.
-    ``keep_duplicates`` is for the day-matched layout, ``collation`` compares codes by it. The name is a name, not a pattern.
+    ``keep_duplicates`` is for the day-matched layout, ``collation`` compares codes by it, ``compression`` packs the export's
+    parts. The name is a name, not a pattern.
     """
     name = file.rstrip("/").rsplit("/", 1)[-1]
     layout = layout_for(name)
@@ -72,7 +74,7 @@ def run(
         if collation:
             lines, ledger = collate_keys(lines, ledger, layout, collation)
         found = plan.reduced(lines, ledger, shared=True)
-        write_export(export(lines, ledger, found, **options), written.path(names[0]))
+        write_export(export(lines, ledger, found, **options), written.path(names[0]), compression=compression)
         write_statistics(plan.statistics(lines, ledger, found), written.path(names[1]))
         if staged.rejected_count:
             write_rejected(staged.rejected, written.path(names[2]))
@@ -90,6 +92,7 @@ def run_files(
     merchant_id: bool = False,
     keep_duplicates: bool = False,
     collation: str | None = None,
+    compression: str | None = None,
     **read_options,
 ) -> dict[str, Run | None]:
     """As :func:`run` for each of the files, but those of one layout are read, matched and written together.
@@ -102,7 +105,7 @@ def run_files(
     if len(set(names.values())) < len(names):
         raise ValueError("files of one name would have one output")
     done: dict[str, Run | None] = dict.fromkeys(names)
-    each = {"merchant_id": merchant_id, "keep_duplicates": keep_duplicates, "collation": collation, **read_options}
+    each = {"merchant_id": merchant_id, "keep_duplicates": keep_duplicates, "collation": collation, "compression": compression, **read_options}
     for layout in {layout.name: layout for layout in map(layout_for, names.values()) if layout}.values():
         group = [file for file, name in names.items() if layout_for(name) is layout]
         cut = records.can_cut(read_options.get("charset", "ISO-8859-1"), read_options.get("quote", '"'), layout.delimiter)
@@ -114,7 +117,17 @@ def run_files(
 
 
 def _run_together(
-    spark: SparkSession, group: list[str], layout: Layout, ledger: Ledger, out: str, *, merchant_id: bool, keep_duplicates: bool, collation: str | None, **read_options
+    spark: SparkSession,
+    group: list[str],
+    layout: Layout,
+    ledger: Ledger,
+    out: str,
+    *,
+    merchant_id: bool,
+    keep_duplicates: bool,
+    collation: str | None,
+    compression: str | None,
+    **read_options,
 ) -> dict[str, Run]:
     """Runs of the files of one layout that have lines."""
     plan = PLANS[layout.name]
@@ -129,7 +142,7 @@ def _run_together(
             lines, ledger = collate_keys(lines, ledger, layout, collation)
         found = plan.reduced(lines, ledger, shared=True)
         by = [STATEMENT]
-        write_export(export(lines, ledger, found, **options), written.path("exports"), by=by)
+        write_export(export(lines, ledger, found, **options), written.path("exports"), by=by, compression=compression)
         write_statistics(plan.statistics(lines, ledger, found), written.path("statistics"), by=by)
         lost = {}
         if staged.rejected_count:

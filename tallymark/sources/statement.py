@@ -12,7 +12,7 @@ from tallymark.operators.prepare import assign_row_id, drop_empty_key
 from tallymark.sources import records
 from tallymark.sources.layouts import LAYOUTS, Layout
 from tallymark.sources.records import BLOCK, FILE, PLACE
-from tallymark.sources.scratch import write_packed
+from tallymark.sources.scratch import outside_run, run_scratch, write_packed
 
 UNKNOWN_LAYOUT = "none"
 SPLIT = (FILE, BLOCK)  # one input split of one file; the order of splits is the order of the file
@@ -129,24 +129,31 @@ def stage(
         lines = read_statement(spark, paths, layout, multi_line=multi_line, null_tokens=null_tokens, **reading)
         lines = drop_empty_key(lines, layout.key) if layout.drop_empty_key else lines
         return Staged(assign_row_id(lines, layout.line_id, segment=SPLIT), spark.createDataFrame([], REJECTED), 0)
-    lines = records.physical_lines(spark, paths, delimiter=layout.delimiter, **reading)
-    parts = write_packed(records.splits(lines), "splits")
-    total = parts.agg(F.sum("_opens").alias("opens"), F.countDistinct(FILE).alias("files")).first()
-    # The first line of each file is its header, whatever it holds.
-    header = parts.groupBy(FILE).agg(F.min_by("_first", BLOCK).alias(PLACE))
-    few = total["files"] * FILE_BYTES <= records.MERGED_BYTES
-    body, lost, small = records.merged(lines) if total["opens"] else (lines, None, True)
-    body = body.join(F.broadcast(header) if few else header, [FILE, PLACE], "left_anti")
-    if not keep_blank_lines:
-        body = body.filter("_text <> ''")
-    if not (few and small):
-        body = body.repartition(*SPLIT)  # these joins left no split together
-    body = body.sortWithinPartitions(PLACE)  # the order of the files; a table's parts need not be read in theirs
-    numbered = _numbered(body, layout, quote, escape, null_tokens)
-    wrong = numbered.filter("_fields").select(FILE, BLOCK, PLACE, "_record")
-    rejected = _rejected(lines, wrong, lost)
-    count = rejected.count() if lost is not None or not wrong.isEmpty() else 0
     of = [FILE] if keep_file else []
+    # The lines as they were read, several times as large as what is made of them, go as soon as that is written.
+    with run_scratch(spark) as passing:
+        lines = records.physical_lines(spark, paths, delimiter=layout.delimiter, **reading)
+        parts = write_packed(records.splits(lines), "splits")
+        total = parts.agg(F.sum("_opens").alias("opens"), F.countDistinct(FILE).alias("files")).first()
+        # The first line of each file is its header, whatever it holds.
+        header = parts.groupBy(FILE).agg(F.min_by("_first", BLOCK).alias(PLACE))
+        few = total["files"] * FILE_BYTES <= records.MERGED_BYTES
+        body, lost, small = records.merged(lines) if total["opens"] else (lines, None, True)
+        body = body.join(F.broadcast(header) if few else header, [FILE, PLACE], "left_anti")
+        if not keep_blank_lines:
+            body = body.filter("_text <> ''")
+        if not (few and small):
+            body = body.repartition(*SPLIT)  # these joins left no split together
+        body = body.sortWithinPartitions(PLACE)  # the order of the files; a table's parts need not be read in theirs
+        with outside_run(passing):
+            numbered = _numbered(body, layout, quote, escape, null_tokens)
+        wrong = numbered.filter("_fields").select(FILE, BLOCK, PLACE, "_record")
+        rejected, count = spark.createDataFrame([], REJECTED), 0
+        if lost is not None or not wrong.isEmpty():
+            told = _rejected(lines, wrong, lost)
+            with outside_run(passing):
+                rejected = write_packed(told, "rejected")
+            count = rejected.count()
     return Staged(numbered.select(*of, *layout.columns, layout.line_id), rejected, count)
 
 

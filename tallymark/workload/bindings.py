@@ -194,11 +194,18 @@ def ledger(spark: SparkSession, sf_dir: str, layout: Layout, authorizations: str
     return _once(spark, sf_dir, "ledger", kind, make=make)
 
 
-def numbered_lineitem(spark: SparkSession, sf_dir: str, *, ordered: bool = False) -> DataFrame:
+def ordered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the day-matched layout in the order of their numbers, for a file, which holds no numbers. Rows are sorted
+    while they are narrow."""
+    rows = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS).orderBy(*LINEITEM_COLUMNS)
+    return spark.sql(_select(TRANSACCIONES_VALUES, "rows"), rows=rows)
+
+
+def numbered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of the day-matched layout, numbered over the whole table.
 
     The rows are numbered and written once per application, as a statement is staged once and then read by export and
-    statistics. The layout's texts are made when they are read, and behind the sort of ``ordered`` lines.
+    statistics. The layout's texts are made when they are read.
     """
 
     def make() -> DataFrame:
@@ -207,4 +214,4 @@ def numbered_lineitem(spark: SparkSession, sf_dir: str, *, ordered: bool = False
 
     numbered = _once(spark, sf_dir, "numbered", make=make)
     line_id = {TRANSACCIONES.line_id: TRANSACCIONES.line_id}
-    return spark.sql(_select(TRANSACCIONES_VALUES, "rows", **line_id), rows=numbered.orderBy(TRANSACCIONES.line_id) if ordered else numbered)
+    return spark.sql(_select(TRANSACCIONES_VALUES, "rows", **line_id), rows=numbered)

@@ -12,12 +12,13 @@ from tallymark.operators import lookup, match, prepare
 from tallymark.operators.reduce import Reduced
 from tallymark.plans import common, mpos, pmc, transacciones
 from tallymark.plans.run import reconcile
-from tallymark.sinks.export import export_name, statistics_name
+from tallymark.sinks.export import PACKING, export_name, statistics_name
 from tallymark.sources.layouts import MPOS, PMC, TRANSACCIONES, Layout
-from tallymark.sources.scratch import scratch_path
+from tallymark.sources.scratch import scratch_path, shuffles_removed
 from tallymark.sources.statement import route_layout, stage, stage_statement
 from tallymark.workload import bindings as b
 
+PACKED = "gzip"  # texts of statements and exports, which take ten times the disk as they are
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -53,17 +54,19 @@ def route_layout_(spark, sf_dir):
 
 
 def _write(spark: SparkSession, rows: DataFrame, layout: Layout) -> str:
-    """Write a statement, whose rows are in order, in the layout's file format and in several files; its folder."""
+    """Write a statement, whose rows are in order, in the layout's file format and in several packed files; its folder."""
     path = scratch_path(spark, f"statement-{layout.name}")
-    (
+    writer = (
         rows.select(*layout.columns)
         .write.option("header", True)
         .option("sep", layout.delimiter)
         .option("encoding", "ISO-8859-1")
         .option("nullValue", "\\N")
         .option("escape", "\\")
-        .csv(path)
+        .options(compression=PACKED, **PACKING)
     )
+    with shuffles_removed(spark):
+        writer.csv(path)
     return path
 
 
@@ -83,7 +86,7 @@ def load_statement_mpos(spark, sf_dir):
 
 @query
 def load_statement_transacciones(spark, sf_dir):
-    return _write_and_load(spark, b.numbered_lineitem(spark, sf_dir, ordered=True), TRANSACCIONES)
+    return _write_and_load(spark, b.ordered_lineitem(spark, sf_dir), TRANSACCIONES)
 
 
 def _write_odd(spark: SparkSession, rows: DataFrame, layout: Layout) -> str:
@@ -96,7 +99,8 @@ def _write_odd(spark: SparkSession, rows: DataFrame, layout: Layout) -> str:
     # The first row of each file stands behind the file's header.
     first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
     text = F.concat(F.when(first, F.lit(layout.delimiter.join(layout.columns) + "\n")).otherwise(F.lit("")), "line")
-    rows.select(line.alias("line")).select(F.encode(text, "ISO-8859-1").cast("string").alias("value")).write.text(path)
+    with shuffles_removed(spark):
+        rows.select(line.alias("line")).select(F.encode(text, "ISO-8859-1").cast("string").alias("value")).write.text(path)
     return path
 
 
@@ -372,12 +376,12 @@ def export_trx_merchant_id(spark, sf_dir):
 def _run(spark: SparkSession, sf_dir: str, layout: Layout) -> tuple[DataFrame, DataFrame]:
     """Export and log of a run; the statement's folder has the layout's name in its own."""
     if layout is TRANSACCIONES:
-        rows = b.numbered_lineitem(spark, sf_dir, ordered=True)
+        rows = b.ordered_lineitem(spark, sf_dir)
     else:
         rows = b.bind(spark, sf_dir, b.PMC_LINES if layout is PMC else b.MPOS_LINES, ["event_id"])
     path, out = _write(spark, rows, layout), scratch_path(spark, f"run-{layout.name}")
     name = path.rsplit("/", 1)[-1]
-    reconcile(spark, path, b.ledger(spark, sf_dir, layout), out)
+    reconcile(spark, path, b.ledger(spark, sf_dir, layout), out, compression=PACKED)
     header = ", ".join(f"`{c}` string" for c in layout.header)
     export = spark.read.schema(header).option("header", True).option("escape", '"').csv(f"{out}/{export_name(name)}")
     return export.na.fill(""), spark.read.text(f"{out}/{statistics_name(name)}").withColumnRenamed("value", "line")

@@ -23,6 +23,9 @@ def spark():
         "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Some tests look into the list of what ran, which must not lose its head while they do.
+        "spark.sql.ui.retainedExecutions": "50000",
+        "spark.driver.memory": "3g",
     }
     for name, value in settings.items():
         builder = builder.config(name, value)
