@@ -129,5 +129,7 @@ class Reduced:
         """``picked`` with all lookups: what export rows show. Their chain is walked by ids alone where much is shuffled."""
         picked, ledger = self._picked
         rows = self.extra(picked, ledger) if self.extra else picked
-        rows = enrich(rows, ledger, by_id=not self.small or self.profile.code_bytes > MANY_BYTES)
-        return write_packed(rows, "shown") if self.write_shown else rows
+        many = not self.small or self.profile.code_bytes > MANY_BYTES
+        rows = enrich(rows, ledger, by_id=many)
+        # Of many codes a run writes it too: shuffles of its lookups are gone when lines are shuffled and the export is written.
+        return write_packed(rows, "shown") if self.write_shown or many and self.write_matching else rows

@@ -98,11 +98,11 @@ def write_through(df: DataFrame, name: str, *, compression: str | None = None) -
     Unlike a cached DataFrame the table outlives lost executors, is read by column, and gives the planner its true size.
     """
     path = scratch_path(df.sparkSession, name)
-    with shuffles_removed(df.sparkSession):
-        df.write.parquet(path, compression=compression)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_packed(df: DataFrame, name: str) -> DataFrame:
-    """As :func:`write_through`, for tables of texts that cost more to move than to compress."""
-    return write_through(df, name, compression="zstd")
+    """As :func:`write_through`, for large tables: of texts that cost more to move than to compress, behind shuffles that go."""
+    with shuffles_removed(df.sparkSession):
+        return write_through(df, name, compression="zstd")
