@@ -23,7 +23,7 @@ LEARNING_DIR = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels", "pages"):
+    for name in ("documents", "benchmark", "labels", "pages", "embeddings"):
         con.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
     return con
 
