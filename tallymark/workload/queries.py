@@ -18,7 +18,7 @@ from tallymark.sources.scratch import scratch_path, shuffles_removed
 from tallymark.sources.statement import route_layout, stage, stage_statement
 from tallymark.workload import bindings as b
 
-PACKED = "gzip"  # texts of statements and exports, which take ten times the disk as they are
+PACKED = "gzip"  # texts of statements and exports, which take five to eight times the disk as they are
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
